@@ -94,8 +94,13 @@ def squared_norm(vector: Column) -> Column:
 
 def unit_length(vector: Column) -> Column:
     """The vector scaled to length 1, in double; null for the zero vector."""
-    norm = F.sqrt(squared_norm(vector))
-    return F.when(norm > 0, F.transform(vector, lambda x: x.cast("double") / norm))
+    # The scaling is the aggregate's last step, so the norm is summed once and not per element.
+    return F.aggregate(
+        vector,
+        F.lit(0.0),
+        lambda s, x: s + x.cast("double") * x.cast("double"),
+        lambda s: F.when(s > 0, F.transform(vector, lambda x: x.cast("double") / F.sqrt(s))),
+    )
 
 
 def cosine(a: Column, b: Column) -> Column:

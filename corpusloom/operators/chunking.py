@@ -33,12 +33,13 @@ def window_count(n_tokens: Column, size: int, step: int) -> Column:
     return F.when(n_tokens > 0, F.ceil(beyond / step) + 1).otherwise(0).cast("int")
 
 
-def token_windows(tokens: Column, size: int, step: int) -> Column:
-    """Array of the overlapping windows over a token array; null for no tokens."""
+def token_windows(tokens: Column, size: int, step: int, shape: Callable[[Column], Column] = lambda window: window) -> Column:
+    """Array of the overlapping windows over a token array, each passed through ``shape``; null for
+    no tokens."""
     last = window_count(F.size(tokens), size, step) - 1
     return F.when(
         F.size(tokens) > 0,
-        F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(tokens, i * step + 1, size)),
+        F.transform(F.sequence(F.lit(0), last), lambda i: shape(F.slice(tokens, i * step + 1, size))),
     )
 
 
@@ -53,21 +54,23 @@ def chunk_documents(
     size: int = DEFAULT_CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     tokenize: Callable[[Column], Column] = split_words,
-    detokenize: Callable[[Column], Column] = join_words,
+    detokenize: Callable[[Column], Column] | None = None,
     limit: int = DEFAULT_TOKEN_LIMIT,
 ) -> DataFrame:
     """One row per window: the document's ``keys``, ``chunk_ix`` and the window's text ``chunk``.
 
     A narrow job: every document is cut where it lies, with no shuffle. The tokens are computed in
-    a projection of their own, so that the windows slice one array and never tokenise again. A
-    window that cannot be decoded (null) is left out, as is a document without tokens; ask
-    ``empty_documents`` for the latter.
+    a projection of their own, so that the windows slice one array and never tokenise again. Word
+    windows are joined as they are sliced; a ``detokenize`` of one's own, which may run in Python,
+    gets the sliced tokens as rows. A window it cannot decode (null) is left out, as is a document
+    without tokens; ask ``empty_documents`` for the latter.
     """
     size, step = window_shape(size, overlap, limit)
     tokens = docs.select(*keys, tokenize(F.col(text)).alias("_tokens"))
+    if detokenize is None:
+        return tokens.select(*keys, F.posexplode(token_windows(F.col("_tokens"), size, step, join_words)).alias("chunk_ix", "chunk"))
     windows = tokens.select(*keys, F.posexplode(token_windows(F.col("_tokens"), size, step)).alias("chunk_ix", "_window"))
-    chunks = windows.select(*keys, "chunk_ix", detokenize(F.col("_window")).alias("chunk"))
-    return chunks if detokenize is join_words else chunks.where("chunk is not null")
+    return windows.select(*keys, "chunk_ix", detokenize(F.col("_window")).alias("chunk")).where("chunk is not null")
 
 
 def chunk_counts(

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +24,8 @@ CELL_BYTES = 128 << 20
 # Scores are compared at this many decimals, so that copies of a vector tie wherever they are
 # scored; the lowest key wins a tie.
 SCORE_DECIMALS = 12
-PRODUCT_CELLS = 2_000_000
+PRODUCT_CELLS = 4_000_000
+EXACT_PAIRS = 32_768
 
 
 @dataclass(frozen=True)
@@ -40,115 +40,140 @@ class Search:
     probed: bool
 
 
-def _unit_free_matrix(column: pa.Array | pa.ChunkedArray, dim: int | None):
-    """Usable vectors as a matrix with their squared norms, and the row numbers they came from."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    if dim is None:
-        dim = int(sizes.max(initial=0))
-    rows = np.flatnonzero((sizes == dim) & (sizes > 0))
-    flat = column.take(pa.array(rows)).flatten()
-    matrix = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
-    norms = np.einsum("ij,ij->i", matrix, matrix)
-    good = np.isfinite(norms) & (norms > 0)
-    return matrix[good], norms[good], rows[good]
-
-
-def _best_of_tile(scores: np.ndarray, floor: np.ndarray, k: int):
-    """Row, column and score of the k best per row, no lower than the row's floor. Columns are in
-    key order, so among equals the first columns are taken."""
-    bar = floor
-    if scores.shape[1] > k:
-        kth = scores.shape[1] - k
-        bar = np.maximum(floor, np.partition(scores, kth, axis=1)[:, kth])
-    row, col = np.nonzero(scores >= bar[:, None])
-    value = scores[row, col]
-    order = np.lexsort((col, -value, row))
-    row, col, value = row[order], col[order], value[order]
-    keep = _position_in_run(row) < k
-    return row[keep], col[keep], value[keep]
+@dataclass(frozen=True)
+class Vectors:
+    """Usable vectors of a column: exact values, squared norms, unit vectors in single precision,
+    and the row numbers they came from."""
+
+    exact: np.ndarray
+    norms: np.ndarray
+    unit: np.ndarray
+    rows: np.ndarray
+
+    @staticmethod
+    def of(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> Vectors:
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        if dim is None:
+            dim = int(sizes.max(initial=0))
+        rows = np.flatnonzero((sizes == dim) & (sizes > 0))
+        flat = column.take(pa.array(rows)).flatten()
+        exact = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
+        norms = np.einsum("ij,ij->i", exact, exact)
+        good = np.isfinite(norms) & (norms > 0)
+        exact, norms = exact[good], norms[good]
+        return Vectors(exact, norms, (exact / np.sqrt(norms)[:, None]).astype(np.float32), rows[good])
+
+    def take(self, at: np.ndarray) -> Vectors:
+        return Vectors(self.exact[at], self.norms[at], self.unit[at], self.rows[at])
 
 
 def _position_in_run(*columns: np.ndarray) -> np.ndarray:
     """Position of each row in its run of equal values."""
-    n = len(columns[0])
-    at = np.arange(n)
-    starts = np.zeros(n, dtype=bool)
+    at = np.arange(len(columns[0]))
+    starts = np.zeros(len(at), dtype=bool)
     starts[:1] = True
     for column in columns:
         starts[1:] |= column[1:] != column[:-1]
     return at - np.maximum.accumulate(np.where(starts, at, 0))
 
 
-def _search(batches: Iterable[pa.RecordBatch | pa.Table], asked: pa.Table, spec: Search) -> pa.Table | None:
+def _without_spare_copies(items: Vectors, k: int) -> Vectors:
+    """Items, in key order, without copies of a vector beyond its first k, which cannot win."""
+    unit = np.ascontiguousarray(items.exact)
+    _, kind = np.unique(unit.view([("", f"V{unit.shape[1] * 8}")]).ravel(), return_inverse=True)
+    order = np.argsort(kind, kind="stable")
+    keep = np.sort(order[_position_in_run(kind[order]) < k])
+    return items if len(keep) == len(items.rows) else items.take(keep)
+
+
+def _scores(asked: Vectors, items: Vectors, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Cosine of the given pairs, each computed alike wherever it occurs."""
+    value = np.empty(len(row))
+    for start in range(0, len(row), EXACT_PAIRS):
+        r, c = row[start : start + EXACT_PAIRS], col[start : start + EXACT_PAIRS]
+        dots = np.einsum("ij,ij->i", asked.exact[r], items.exact[c])
+        value[start : start + EXACT_PAIRS] = dots / np.sqrt(asked.norms[r] * items.norms[c])
+    return np.round(value, SCORE_DECIMALS)
+
+
+def _best_of_tile(asked: Vectors, items: Vectors, part: np.ndarray, floor: np.ndarray, k: int):
+    """Question, item and score of the k best items per question of ``part``, none below the
+    question's floor. The product in single precision only rules out what is too far off by more
+    than its rounding error; what is left is scored exactly. Items are in key order, so among
+    equals the first ones are taken."""
+    slack = (asked.unit.shape[1] + 8) * 2.0**-23
+    near = asked.unit[part] @ items.unit.T
+    bar = floor - slack
+    if near.shape[1] > k:
+        kth = near.max(axis=1) if k == 1 else np.partition(near, near.shape[1] - k, axis=1)[:, -k]
+        bar = np.maximum(bar, kth - 2 * slack)
+    row, col = np.nonzero(near >= bar.astype(np.float32)[:, None])
+    row = part[row]
+    value = _scores(asked, items, row, col)
+    order = np.lexsort((col, -value, row))
+    order = order[_position_in_run(row[order]) < k]
+    return row[order], col[order], value[order]
+
+
+def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search) -> pa.Table | None:
     """k best items per question (and group, when kept per group) over a stream of batches."""
-    q_matrix, q_norms, q_rows = _unit_free_matrix(asked["_vector"], None)
-    if not len(q_rows):
+    asked = Vectors.of(questions["_vector"])
+    if not len(asked.rows):
         return None  # no question has a usable vector
-    dim = q_matrix.shape[1]
-    everyone = np.arange(len(q_rows))
+    everyone = np.arange(len(asked.rows))
     probes = None
     if spec.probed:
-        lists = asked["_probes"].combine_chunks().take(pa.array(q_rows))
-        owner = np.repeat(everyone, lists.value_lengths().to_numpy(zero_copy_only=False))
+        lists = questions["_probes"].combine_chunks().take(pa.array(asked.rows))
+        owner = np.repeat(everyone, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         cell = lists.flatten().to_numpy(zero_copy_only=False)
         probes = {int(c): owner[cell == c] for c in np.unique(cell)}
 
+    by_key = [(key, "ascending") for key in spec.item_keys]
+    by_rank = [("_group", "ascending"), ("_asked", "ascending"), ("score", "descending"), *by_key]
     best: pa.Table | None = None
     floors: dict[int, np.ndarray] = {}
-    rank_order = [("_group", "ascending"), ("_asked", "ascending"), ("score", "descending")]
-    rank_order += [(key, "ascending") for key in spec.item_keys]
 
     for batch in batches:
-        table = pa.Table.from_batches([batch]) if isinstance(batch, pa.RecordBatch) else batch
-        if not table.num_rows:
-            continue
-        table = table.sort_by([(key, "ascending") for key in spec.item_keys])
-        matrix, norms, rows = _unit_free_matrix(table["_vector"], dim)
-        groups = table[spec.group].to_numpy()[rows] if spec.group else np.zeros(len(rows), dtype=np.int64)
+        table = pa.Table.from_batches([batch]).sort_by(by_key)
+        items = Vectors.of(table["_vector"], asked.exact.shape[1])
+        groups = table[spec.group].to_numpy()[items.rows] if spec.group else np.zeros(len(items.rows), dtype=np.int64)
         found = []
         for group in np.unique(groups):
-            mine = np.flatnonzero(groups == group)
             whose = everyone if probes is None else probes.get(int(group), everyone[:0])
+            if not len(whose):
+                continue
+            mine = _without_spare_copies(items.take(np.flatnonzero(groups == group)), spec.k)
             state = int(group) if spec.per_group else 0
-            floor = floors.setdefault(state, np.full(len(q_rows), -np.inf))
-            items, item_norms = matrix[mine], norms[mine]
-            tile = max(1, PRODUCT_CELLS // len(mine))
+            floor = floors.setdefault(state, np.full(len(everyone), -np.inf))
+            tile = max(1, PRODUCT_CELLS // len(mine.rows))
             for start in range(0, len(whose), tile):
                 part = whose[start : start + tile]
-                scores = q_matrix[part] @ items.T
-                scores /= np.sqrt(np.multiply.outer(q_norms[part], item_norms))
-                np.round(scores, SCORE_DECIMALS, out=scores)
-                row, col, value = _best_of_tile(scores, floor[part], spec.k)
-                found.append((part[row], rows[mine[col]], value, np.full(len(row), state, dtype=np.int64)))
+                row, col, value = _best_of_tile(asked, mine, part, floor[part], spec.k)
+                found.append((row, mine.rows[col], value, np.full(len(row), state, dtype=np.int64)))
         if not found:
             continue
-        asked_at, item_at, value, state = (np.concatenate(part) for part in zip(*found))
-        fresh = table.select(list(spec.item_keys)).take(pa.array(item_at))
-        fresh = fresh.append_column("_asked", pa.array(asked_at)).append_column("score", pa.array(value))
-        fresh = fresh.append_column("_group", pa.array(state))
-        best = fresh if best is None else pa.concat_tables([best, fresh])
-        best = best.sort_by(rank_order)
-        state, asked_at = best["_group"].to_numpy(), best["_asked"].to_numpy()
-        place = _position_in_run(state, asked_at)
+        who, which, value, state = (np.concatenate(part) for part in zip(*found))
+        fresh = table.select(list(spec.item_keys)).take(pa.array(which))
+        for name, column in (("_group", state), ("_asked", who), ("score", value)):
+            fresh = fresh.append_column(name, pa.array(column))
+        best = (fresh if best is None else pa.concat_tables([best, fresh])).sort_by(by_rank)
+        place = _position_in_run(best["_group"].to_numpy(), best["_asked"].to_numpy())
         best = best.filter(pa.array(place < spec.k)).combine_chunks()
-        full = place[place < spec.k] == spec.k - 1
-        state, asked_at, value = (best[c].to_numpy()[full] for c in ("_group", "_asked", "score"))
+        last = place[place < spec.k] == spec.k - 1
+        state, who, value = (best[c].to_numpy()[last] for c in ("_group", "_asked", "score"))
         for group in np.unique(state):
-            at = state == group
-            floors[int(group)][asked_at[at]] = value[at]
+            floors[int(group)][who[state == group]] = value[state == group]
 
     if best is None:
         return None
-    who = asked.select(list(spec.asked_keys)).take(pa.array(q_rows)).take(best["_asked"])
-    columns = [who[c] for c in spec.asked_keys]
-    names = list(spec.asked_keys)
+    owners = questions.select(list(spec.asked_keys)).take(pa.array(asked.rows)).take(best["_asked"])
+    columns = {key: owners[key] for key in spec.asked_keys}
     if spec.per_group:
-        columns.append(pc.cast(best["_group"], pa.int64()))
-        names.append(spec.group)
-    columns += [best[c] for c in (*spec.item_keys, "score")]
-    return pa.table(columns, names=[*names, *spec.item_keys, "score"])
+        columns[spec.group] = best["_group"]
+    columns |= {key: best[key] for key in (*spec.item_keys, "score")}
+    return pa.table(columns)
 
 
 def _output_schema(asked: DataFrame, items: DataFrame, spec: Search) -> T.StructType:
@@ -202,7 +227,11 @@ def nearest_candidates(
     row_bytes = _vector_bytes(asked, dim)
 
     if questions * row_bytes <= broadcast_bytes:
-        shared = asked.sparkSession.sparkContext.broadcast(asked.toArrow())
+        table = asked.toArrow()
+        shared = asked.sparkSession.sparkContext.broadcast(table)
+        if probes:
+            # Items stored by cell are then read only where some question looks.
+            items = items.where(F.col(group).isin(sorted({c for cells in table["_probes"].to_pylist() for c in cells or ()})))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = _search(batches, shared.value, spec)
@@ -260,6 +289,8 @@ def nearest_by_shard(
     candidates = nearest_candidates(
         asked, items, shard_k, asked_keys=asked_keys, item_keys=item_keys, group=shard, per_group=True, **options
     )
+    # One shuffle by question serves both rankings.
+    candidates = candidates.repartition(*asked_keys)
     per_shard = rank_matches(candidates, shard_k, [*asked_keys, shard], item_keys)
     return rank_matches(per_shard.drop("match_rank", "distance", "certainty"), k, asked_keys, item_keys)
 

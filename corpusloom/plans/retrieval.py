@@ -59,6 +59,14 @@ def fetch_context(questions: DataFrame, matches: DataFrame, question_keys: list[
     )
 
 
+def ask(index: DataFrame, item_keys: list[str], question: str, **options) -> dict:
+    """Context of a single question: ``rag_text`` (a list), ``certainty`` and ``distance``; all of
+    them None where nothing matches."""
+    asked = index.sparkSession.createDataFrame([(0, question)], "qid long, query string")
+    row = fetch_context(asked, find_matches(asked, index, ["qid"], item_keys, **options), ["qid"]).first()
+    return {"rag_text": row["context"], "certainty": row["certainty"], "distance": row["distance"]}
+
+
 def generate_answers(
     prompts: DataFrame, make_generator: Callable[[], Callable[[str], str]], prompt: str = "prompt", answer: str = "answer"
 ) -> DataFrame:

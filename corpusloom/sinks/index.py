@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_index(objects: DataFrame, path: str, replace: bool = True, compact: bool = False) -> None:
-    """Objects as parquet with one folder per shard, rejects in a folder of their own.
+def write_index(objects: DataFrame, path: str, replace: bool = True, compact: bool = False, by: str = "shard") -> None:
+    """Objects as parquet with one folder per shard, rejects in a folder of their own. An index for
+    approximate search is stored ``by`` cell.
 
     ``replace=False`` leaves an existing index alone. Every task writes its rows of each shard
     straight away, which at scale gives files of a sensible size without a shuffle. For small
     inputs ``compact`` first gathers the shards' rows; AQE then sizes the files, and splits a
     shard that is too large for one.
     """
-    rows = objects.hint("rebalance", "shard") if compact else objects
-    rows.write.mode("overwrite" if replace else "ignore").partitionBy("shard").parquet(path)
+    rows = objects.hint("rebalance", by) if compact else objects
+    rows.write.mode("overwrite" if replace else "ignore").partitionBy(by).parquet(path)
 
 
 def replace_shards(objects: DataFrame, path: str) -> None:
