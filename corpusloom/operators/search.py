@@ -66,7 +66,8 @@ def keyword_search(
             F.size(F.filter("_words", lambda w: F.array_contains(F.col("_terms"), w))).cast("bigint").alias("hits"),
         )
     )
-    return top_per_group(matches, [topic], [F.desc("hits"), F.asc(doc_key)], limit, rank="rank")
+    ranked = top_per_group(matches, [topic], [F.desc("hits"), F.asc(doc_key)], limit, rank="rank")
+    return ranked.select(topic, "rank", doc_key, "hits")
 
 
 def hits_per_topic(topics: DataFrame, hits: DataFrame, topic: str = "topic") -> DataFrame:

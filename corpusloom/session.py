@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,11 +41,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="corpusloom-")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan by key when it has fewer splits than the cluster has cores.
 

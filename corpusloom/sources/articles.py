@@ -12,7 +12,8 @@ RANKED_FILE_SUFFIX = "_articles.json"
 def read_article_files(spark: SparkSession, root: str) -> DataFrame:
     """Every ``<root>/<folder>/*.txt`` as one row: ``topic`` (the folder), ``file_name``, ``text``.
 
-    A file that is not valid UTF-8 has empty text.
+    A file that is not valid UTF-8 has empty text. A file of no bytes, which has nothing to cut, is
+    left out by Spark's file listing.
     """
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*.txt")
     content = F.col("content").cast("string")
