@@ -126,11 +126,15 @@ def article_texts(spark, sf_dir):
 
 
 def read_text_files(spark, sf_dir):
-    """Documents written one file each into a folder per source, and read as article files."""
+    """Documents written as text files into a folder per source, and read as article files: how
+    much text each source's files hold."""
     path = work_folder(spark, "article-files")
-    write_article_files(documents(spark, sf_dir, "source").select(F.col("source").alias("topic"), F.col("text").alias("content")), path)
-    files = read_article_files(spark, path)
-    return files.select(F.replace("topic", F.lit("topic="), F.lit("")).alias("source"), "text")
+    texts = documents(spark, sf_dir, "source").select(F.col("source").alias("topic"), F.col("text").alias("content"))
+    write_article_files(texts, path, per_file=1000)
+    files = read_article_files(spark, path).withColumn("source", F.replace("topic", F.lit("topic="), F.lit("")))
+    size = F.length("text").cast("bigint")
+    ends = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return files.groupBy("source").agg(F.sum(size).alias("chars"), F.sum(ends).cast("bigint").alias("line_ends"))
 
 
 QUERIES = {
@@ -216,5 +220,7 @@ ORACLE = {
         SELECT string_split(url, '/')[4] AS topic, translate(string_split(title, ' ')[1], '\\/*?:"<>|', '') AS safe_title, content
         FROM paragraphs JOIN page_contents USING (page_id)
         QUALIFY row_number() OVER (PARTITION BY topic, safe_title ORDER BY page_id DESC) = 1""",
-    "read_text_files": "SELECT source, text || chr(10) AS text FROM documents",
+    "read_text_files": """
+        SELECT source, sum(length(text) + 1)::BIGINT AS chars, sum(length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS line_ends
+        FROM documents GROUP BY source""",
 }

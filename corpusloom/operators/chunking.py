@@ -27,6 +27,11 @@ def window_shape(size: int, overlap: int, limit: int = DEFAULT_TOKEN_LIMIT) -> t
     return size, size - overlap
 
 
+def token_limit(tokenizer: object) -> int:
+    """The longest window a tokenizer's model takes."""
+    return getattr(tokenizer, "model_max_length", DEFAULT_TOKEN_LIMIT)
+
+
 def window_count(n_tokens: Column, size: int, step: int) -> Column:
     """How many windows cover ``n_tokens``: none for 0, and no tail inside its predecessor."""
     beyond = F.greatest(n_tokens - size, F.lit(0))

@@ -24,6 +24,7 @@ DEFAULT_TOPICS = (
 DEFAULT_SEARCH_LIMIT = 500
 HITS_PER_TOPIC = 1000
 # ------------------------------------------------------------------------------------------------
+TERM_SALTS = 16
 
 
 def keyword_search(
@@ -40,31 +41,33 @@ def keyword_search(
     Gives ``topic``, ``rank``, the document key and ``hits``; ties go to the lower key. Only
     documents with a topic's rarest term are looked at further, so a frequent word pairs a topic
     with documents only when all of the topic's words are that frequent. Which side of a join is
-    broadcast is left to Spark's size check, as the topics may be few or many.
+    broadcast is left to Spark's size check, as the topics may be few or many; for the case that
+    none is, the rows of a term are split by a salt.
     """
+    salt = F.pmod(F.xxhash64(doc_key), F.lit(TERM_SALTS)).cast("int").alias("_salt")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1))).alias("_salt")
+
     words = docs.select(doc_key, split_words(F.lower(F.col(text))).alias("_words"))
+    held = words.select(doc_key, salt, F.explode(F.array_distinct("_words")).alias("_term"))
     wanted = topics.select(topic, F.array_distinct(split_words(F.lower(F.col(query)))).alias("_terms"))
-    terms = wanted.select(topic, F.explode("_terms").alias("_term"))
-    held = words.select(doc_key, F.explode(F.array_distinct("_words")).alias("_term"))
+    terms = wanted.select(topic, "_terms", F.explode("_terms").alias("_term"))
 
-    spread = held.join(terms.select("_term").distinct(), "_term").groupBy("_term").agg(F.count("*").alias("_docs"))
+    asked = terms.select("_term").distinct().select("_term", every_salt)
+    frequency = held.join(asked, ["_term", "_salt"]).groupBy("_term").agg(F.count("*").alias("_docs"))
     rarest = (
-        terms.join(spread, "_term", "left")
-        .groupBy(topic)
+        terms.join(frequency, "_term", "left")
+        .groupBy(topic, "_terms")
         .agg(F.min(F.struct(F.coalesce("_docs", F.lit(0)).alias("_docs"), "_term")).alias("_rarest"))
         .where(F.col("_rarest._docs") > 0)
-        .select(topic, F.col("_rarest._term").alias("_term"))
+        .select(topic, "_terms", F.col("_rarest._term").alias("_term"), every_salt)
     )
-    candidates = held.join(rarest, "_term").select(topic, doc_key)
-    matches = (
-        candidates.join(words, doc_key)
-        .join(wanted, topic)
-        .where(F.size(F.array_except("_terms", "_words")) == 0)
-        .select(
-            topic,
-            doc_key,
-            F.size(F.filter("_words", lambda w: F.array_contains(F.col("_terms"), w))).cast("bigint").alias("hits"),
-        )
+    candidates = held.join(rarest, ["_term", "_salt"]).select(topic, "_terms", doc_key)
+    texts = candidates.join(docs.select(doc_key, text), doc_key)
+    counted = texts.select(topic, doc_key, "_terms", split_words(F.lower(F.col(text))).alias("_words"))
+    matches = counted.where(F.size(F.array_except("_terms", "_words")) == 0).select(
+        topic,
+        doc_key,
+        F.size(F.filter("_words", lambda w: F.array_contains(F.col("_terms"), w))).cast("bigint").alias("hits"),
     )
     ranked = top_per_group(matches, [topic], [F.desc("hits"), F.asc(doc_key)], limit, rank="rank")
     return ranked.select(topic, "rank", doc_key, "hits")

@@ -25,8 +25,8 @@ def write_article_texts(texts: DataFrame, path: str) -> None:
     texts.write.mode("overwrite").partitionBy("topic").parquet(path)
 
 
-def write_article_files(texts: DataFrame, path: str, content: str = "content") -> None:
-    """One text file per article in a folder per topic, for readers that need files. Meant for
-    corpora whose file count a file system can bear; ``write_article_texts`` has no such limit."""
+def write_article_files(texts: DataFrame, path: str, content: str = "content", per_file: int = 1) -> None:
+    """Text files in a folder per topic, one per article or of ``per_file`` articles each, for
+    readers that need files. ``write_article_texts`` has no such number of files."""
     files = texts.select("topic", F.col(content).alias("value"))
-    files.write.mode("overwrite").partitionBy("topic").option("maxRecordsPerFile", 1).text(path)
+    files.write.mode("overwrite").partitionBy("topic").option("maxRecordsPerFile", per_file).text(path)

@@ -11,7 +11,7 @@ from corpusloom.functions import text as T
 from corpusloom.functions.dates import in_last_month, last_month_range
 from corpusloom.functions.prompts import build_prompt
 from corpusloom.functions.views import views_of_json
-from corpusloom.operators.chunking import chunk_counts, chunk_documents, empty_documents, tokenizer_hooks, window_shape
+from corpusloom.operators.chunking import chunk_counts, chunk_documents, empty_documents, token_limit, tokenizer_hooks, window_shape
 
 
 def column(spark, values, make, kind="string"):
@@ -121,6 +121,9 @@ def test_windows_must_advance():
         with pytest.raises(ValueError):
             window_shape(size, overlap, limit)
     assert window_shape(20_000, 20) == (8192, 8172)
+    assert token_limit(object()) == 8192
+    short = type("Short", (), {"model_max_length": 256})()
+    assert window_shape(512, 20, token_limit(short)) == (256, 236)
 
 
 def test_null_text_gives_no_chunk(spark):
