@@ -8,12 +8,11 @@ from hashlib import md5
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.text import split_words
-
 DEFAULT_DIM = 256
 VECTOR_TYPE = T.ArrayType(T.FloatType())
 
@@ -25,28 +24,30 @@ def hashed_counts(dim: int = DEFAULT_DIM) -> Embedder:
 
     It is lexical, not semantic. A word's bucket is the first 32 bits of its md5, modulo ``dim``.
     The vector is left unscaled: cosine search does not need unit length, and whole-number counts
-    make every dot product exact, so equal matches tie whichever task scores them. Words are split
-    in the JVM; each Arrow batch is then counted at once, hashing every distinct word only once.
+    make every dot product exact, so equal matches tie whichever task scores them. An Arrow batch is
+    split and counted at once, hashing every distinct word only once.
     """
 
     @F.arrow_udf(VECTOR_TYPE)
-    def count_buckets(words: pa.Array) -> pa.Array:
-        rows = len(words)
-        sizes = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    def count_buckets(texts: pa.Array) -> pa.Array:
+        rows = len(texts)
+        words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts))
+        owner = pc.list_parent_indices(words).to_numpy()
         flat = words.flatten().dictionary_encode()
-        buckets = np.fromiter(
-            (int.from_bytes(md5(w.encode()).digest()[:4], "big") % dim for w in flat.dictionary.to_pylist()),
-            dtype=np.int64,
-            count=len(flat.dictionary),
-        )
-        cells = np.repeat(np.arange(rows), sizes) * dim
-        if len(flat):
-            cells = cells + buckets[flat.indices.to_numpy()]
-        counts = np.bincount(cells, minlength=rows * dim).astype(np.float32)
-        return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * dim), pa.array(counts))
+        vocabulary = flat.dictionary.to_pylist()
+        digests = b"".join(md5(word.encode()).digest()[:4] for word in vocabulary)
+        buckets = np.frombuffer(digests, dtype=">u4").astype(np.int64) % dim
+        # Blank text splits into one empty word, which does not count.
+        counted = np.array([word != "" for word in vocabulary], dtype=np.float32)
+        index = flat.indices.to_numpy()
+        if not len(index):
+            buckets, counted, owner, index = (np.zeros(1, dtype=np.int64),) * 4
+        weights = np.bincount(owner * dim + buckets[index], weights=counted[index], minlength=rows * dim)
+        starts = pa.array(np.arange(rows + 1, dtype=np.int32) * dim)
+        return pa.ListArray.from_arrays(starts, pa.array(weights[: rows * dim].astype(np.float32)))
 
     def embed(text: Column) -> Column:
-        return count_buckets(split_words(F.lower(F.coalesce(text, F.lit("")))))
+        return count_buckets(F.lower(F.coalesce(text, F.lit(""))))
 
     embed.dim = dim
     return embed

@@ -6,6 +6,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import WHITESPACE
 from corpusloom.functions.vectors import cosine, hashed_counts, is_usable, model_embedder, unit_length
 from corpusloom.operators import nearest as N
 from corpusloom.operators.cells import assign_cells, cells_to_probe, fit_cells, nearest_in_cells
@@ -132,7 +133,8 @@ def test_cells(spark):
 
 
 def test_hashed_counts(spark):
-    texts = ["The cat, the Cat", "", None, "x"]
+    spaced = "".join(f"w{c}" for c in WHITESPACE)
+    texts = ["The cat, the Cat", "", None, "x", " \n", spaced, f"\x1c{spaced}"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in df.orderBy("i").select(hashed_counts(16)(F.col("t"))).collect()]
     for text, vector in zip(texts, got):
@@ -140,6 +142,8 @@ def test_hashed_counts(spark):
         for word in (text or "").lower().split():
             expected[int(md5(word.encode()).hexdigest()[:8], 16) % 16] += 1
         assert vector == expected
+    blank = spark.createDataFrame([(1, " "), (2, "")], "i int, t string").select(hashed_counts(4)(F.col("t")))
+    assert [r[0] for r in blank.collect()] == [[0.0] * 4] * 2
 
 
 def test_native_similarity(spark):
