@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,7 @@ CELL_BYTES = 128 << 20
 SCORE_DECIMALS = 12
 PRODUCT_CELLS = 4_000_000
 EXACT_PAIRS = 32_768
+TIES_PER_PLACE = 16
 
 
 @dataclass(frozen=True)
@@ -42,31 +44,34 @@ class Search:
 
 @dataclass(frozen=True)
 class Vectors:
-    """Usable vectors of a column: exact values, squared norms, unit vectors in single precision,
-    and the row numbers they came from."""
+    """Usable vectors of a column: values as stored, squared norms, unit vectors in single
+    precision, the row numbers they came from and the rows' places in key order."""
 
-    exact: np.ndarray
+    stored: np.ndarray
     norms: np.ndarray
     unit: np.ndarray
     rows: np.ndarray
+    place: np.ndarray
 
     @staticmethod
-    def of(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> Vectors:
+    def of(column: pa.Array | pa.ChunkedArray, place: np.ndarray, dim: int | None = None) -> Vectors:
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
         sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         if dim is None:
             dim = int(sizes.max(initial=0))
         rows = np.flatnonzero((sizes == dim) & (sizes > 0))
-        flat = column.take(pa.array(rows)).flatten()
-        exact = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
-        norms = np.einsum("ij,ij->i", exact, exact)
+        flat = (column if len(rows) == len(column) else column.take(pa.array(rows))).flatten()
+        stored = flat.to_numpy(zero_copy_only=False).reshape(len(rows), dim)
+        norms = np.einsum("ij,ij->i", stored, stored, dtype=np.float64)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            unit = (stored / np.sqrt(norms)[:, None]).astype(np.float32)
+        all_of = Vectors(stored, norms, unit, rows, place[rows])
         good = np.isfinite(norms) & (norms > 0)
-        exact, norms = exact[good], norms[good]
-        return Vectors(exact, norms, (exact / np.sqrt(norms)[:, None]).astype(np.float32), rows[good])
+        return all_of if good.all() else all_of.take(np.flatnonzero(good))
 
     def take(self, at: np.ndarray) -> Vectors:
-        return Vectors(self.exact[at], self.norms[at], self.unit[at], self.rows[at])
+        return Vectors(self.stored[at], self.norms[at], self.unit[at], self.rows[at], self.place[at])
 
 
 def _position_in_run(*columns: np.ndarray) -> np.ndarray:
@@ -80,46 +85,51 @@ def _position_in_run(*columns: np.ndarray) -> np.ndarray:
 
 
 def _without_spare_copies(items: Vectors, k: int) -> Vectors:
-    """Items, in key order, without copies of a vector beyond its first k, which cannot win."""
-    unit = np.ascontiguousarray(items.exact)
-    _, kind = np.unique(unit.view([("", f"V{unit.shape[1] * 8}")]).ravel(), return_inverse=True)
-    order = np.argsort(kind, kind="stable")
-    keep = np.sort(order[_position_in_run(kind[order]) < k])
-    return items if len(keep) == len(items.rows) else items.take(keep)
+    """Items without copies of a vector beyond its k first in key order, which cannot win."""
+    stored = np.ascontiguousarray(items.stored)
+    _, kind = np.unique(stored.view(f"V{stored.shape[1] * stored.itemsize}").ravel(), return_inverse=True)
+    order = np.lexsort((items.place, kind))
+    return items.take(order[_position_in_run(kind[order]) < k])
 
 
 def _scores(asked: Vectors, items: Vectors, row: np.ndarray, col: np.ndarray) -> np.ndarray:
-    """Cosine of the given pairs, each computed alike wherever it occurs."""
+    """Cosine of the given pairs in double precision, each computed alike wherever it occurs."""
     value = np.empty(len(row))
     for start in range(0, len(row), EXACT_PAIRS):
         r, c = row[start : start + EXACT_PAIRS], col[start : start + EXACT_PAIRS]
-        dots = np.einsum("ij,ij->i", asked.exact[r], items.exact[c])
+        dots = np.einsum("ij,ij->i", asked.stored[r], items.stored[c], dtype=np.float64)
         value[start : start + EXACT_PAIRS] = dots / np.sqrt(asked.norms[r] * items.norms[c])
     return np.round(value, SCORE_DECIMALS)
 
 
 def _best_of_tile(asked: Vectors, items: Vectors, part: np.ndarray, floor: np.ndarray, k: int):
-    """Question, item and score of the k best items per question of ``part``, none below the
-    question's floor. The product in single precision only rules out what is too far off by more
-    than its rounding error; what is left is scored exactly. Items are in key order, so among
-    equals the first ones are taken."""
+    """Question, item row, and score of the k best items per question of ``part``, none below the
+    question's floor; ties go to the first in key order. The product in single precision only
+    rules out what is too far off by more than its rounding error; what is left is scored exactly."""
     slack = (asked.unit.shape[1] + 8) * 2.0**-23
-    near = asked.unit[part] @ items.unit.T
-    bar = floor - slack
-    if near.shape[1] > k:
-        kth = near.max(axis=1) if k == 1 else np.partition(near, near.shape[1] - k, axis=1)[:, -k]
-        bar = np.maximum(bar, kth - 2 * slack)
-    row, col = np.nonzero(near >= bar.astype(np.float32)[:, None])
+
+    def candidates(items: Vectors):
+        near = asked.unit[part] @ items.unit.T
+        bar = floor - slack
+        if near.shape[1] > k:
+            kth = near.max(axis=1) if k == 1 else np.partition(near, near.shape[1] - k, axis=1)[:, -k]
+            bar = np.maximum(bar, kth - 2 * slack)
+        return np.nonzero(near >= bar.astype(np.float32)[:, None])
+
+    row, col = candidates(items)
+    if len(row) > TIES_PER_PLACE * k * len(part):
+        items = _without_spare_copies(items, k)
+        row, col = candidates(items)
     row = part[row]
     value = _scores(asked, items, row, col)
-    order = np.lexsort((col, -value, row))
+    order = np.lexsort((items.place[col], -value, row))
     order = order[_position_in_run(row[order]) < k]
-    return row[order], col[order], value[order]
+    return row[order], items.rows[col[order]], value[order]
 
 
 def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search) -> pa.Table | None:
     """k best items per question (and group, when kept per group) over a stream of batches."""
-    asked = Vectors.of(questions["_vector"])
+    asked = Vectors.of(questions["_vector"], np.arange(questions.num_rows))
     if not len(asked.rows):
         return None  # no question has a usable vector
     everyone = np.arange(len(asked.rows))
@@ -136,26 +146,28 @@ def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search
     floors: dict[int, np.ndarray] = {}
 
     for batch in batches:
-        table = pa.Table.from_batches([batch]).sort_by(by_key)
-        items = Vectors.of(table["_vector"], asked.exact.shape[1])
-        groups = table[spec.group].to_numpy()[items.rows] if spec.group else np.zeros(len(items.rows), dtype=np.int64)
+        keys = pa.Table.from_batches([batch]).select(list(spec.item_keys))
+        place = np.empty(len(batch), dtype=np.int64)
+        place[pc.sort_indices(keys, sort_keys=by_key).to_numpy()] = np.arange(len(batch))
+        items = Vectors.of(batch.column("_vector"), place, asked.stored.shape[1])
+        groups = batch.column(spec.group).to_numpy()[items.rows] if spec.group else np.zeros(len(items.rows), dtype=np.int64)
         found = []
         for group in np.unique(groups):
             whose = everyone if probes is None else probes.get(int(group), everyone[:0])
             if not len(whose):
                 continue
-            mine = _without_spare_copies(items.take(np.flatnonzero(groups == group)), spec.k)
+            mine = items.take(np.flatnonzero(groups == group)) if spec.group else items
             state = int(group) if spec.per_group else 0
             floor = floors.setdefault(state, np.full(len(everyone), -np.inf))
             tile = max(1, PRODUCT_CELLS // len(mine.rows))
             for start in range(0, len(whose), tile):
                 part = whose[start : start + tile]
-                row, col, value = _best_of_tile(asked, mine, part, floor[part], spec.k)
-                found.append((row, mine.rows[col], value, np.full(len(row), state, dtype=np.int64)))
+                who, which, value = _best_of_tile(asked, mine, part, floor[part], spec.k)
+                found.append((who, which, value, np.full(len(who), state, dtype=np.int64)))
         if not found:
             continue
         who, which, value, state = (np.concatenate(part) for part in zip(*found))
-        fresh = table.select(list(spec.item_keys)).take(pa.array(which))
+        fresh = keys.take(pa.array(which))
         for name, column in (("_group", state), ("_asked", who), ("score", value)):
             fresh = fresh.append_column(name, pa.array(column))
         best = (fresh if best is None else pa.concat_tables([best, fresh])).sort_by(by_rank)

@@ -56,6 +56,7 @@ def stream_answers(
             known = known.unionByName(earlier.select("conv_id", "turn"))
         # The batch is read several times below; a source need not be asked again for it.
         batch.persist()
+        known = known.join(batch.select("conv_id").distinct(), "conv_id", "left_semi")
         answered = answer_batch(batch, index, item_keys, make_generator, embed, **options)
         new_turns(known, answered).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         batch.unpersist()
