@@ -22,11 +22,14 @@ from corpusloom.functions.vectors import certainty_of, distance_of
 
 BROADCAST_BYTES = 64 << 20
 CELL_BYTES = 128 << 20
+# Rows that the tasks may hand on before the search is seeded with floors from a part of the items.
+UNSEEDED_ROWS = 10_000_000
+SEED_SHARE = 64
 # Scores are compared at this many decimals, so that copies of a vector tie wherever they are
 # scored; the lowest key wins a tie.
 SCORE_DECIMALS = 12
 PRODUCT_CELLS = 4_000_000
-EXACT_PAIRS = 32_768
+EXACT_PAIRS = 8_192
 TIES_PER_PLACE = 16
 
 
@@ -37,11 +40,18 @@ class Search:
     k: int
     asked_keys: tuple[str, ...]
     item_keys: tuple[str, ...]
+    carry: tuple[str, ...]
     group: str | None
     per_group: bool
     probed: bool
 
 
+def _row_dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dot product of each row of a with that of b, in double precision. Rows are summed one by one,
+    so a pair's product does not depend on the rows around it."""
+    return np.einsum("ij,ij->i", a.astype(np.float64), b.astype(np.float64))
+
+
 @dataclass(frozen=True)
 class Vectors:
     """Usable vectors of a column: values as stored, squared norms, unit vectors in single
@@ -63,7 +73,7 @@ class Vectors:
         rows = np.flatnonzero((sizes == dim) & (sizes > 0))
         flat = (column if len(rows) == len(column) else column.take(pa.array(rows))).flatten()
         stored = flat.to_numpy(zero_copy_only=False).reshape(len(rows), dim)
-        norms = np.einsum("ij,ij->i", stored, stored, dtype=np.float64)
+        norms = _row_dots(stored, stored)
         with np.errstate(divide="ignore", invalid="ignore"):
             unit = (stored / np.sqrt(norms)[:, None]).astype(np.float32)
         all_of = Vectors(stored, norms, unit, rows, place[rows])
@@ -97,7 +107,7 @@ def _scores(asked: Vectors, items: Vectors, row: np.ndarray, col: np.ndarray) ->
     value = np.empty(len(row))
     for start in range(0, len(row), EXACT_PAIRS):
         r, c = row[start : start + EXACT_PAIRS], col[start : start + EXACT_PAIRS]
-        dots = np.einsum("ij,ij->i", asked.stored[r], items.stored[c], dtype=np.float64)
+        dots = _row_dots(asked.stored[r], items.stored[c])
         value[start : start + EXACT_PAIRS] = dots / np.sqrt(asked.norms[r] * items.norms[c])
     return np.round(value, SCORE_DECIMALS)
 
@@ -127,8 +137,13 @@ def _best_of_tile(asked: Vectors, items: Vectors, part: np.ndarray, floor: np.nd
     return row[order], items.rows[col[order]], value[order]
 
 
-def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search) -> pa.Table | None:
-    """k best items per question (and group, when kept per group) over a stream of batches."""
+def _search(
+    batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search, seeds: dict[int, np.ndarray] | None = None
+) -> pa.Table | None:
+    """k best items per question (and group, when kept per group) over a stream of batches.
+
+    ``seeds`` holds, per group, a score for each question that its k-th best is known to reach;
+    items below it are left out."""
     asked = Vectors.of(questions["_vector"], np.arange(questions.num_rows))
     if not len(asked.rows):
         return None  # no question has a usable vector
@@ -143,12 +158,12 @@ def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search
     by_key = [(key, "ascending") for key in spec.item_keys]
     by_rank = [("_group", "ascending"), ("_asked", "ascending"), ("score", "descending"), *by_key]
     best: pa.Table | None = None
-    floors: dict[int, np.ndarray] = {}
+    floors = {group: floor[asked.rows] for group, floor in (seeds or {}).items()}
 
     for batch in batches:
-        keys = pa.Table.from_batches([batch]).select(list(spec.item_keys))
+        found_columns = pa.Table.from_batches([batch]).select([*spec.item_keys, *spec.carry])
         place = np.empty(len(batch), dtype=np.int64)
-        place[pc.sort_indices(keys, sort_keys=by_key).to_numpy()] = np.arange(len(batch))
+        place[pc.sort_indices(found_columns, sort_keys=by_key).to_numpy()] = np.arange(len(batch))
         items = Vectors.of(batch.column("_vector"), place, asked.stored.shape[1])
         groups = batch.column(spec.group).to_numpy()[items.rows] if spec.group else np.zeros(len(items.rows), dtype=np.int64)
         found = []
@@ -167,7 +182,7 @@ def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search
         if not found:
             continue
         who, which, value, state = (np.concatenate(part) for part in zip(*found))
-        fresh = keys.take(pa.array(which))
+        fresh = found_columns.take(pa.array(which))
         for name, column in (("_group", state), ("_asked", who), ("score", value)):
             fresh = fresh.append_column(name, pa.array(column))
         best = (fresh if best is None else pa.concat_tables([best, fresh])).sort_by(by_rank)
@@ -184,7 +199,7 @@ def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search
     columns = {key: owners[key] for key in spec.asked_keys}
     if spec.per_group:
         columns[spec.group] = best["_group"]
-    columns |= {key: best[key] for key in (*spec.item_keys, "score")}
+    columns |= {name: best[name] for name in (*spec.item_keys, *spec.carry, "score")}
     return pa.table(columns)
 
 
@@ -192,7 +207,7 @@ def _output_schema(asked: DataFrame, items: DataFrame, spec: Search) -> T.Struct
     fields = [T.StructField(c, asked.schema[c].dataType) for c in spec.asked_keys]
     if spec.per_group:
         fields.append(T.StructField(spec.group, T.LongType()))
-    fields += [T.StructField(c, items.schema[c].dataType) for c in spec.item_keys]
+    fields += [T.StructField(c, items.schema[c].dataType) for c in (*spec.item_keys, *spec.carry)]
     return T.StructType([*fields, T.StructField("score", T.DoubleType())])
 
 
@@ -203,6 +218,21 @@ def _vector_bytes(asked: DataFrame, dim: int | None) -> int:
     return 8 * max(dim or 1, 1)
 
 
+def _seeds(candidates: DataFrame, table: pa.Table, spec: Search) -> dict[int, np.ndarray]:
+    """Per group, the k-th best score among ``candidates`` for each row of the questions' table, as
+    far as there are k."""
+    by = [*spec.asked_keys, *([spec.group] if spec.per_group else [])]
+    order = [F.desc("score"), *[F.asc(c) for c in spec.item_keys]]
+    ranked = candidates.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    kth = ranked.where(F.col("_rank") == spec.k).select(*by, "score").toArrow().to_pylist()
+    row_of = {tuple(row[key] for key in spec.asked_keys): at for at, row in enumerate(table.select(list(spec.asked_keys)).to_pylist())}
+    seeds: dict[int, np.ndarray] = {}
+    for row in kth:
+        floor = seeds.setdefault(row[spec.group] if spec.per_group else 0, np.full(table.num_rows, -np.inf))
+        floor[row_of[tuple(row[key] for key in spec.asked_keys)]] = row["score"]
+    return seeds
+
+
 def nearest_candidates(
     asked: DataFrame,
     items: DataFrame,
@@ -215,42 +245,56 @@ def nearest_candidates(
     group: str | None = None,
     per_group: bool = False,
     probes: str | None = None,
+    carry: list[str] = (),
     dim: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     cell_bytes: int = CELL_BYTES,
+    unseeded_rows: int = UNSEEDED_ROWS,
 ) -> DataFrame:
     """A superset of the k best items per question, exact once ranked: k rows per question and task.
 
     ``group`` names an integer column of the items. With ``per_group`` the k best are kept per
     group, as for shards. With ``probes``, an array column of the questions, a question meets only
-    the groups it lists, as for cells of an approximate index. ``dim`` is the vectors' length, asked
-    of the questions where it is not given.
+    the groups it lists, as for cells of an approximate index. ``carry`` names item columns to hand
+    on with the winners. ``dim`` is the vectors' length, asked of the questions where not given.
 
     The questions are counted first. Up to ``broadcast_bytes`` they travel to the items, which are
     scanned in place without a shuffle. Beyond it the two sides are laid out as a grid: every item
     goes to one row of the grid, every question to one column, and each grid cell is one task of
     bounded size on both sides.
+
+    Many questions times many tasks are many rows to hand on. Past ``unseeded_rows`` a part of the
+    items, told by a hash of their keys, is searched first. The k-th best score found there is one
+    that the question's final k-th best reaches, so every task can leave out what lies below it.
     """
-    spec = Search(k, tuple(asked_keys), tuple(item_keys), group, per_group, probes is not None)
+    spec = Search(k, tuple(asked_keys), tuple(item_keys), tuple(carry), group, per_group, probes is not None)
     asked = asked.select(*asked_keys, F.col(asked_vector).alias("_vector"), *([F.col(probes).alias("_probes")] if probes else []))
-    items = items.select(*item_keys, F.col(item_vector).alias("_vector"), *([group] if group else []))
+    items = items.select(*item_keys, *carry, F.col(item_vector).alias("_vector"), *([group] if group else []))
     schema = _output_schema(asked, items, spec)
     questions = asked.count()
     row_bytes = _vector_bytes(asked, dim)
 
     if questions * row_bytes <= broadcast_bytes:
+        context = asked.sparkSession.sparkContext
         table = asked.toArrow()
-        shared = asked.sparkSession.sparkContext.broadcast(table)
         if probes:
             # Items stored by cell are then read only where some question looks.
             items = items.where(F.col(group).isin(sorted({c for cells in table["_probes"].to_pylist() for c in cells or ()})))
 
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = _search(batches, shared.value, spec)
-            if best is not None:
-                yield from best.to_batches(max_chunksize=10_000)
+        def scan_all(items: DataFrame, seeds: dict[int, np.ndarray] | None) -> DataFrame:
+            shared = context.broadcast((table, seeds))
+
+            def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                best = _search(batches, shared.value[0], spec, shared.value[1])
+                if best is not None:
+                    yield from best.to_batches(max_chunksize=10_000)
+
+            return items.mapInArrow(scan, schema)
 
-        return items.mapInArrow(scan, schema)
+        if questions * k * context.defaultParallelism <= unseeded_rows:
+            return scan_all(items, None)
+        part = items.where(F.pmod(F.xxhash64(*item_keys), F.lit(SEED_SHARE)) == 0)
+        return scan_all(items, _seeds(scan_all(part, None), table, spec))
 
     columns = -(-questions * row_bytes // cell_bytes)
     rows = max(1, -(-items.count() * row_bytes // cell_bytes))

@@ -32,14 +32,13 @@ def find_matches(
 ) -> DataFrame:
     """The best chunks per question with their text, best of every shard first, then overall.
 
-    The search reads keys and vectors only. Texts are looked up afterwards for the few winners.
+    One pass over the index: the winners carry their text with them.
     """
     embed = embed or hashed_counts()
     asked = questions.select(*question_keys, embed(F.col(question)).alias("vector"))
     options.setdefault("dim", getattr(embed, "dim", None))
-    matches = nearest_by_shard(asked, index, shard_k, k, asked_keys=question_keys, item_keys=item_keys, **options)
-    texts = index.select(*item_keys, F.col("context").alias("rag_text"))
-    return matches.join(texts, item_keys)
+    options = {"asked_keys": question_keys, "item_keys": item_keys, "carry": ["context"], **options}
+    return nearest_by_shard(asked, index, shard_k, k, **options).withColumnRenamed("context", "rag_text")
 
 
 def fetch_context(questions: DataFrame, matches: DataFrame, question_keys: list[str], question: str = "query") -> DataFrame:

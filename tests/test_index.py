@@ -105,13 +105,13 @@ def test_questions(spark):
     assert ask(index, KEYS, "") == {"rag_text": None, "certainty": None, "distance": None}
 
 
-def test_search_reads_no_text(spark, tmp_path):
+def test_search_reads_the_index_once(spark, tmp_path):
     path = str(tmp_path / "index")
-    write_index(index_objects(docs(spark), ["doc_id"]), path)
+    write_index(index_objects(docs(spark), ["doc_id"]).withColumn("unused", F.lit("x" * 50)), path)
     questions = spark.createDataFrame([(1, "word1")], "qid long, query string")
     plan = find_matches(questions, read_index(spark, path), ["qid"], KEYS)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<doc_id:bigint,chunk_ix:int,vector:array<float>>" in plan
-    assert "ReadSchema: struct<doc_id:bigint,chunk_ix:int,context:string>" in plan
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert "ReadSchema: struct<doc_id:bigint,chunk_ix:int,context:string,vector:array<float>>" in plan
 
 
 def test_generator_hook(spark):

@@ -63,6 +63,25 @@ def test_nearest_equals_brute_force(spark, whole, k):
     assert as_dict(grid.collect()) == expected
 
 
+@pytest.mark.parametrize("k", [1, 4])
+def test_seeded_search_equals_brute_force(spark, k):
+    """Floors from a part of the items change nothing but the number of rows handed on."""
+    items, asked = random_items(3000, 8, 11, whole=True), random_items(30, 8, 12, whole=True)
+    expected = brute_force(asked, items, k)
+    seeded = run(spark, asked, items, k, partitions=8, unseeded_rows=0)
+    assert as_dict(seeded.collect()) == expected
+    items, asked = random_items(3000, 8, 13), random_items(30, 8, 14)
+    # Floors of a 64th part pay off with more tasks than that.
+    things = spark.createDataFrame(items, SCHEMA).repartition(256)
+    questions = spark.createDataFrame([(q, v) for q, v, _ in asked], "qid long, vector array<float>")
+    keys = dict(asked_keys=["qid"], item_keys=["id"])
+    rows = [N.nearest_candidates(questions, things, k, unseeded_rows=n, **keys).count() for n in (0, 10**9)]
+    assert rows[0] < rows[1] / 2
+    by_shard = [N.nearest_by_shard(questions, things.withColumn("x", F.col("id") * 2), k, 3, shard="shard", carry=["x"], unseeded_rows=n, **keys) for n in (0, 10**9)]
+    got = [sorted(tuple(r) for r in df.select("qid", "shard", "id", "x", "score", "match_rank").collect()) for df in by_shard]
+    assert got[0] == got[1] and all(r[3] == 2 * r[2] for r in got[0])
+
+
 def test_grid_plan_has_no_cross_join(spark):
     items, asked = random_items(50, 8, 1), random_items(20, 8, 2)
     plan = run(spark, asked, items, 2, broadcast_bytes=0, cell_bytes=512)._jdf.queryExecution().toString()
