@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import sql
 from corpusloom.catalog.tables import documents, questions, table
 from corpusloom.functions.vectors import model_embedder
-from corpusloom.operators.shards import ask_every_shard, shard_registry, shard_report
+from corpusloom.operators.shards import ask_every_shard, pose_question, shard_registry, shard_report
 from corpusloom.plans.indexing import index_objects, rejected
 from corpusloom.session import work_folder
 from corpusloom.sinks.index import write_index
@@ -74,6 +74,12 @@ def registry_shards(spark, sf_dir):
     return shard_registry(names, gateway="Supplier#000000007")
 
 
+def posed_question(spark, sf_dir):
+    """The registry's shards with one question put to all of them."""
+    names = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.lit(None).cast("int").alias("query"))
+    return pose_question(shard_registry(names), "What is the capital of France?")
+
+
 def question_shards(spark, sf_dir):
     asked = ask_every_shard(questions(spark, sf_dir))
     return asked.withColumn("shard", F.col("shard").cast("bigint"))
@@ -86,6 +92,7 @@ QUERIES = {
     "stored_shard": stored_shard,
     "rejected_chunks": rejected_chunks,
     "registry_shards": registry_shards,
+    "posed_question": posed_question,
     "question_shards": question_shards,
 }
 
@@ -103,6 +110,9 @@ ORACLE = {
     "registry_shards": """
         SELECT s_name AS name, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) - 1 AS shard
         FROM supplier WHERE s_name <> 'Supplier#000000007'""",
+    "posed_question": """
+        SELECT s_name AS name, 'What is the capital of France?' AS query, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) - 1 AS shard
+        FROM supplier""",
     "question_shards": """
         SELECT conv_id, turn AS seq, text AS query, s.range AS shard FROM conversations, range(5) s WHERE role = 'user'""",
 }

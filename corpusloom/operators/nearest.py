@@ -153,7 +153,9 @@ def _search(
         lists = questions["_probes"].combine_chunks().take(pa.array(asked.rows))
         owner = np.repeat(everyone, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         cell = lists.flatten().to_numpy(zero_copy_only=False)
-        probes = {int(c): owner[cell == c] for c in np.unique(cell)}
+        order = np.argsort(cell, kind="stable")
+        cells, starts = np.unique(cell[order], return_index=True)
+        probes = dict(zip(cells.tolist(), np.split(owner[order], starts[1:])))
 
     by_key = [(key, "ascending") for key in spec.item_keys]
     by_rank = [("_group", "ascending"), ("_asked", "ascending"), ("score", "descending"), *by_key]
@@ -212,10 +214,10 @@ def _output_schema(asked: DataFrame, items: DataFrame, spec: Search) -> T.Struct
 
 
 def _vector_bytes(asked: DataFrame, dim: int | None) -> int:
-    """Bytes of one question's vector, as doubles."""
+    """Bytes of one vector as doubles, with an allowance for its key."""
     if dim is None:
         dim = asked.agg(F.max(F.size("_vector"))).first()[0]
-    return 8 * max(dim or 1, 1)
+    return 8 * max(dim or 1, 1) + 64
 
 
 def _seeds(candidates: DataFrame, table: pa.Table, spec: Search) -> dict[int, np.ndarray]:

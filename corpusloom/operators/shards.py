@@ -42,6 +42,11 @@ def shard_registry(names: DataFrame, name: str = "name", gateway: str = GATEWAY_
     return names.where(F.col(name) != gateway).withColumn("shard", shard_of_name(F.col(name)))
 
 
+def pose_question(shards: DataFrame, question: str, column: str = "query") -> DataFrame:
+    """The registry with one question in every row, whatever its column held before."""
+    return shards.withColumn(column, F.lit(question).cast("string"))
+
+
 def ask_every_shard(questions: DataFrame, shards: int = DEFAULT_SHARDS) -> DataFrame:
     """Every question once per shard. The shards are a short known list, so no join is needed."""
     return questions.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

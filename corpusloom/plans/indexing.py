@@ -27,6 +27,7 @@ def index_objects(
     shuffle. A chunk whose vector is missing or malformed goes to the reject shard.
     """
     embed = embed or hashed_counts()
+    dim = dim or getattr(embed, "dim", None)
     chunks = chunk_documents(docs, keys, text, size, overlap, **chunk_options)
     embedded = chunks.select(*keys, "chunk_ix", F.col("chunk").alias("context"), embed(F.col("chunk")).alias("vector"))
     shard = F.when(is_usable(F.col("vector"), dim), shard_of([*keys, "chunk_ix"], shards)).otherwise(REJECT_SHARD)

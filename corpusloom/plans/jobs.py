@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 from corpusloom.functions.vectors import Embedder
 from corpusloom.operators.sections import assemble_content, explode_section_lines, keep_sections, page_lines
 from corpusloom.operators.shards import shard_report
-from corpusloom.plans.curate import curate
+from corpusloom.plans.curate import (
+    ARTICLES_PER_TOPIC,
+    HITS_PER_TOPIC,
+    cap_hits,
+    failed_pages,
+    found_articles,
+    monthly_views,
+    most_viewed,
+    resolve_hits,
+)
 from corpusloom.plans.extract import article_texts, safe_articles
 from corpusloom.plans.indexing import index_objects
-from corpusloom.session import spread
+from corpusloom.session import spread, work_folder
 from corpusloom.sinks.articles import write_article_texts, write_failed_pages, write_ranked_lists
 from corpusloom.sinks.index import write_index
 from corpusloom.sources.articles import read_article_files
@@ -20,11 +29,26 @@ from corpusloom.sources.index import read_index
 FILE_KEYS = ["topic", "file_name"]
 
 
-def curate_job(hits: DataFrame, pages: DataFrame, daily: DataFrame, as_of: Column, out: str, **limits: int) -> None:
-    """Ranked articles under ``<out>/articles`` and failed pages under ``<out>/failed``."""
-    articles, failed = curate(hits, pages, daily, as_of, **limits)
-    write_ranked_lists(articles, f"{out}/articles")
-    write_failed_pages(failed, f"{out}/failed")
+def curate_job(
+    hits: DataFrame,
+    pages: DataFrame,
+    daily: DataFrame,
+    as_of: Column,
+    out: str,
+    limit: int = HITS_PER_TOPIC,
+    keep: int = ARTICLES_PER_TOPIC,
+) -> None:
+    """Ranked articles under ``<out>/articles`` and failed pages under ``<out>/failed``.
+
+    The resolved hits, at most ``limit`` per topic, are stored in between, so that the views are
+    read and summed once for both.
+    """
+    spark = hits.sparkSession
+    path = work_folder(spark, "resolved")
+    resolve_hits(cap_hits(hits, limit), pages, monthly_views(daily, as_of)).write.parquet(path)
+    resolved = spark.read.parquet(path)
+    write_ranked_lists(most_viewed(found_articles(resolved), keep), f"{out}/articles")
+    write_failed_pages(failed_pages(resolved), f"{out}/failed")
 
 
 def page_lines_by_row(pages: DataFrame, sections: DataFrame) -> DataFrame:
