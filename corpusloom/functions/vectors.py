@@ -35,7 +35,7 @@ def hashed_counts(dim: int = DEFAULT_DIM) -> Embedder:
         owner = pc.list_parent_indices(words).to_numpy()
         flat = words.flatten().dictionary_encode()
         vocabulary = flat.dictionary.to_pylist()
-        digests = b"".join(md5(word.encode()).digest()[:4] for word in vocabulary)
+        digests = b"".join(md5(word.encode(), usedforsecurity=False).digest()[:4] for word in vocabulary)
         buckets = np.frombuffer(digests, dtype=">u4").astype(np.int64) % dim
         # Blank text splits into one empty word, which does not count.
         counted = np.array([word != "" for word in vocabulary], dtype=np.float32)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,6 @@ class Search:
     carry: tuple[str, ...]
     group: str | None
     per_group: bool
-    probed: bool
 
 
 def _row_dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -137,30 +137,40 @@ def _best_of_tile(asked: Vectors, items: Vectors, part: np.ndarray, floor: np.nd
     return row[order], items.rows[col[order]], value[order]
 
 
-def _search(
-    batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search, seeds: dict[int, np.ndarray] | None = None
-) -> pa.Table | None:
+def _lists(column: pa.ChunkedArray, rows: np.ndarray):
+    """Elements of a list column's given rows, with the position of the row each belongs to."""
+    lists = column.combine_chunks().take(pa.array(rows))
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return lists.flatten(), np.repeat(np.arange(len(rows)), sizes)
+
+
+def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search) -> pa.Table | None:
     """k best items per question (and group, when kept per group) over a stream of batches.
 
-    ``seeds`` holds, per group, a score for each question that its k-th best is known to reach;
-    items below it are left out."""
+    The questions come with their vector and, where these apply, the groups they look in and
+    floors, scores that their k-th best of a group is known to reach."""
     asked = Vectors.of(questions["_vector"], np.arange(questions.num_rows))
     if not len(asked.rows):
         return None  # no question has a usable vector
     everyone = np.arange(len(asked.rows))
     probes = None
-    if spec.probed:
-        lists = questions["_probes"].combine_chunks().take(pa.array(asked.rows))
-        owner = np.repeat(everyone, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-        cell = lists.flatten().to_numpy(zero_copy_only=False)
+    if "_probes" in questions.column_names:
+        cell, owner = _lists(questions["_probes"], asked.rows)
+        cell = cell.to_numpy(zero_copy_only=False)
         order = np.argsort(cell, kind="stable")
         cells, starts = np.unique(cell[order], return_index=True)
         probes = dict(zip(cells.tolist(), np.split(owner[order], starts[1:])))
+    floors: dict[int, np.ndarray] = {}
+    if "_floors" in questions.column_names:
+        known, owner = _lists(questions["_floors"], asked.rows)
+        group, score = (known.field(name).to_numpy(zero_copy_only=False) for name in ("group", "score"))
+        for g in np.unique(group):
+            floors[int(g)] = np.full(len(everyone), -np.inf)
+            floors[int(g)][owner[group == g]] = score[group == g]
 
     by_key = [(key, "ascending") for key in spec.item_keys]
     by_rank = [("_group", "ascending"), ("_asked", "ascending"), ("score", "descending"), *by_key]
     best: pa.Table | None = None
-    floors = {group: floor[asked.rows] for group, floor in (seeds or {}).items()}
 
     for batch in batches:
         found_columns = pa.Table.from_batches([batch]).select([*spec.item_keys, *spec.carry])
@@ -220,19 +230,50 @@ def _vector_bytes(asked: DataFrame, dim: int | None) -> int:
     return 8 * max(dim or 1, 1) + 64
 
 
-def _seeds(candidates: DataFrame, table: pa.Table, spec: Search) -> dict[int, np.ndarray]:
-    """Per group, the k-th best score among ``candidates`` for each row of the questions' table, as
-    far as there are k."""
+def _scan(asked: DataFrame, items: DataFrame, spec: Search, schema: T.StructType) -> DataFrame:
+    """The items searched in place, with all questions sent to every task."""
+    table = asked.toArrow()
+    if "_probes" in table.column_names:
+        # Items stored by cell are then read only where some question looks.
+        cells = {cell for probed in table["_probes"].to_pylist() for cell in probed or ()}
+        items = items.where(F.col(spec.group).isin(sorted(cells)))
+    shared = asked.sparkSession.sparkContext.broadcast(table)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _search(batches, shared.value, spec)
+        if best is not None:
+            yield from best.to_batches(max_chunksize=10_000)
+
+    return items.mapInArrow(scan, schema)
+
+
+def _grid(asked: DataFrame, items: DataFrame, spec: Search, schema: T.StructType, rows: int, columns: int) -> DataFrame:
+    """Every item in one row of a grid, every question in one column, both spread by their keys."""
+    item_side = items.withColumn("_row", F.pmod(F.xxhash64(*spec.item_keys), F.lit(rows))).withColumn(
+        "_column", F.explode(F.expr(f"sequence(0L, {columns - 1}L)"))
+    )
+    asked_side = asked.withColumn("_column", F.pmod(F.xxhash64(*spec.asked_keys), F.lit(columns))).withColumn(
+        "_row", F.explode(F.expr(f"sequence(0L, {rows - 1}L)"))
+    )
+    nothing = to_arrow_schema(schema).empty_table()
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        best = _search(left.to_batches(max_chunksize=10_000), right, spec)
+        return nothing if best is None else best
+
+    return item_side.groupBy("_row", "_column").cogroup(asked_side.groupBy("_row", "_column")).applyInArrow(cell, schema)
+
+
+def _with_floors(asked: DataFrame, candidates: DataFrame, spec: Search) -> DataFrame:
+    """The questions with the k-th best score (per group) among ``candidates``, as far as there are k."""
     by = [*spec.asked_keys, *([spec.group] if spec.per_group else [])]
     order = [F.desc("score"), *[F.asc(c) for c in spec.item_keys]]
     ranked = candidates.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    kth = ranked.where(F.col("_rank") == spec.k).select(*by, "score").toArrow().to_pylist()
-    row_of = {tuple(row[key] for key in spec.asked_keys): at for at, row in enumerate(table.select(list(spec.asked_keys)).to_pylist())}
-    seeds: dict[int, np.ndarray] = {}
-    for row in kth:
-        floor = seeds.setdefault(row[spec.group] if spec.per_group else 0, np.full(table.num_rows, -np.inf))
-        floor[row_of[tuple(row[key] for key in spec.asked_keys)]] = row["score"]
-    return seeds
+    group = F.col(spec.group) if spec.per_group else F.lit(0).cast("long")
+    # One entry per group, of which there are few.
+    floors = ranked.where(F.col("_rank") == spec.k).groupBy(*spec.asked_keys)
+    floors = floors.agg(F.collect_list(F.struct(group.alias("group"), "score")).alias("_floors"))
+    return asked.join(floors, list(spec.asked_keys), "left")
 
 
 def nearest_candidates(
@@ -269,7 +310,7 @@ def nearest_candidates(
     items, told by a hash of their keys, is searched first. The k-th best score found there is one
     that the question's final k-th best reaches, so every task can leave out what lies below it.
     """
-    spec = Search(k, tuple(asked_keys), tuple(item_keys), tuple(carry), group, per_group, probes is not None)
+    spec = Search(k, tuple(asked_keys), tuple(item_keys), tuple(carry), group, per_group)
     asked = asked.select(*asked_keys, F.col(asked_vector).alias("_vector"), *([F.col(probes).alias("_probes")] if probes else []))
     items = items.select(*item_keys, *carry, F.col(item_vector).alias("_vector"), *([group] if group else []))
     schema = _output_schema(asked, items, spec)
@@ -277,42 +318,16 @@ def nearest_candidates(
     row_bytes = _vector_bytes(asked, dim)
 
     if questions * row_bytes <= broadcast_bytes:
-        context = asked.sparkSession.sparkContext
-        table = asked.toArrow()
-        if probes:
-            # Items stored by cell are then read only where some question looks.
-            items = items.where(F.col(group).isin(sorted({c for cells in table["_probes"].to_pylist() for c in cells or ()})))
-
-        def scan_all(items: DataFrame, seeds: dict[int, np.ndarray] | None) -> DataFrame:
-            shared = context.broadcast((table, seeds))
-
-            def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                best = _search(batches, shared.value[0], spec, shared.value[1])
-                if best is not None:
-                    yield from best.to_batches(max_chunksize=10_000)
-
-            return items.mapInArrow(scan, schema)
-
-        if questions * k * context.defaultParallelism <= unseeded_rows:
-            return scan_all(items, None)
+        tasks = asked.sparkSession.sparkContext.defaultParallelism
+        search = partial(_scan, spec=spec, schema=schema)
+    else:
+        columns = -(-questions * row_bytes // cell_bytes)
+        tasks = max(1, -(-items.count() * row_bytes // cell_bytes))
+        search = partial(_grid, spec=spec, schema=schema, rows=tasks, columns=columns)
+    if questions * k * tasks > unseeded_rows:
         part = items.where(F.pmod(F.xxhash64(*item_keys), F.lit(SEED_SHARE)) == 0)
-        return scan_all(items, _seeds(scan_all(part, None), table, spec))
-
-    columns = -(-questions * row_bytes // cell_bytes)
-    rows = max(1, -(-items.count() * row_bytes // cell_bytes))
-    item_side = items.withColumn("_row", F.pmod(F.xxhash64(*item_keys), F.lit(rows))).withColumn(
-        "_column", F.explode(F.expr(f"sequence(0L, {columns - 1}L)"))
-    )
-    asked_side = asked.withColumn("_column", F.pmod(F.xxhash64(*asked_keys), F.lit(columns))).withColumn(
-        "_row", F.explode(F.expr(f"sequence(0L, {rows - 1}L)"))
-    )
-    nothing = to_arrow_schema(schema).empty_table()
-
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = _search(left.to_batches(max_chunksize=10_000), right, spec)
-        return nothing if best is None else best
-
-    return item_side.groupBy("_row", "_column").cogroup(asked_side.groupBy("_row", "_column")).applyInArrow(cell, schema)
+        asked = _with_floors(asked, search(asked, part), spec)
+    return search(asked, items)
 
 
 def rank_matches(candidates: DataFrame, k: int, by: list[str], item_keys: list[str]) -> DataFrame:

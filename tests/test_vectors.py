@@ -68,8 +68,9 @@ def test_seeded_search_equals_brute_force(spark, k):
     """Floors from a part of the items change nothing but the number of rows handed on."""
     items, asked = random_items(3000, 8, 11, whole=True), random_items(30, 8, 12, whole=True)
     expected = brute_force(asked, items, k)
-    seeded = run(spark, asked, items, k, partitions=8, unseeded_rows=0)
-    assert as_dict(seeded.collect()) == expected
+    for way in ({}, {"broadcast_bytes": 0, "cell_bytes": 8192}):
+        seeded = run(spark, asked, items, k, partitions=8, unseeded_rows=0, **way)
+        assert as_dict(seeded.collect()) == expected
     items, asked = random_items(3000, 8, 13), random_items(30, 8, 14)
     # Floors of a 64th part pay off with more tasks than that.
     things = spark.createDataFrame(items, SCHEMA).repartition(256)
@@ -138,7 +139,7 @@ def test_cells(spark):
     keys = dict(asked_keys=["qid"], item_keys=["id"])
     assert placed.where("cell is null").count() == 0 and placed.count() == 200
     everything = brute_force(asked, items, 3)
-    for extra in ({}, {"broadcast_bytes": 0, "cell_bytes": 2048}):
+    for extra in ({}, {"unseeded_rows": 0}, {"broadcast_bytes": 0, "cell_bytes": 2048}):
         assert as_dict(nearest_in_cells(questions, placed, model, 3, 6, **keys, **extra).collect()) == everything
     # With fewer probes: the best among the items of the probed cells.
     probed = {r["qid"]: set(r["cells"]) for r in questions.select("qid", cells_to_probe(model, F.col("vector"), 2).alias("cells")).collect()}
@@ -147,7 +148,7 @@ def test_cells(spark):
     for q, v, _ in asked:
         assert len(probed[q]) == 2
         expected |= brute_force([(q, v)], [i for i in items if cell[i[0]] in probed[q]], 3)
-    for extra in ({}, {"broadcast_bytes": 0, "cell_bytes": 2048}):
+    for extra in ({}, {"unseeded_rows": 0}, {"broadcast_bytes": 0, "cell_bytes": 2048}):
         assert as_dict(nearest_in_cells(questions, placed, model, 3, 2, **keys, **extra).collect()) == expected
 
 
