@@ -84,7 +84,7 @@ def missing_page_error(title: Column) -> Column:
 def trailing_number(name: Column) -> Column:
     """The number at the end of a name, all of its digits; null where there is none."""
     digits = F.regexp_extract(name, r"(\d+)$", 1)
-    return F.when(digits != "", digits).cast("bigint")
+    return F.when(digits != "", digits).try_cast("bigint")
 
 
 def shard_of_name(name: Column) -> Column:

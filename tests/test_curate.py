@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,50 @@ def test_keyword_search(spark):
     assert len(DEFAULT_TOPICS) == 10
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they run when neither side is small."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_keyword_search_of_many_copies_equals_brute_force(spark, no_broadcast):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(12))) for _ in range(200)] + ["a b c a"] * 100
+    queries = [" ".join(rng.choice("abcdefghz") for _ in range(rng.randrange(1, 4))) for _ in range(25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    topics = spark.createDataFrame(list(enumerate(queries)), "topic long, query string")
+    expected = []
+    for topic, query in enumerate(queries):
+        terms = set(query.split())
+        found = [(-sum(w in terms for w in t.split()), d) for d, t in enumerate(texts) if terms <= set(t.split())]
+        expected += [(topic, place, d, -hits) for place, (hits, d) in enumerate(sorted(found)[:30], 1)]
+    assert sorted(tuple(r) for r in keyword_search(docs, topics, limit=30).collect()) == expected
+
+
+def test_a_title_with_a_third_of_all_hits(spark, no_broadcast):
+    rows = [(f"t{i % 3}", i, "hot" if i % 3 == 0 else f"p{i % 40}", i) for i in range(3000)]
+    hits = spark.createDataFrame(rows, HITS).repartition(5)
+    pages = spark.createDataFrame([("hot", "Hot"), *[(f"p{i}", f"P{i}") for i in range(0, 40, 2)]], "title string, canonical string")
+    views = spark.createDataFrame([("Hot", 7), ("P4", 1)], "title string, views long")
+    resolved = resolve_hits(hits, pages, views)
+    known = {"Hot": 7, "P4": 1}
+    expected = []
+    for topic, rank, title, pageid in rows:
+        canonical = title.capitalize() if title == "hot" or int(title[1:]) % 2 == 0 else None
+        expected.append((topic, rank, title, pageid, canonical, known.get(canonical, 0)))
+    assert sorted((tuple(r) for r in resolved.collect()), key=lambda r: r[1]) == expected
+    kept = [tuple(r) for r in most_viewed(found_articles(resolved), 4).orderBy("topic", "rank").collect()]
+    best = {}
+    for topic, rank, _, pageid, canonical, seen in sorted(expected, key=lambda r: (-r[5], r[1])):
+        if canonical:
+            best.setdefault(topic, []).append((topic, rank, canonical, pageid, seen))
+    assert kept == sorted(row for rows in best.values() for row in rows[:4])
+
+
 def test_ranked_lists_on_disk(spark, tmp_path):
     rows = [("Computer science", 1, "Çok", 7, 9), ("Computer science", 0, "B", None, 9), ("2024", 0, "C", 1, 0)]
     articles = spark.createDataFrame(rows, "topic string, rank int, title string, pageid long, views long")
