@@ -2,14 +2,51 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from corpusloom.llm.bpe import encode_documents
+from corpusloom.llm.language import predict_languages
+from corpusloom.llm.leaks import benchmark_matches
 from corpusloom.llm.near import near_duplicates
 from corpusloom.llm.store import table
 
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+def public_ranks() -> tuple[str, str]:
+    """Path of the public rank file, and the pattern that cuts text before the merges."""
+    import public_tokenizers
+
+    return public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
+
+
+def op2_language_id(spark, sf_dir):
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_matches(spark, sf_dir):
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_byte_bpe(spark, sf_dir):
+    encoded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), *public_ranks())
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
 
 def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_near_duplicates": op10_near_duplicates}
+QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op5_benchmark_matches": op5_benchmark_matches,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op10_near_duplicates": op10_near_duplicates,
+}
 
 ORACLE: dict[str, str] = {}
