@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.bpe import encode_documents
 from corpusloom.llm.language import predict_languages
 from corpusloom.llm.leaks import benchmark_matches
+from corpusloom.llm.lines import line_report
 from corpusloom.llm.near import near_duplicates
 from corpusloom.llm.store import table
 
@@ -38,6 +39,10 @@ def op7_byte_bpe(spark, sf_dir):
     )
 
 
+def op9_line_dedup(spark, sf_dir):
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op5_benchmark_matches": op5_benchmark_matches,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_line_dedup": op9_line_dedup,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
