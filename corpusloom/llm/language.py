@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.store import packed
 from corpusloom.llm.words import chunks
 from corpusloom.operators.ranking import top_per_group
 
@@ -205,5 +206,4 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
 def in_known_language(docs: DataFrame) -> DataFrame:
     """The documents whose text is in one of the labelled languages; all columns stay as they are."""
-    columns = docs.columns
-    return with_language(docs, labelled_sample(docs)).where("in_language").select(columns)
+    return with_language(packed(docs, "text"), labelled_sample(docs)).where("in_language").select("row.*")

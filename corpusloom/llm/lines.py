@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.store import literal_array, same, stored
+from corpusloom.llm.store import literal_array, packed, same, stored
 
 PERCENT = 90
 BUCKETS = 1 << 16  # word counts by hash, for the order of rarity
@@ -130,12 +130,11 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _with_kept(docs: DataFrame, percent: int) -> DataFrame:
-    """The documents with ``_kept``, the places of all lines that stay, and ``_full``, how many
-    lines are not blank."""
+    """The documents as ``row`` with ``_kept``, the places of the lines that stay, blank ones apart."""
     kept = kept_lines(docs.select("doc_id", "text"), percent).withColumnRenamed("doc_id", "_id").withColumnRenamed("_key", "_k")
     kept = stored(kept, "kept")
-    docs = _keyed(docs).join(kept, (F.col("_key") == F.col("_k")) & same(F.col("doc_id"), F.col("_id")), "left")
-    return docs.withColumn("_kept", F.coalesce("kept", F.array().cast("array<int>"))).drop("_id", "_k", "_key", "kept")
+    docs = _keyed(packed(docs, "doc_id", "text")).join(kept, (F.col("_key") == F.col("_k")) & same(F.col("doc_id"), F.col("_id")), "left")
+    return docs.withColumn("_kept", F.coalesce("kept", F.array().cast("array<int>")))
 
 
 def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -162,7 +161,6 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     A document that had words and has no line with words left goes; one without words stays as it
     is. All columns stay, and the text holds the lines that are left, blank ones included.
     """
-    columns = docs.columns
     full = _with_kept(docs, percent)
     lines = lines_of(F.col("text"))
     blanks = lambda parts: F.filter(F.transform(parts, lambda line, i: F.when(is_blank(line), i)), lambda i: i.isNotNull())
@@ -175,4 +173,4 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     full = full.withColumn("_cut", F.get(F.transform(F.array(lines), cut), F.lit(0)))
     stays = F.col("text").isNull() | (F.size("_kept") > 0) | (F.col("_cut.blank") == F.col("_cut.n"))
     text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("_cut.text"))
-    return full.where(stays).withColumn("text", text).select(columns)
+    return full.where(stays).select(F.col("row").withField("text", text).alias("row")).select("row.*")

@@ -8,11 +8,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
-from corpusloom.llm.store import same, stored
+from corpusloom.llm.store import packed, same, stored
 from corpusloom.llm.words import U, byte_classes, chunks, gram_hashes, mix, word_hashes
 from corpusloom.operators.ranking import top_per_group
 
@@ -189,8 +189,8 @@ def _open_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, count: in
     return pairs.select("a", "n_a", F.col("set_key").alias("b"), F.col("n_shingles").alias("n_b")), pivots.select("band", "set_key")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each document of ``doc_id, text``.
+def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id`` for each document of ``doc_id, text``.
 
     Documents with equal shingle sets are one node. Bands of the signatures bring nodes together;
     each pair is confirmed on the full sets (``100 * both >= percent * either``) and the confirmed
@@ -229,7 +229,27 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     ids = stored(ids.select("set_key", "min_id", F.coalesce("component", "set_key").alias("component")), "placed")
     lowest = ids.groupBy("component").agg(F.min("min_id").alias("component_id"))
     ids = ids.join(lowest, "component").select("set_key", "component_id")
-    out = sets.select("doc_id", "n_shingles", "set_key").join(ids.withColumnRenamed("set_key", "_key"), (F.col("n_shingles") > 0) & (F.col("set_key") == F.col("_key")), "left")
+    out = sets.select("doc_id", "text_key", "n_shingles", "set_key").join(ids.withColumnRenamed("set_key", "_key"), (F.col("n_shingles") > 0) & (F.col("set_key") == F.col("_key")), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    return out.withColumn("kept", same(F.col("doc_id"), F.col("component_id")))
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, **parameters: int) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for each document; see ``grouped``."""
+    found = grouped(docs, **parameters).drop("text_key")
+    return found.withColumn("kept", same(F.col("doc_id"), F.col("component_id")))
+
+
+def one_per_group(docs: DataFrame, **parameters: int) -> DataFrame:
+    """The documents that no document of lower doc_id resembles, directly or over others, and all
+    without words. Of several rows of one doc_id in a group one stays. All columns stay as they are.
+    """
+    found = grouped(docs, **parameters).where(same(F.col("doc_id"), F.col("component_id")))
+    texts = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("text_key").alias("_key"))
+    keepers = stored(texts.withColumnRenamed("component_id", "_id"), "keepers")
+    rows = packed(docs, "doc_id", F.xxhash64("text").alias("text_key"), F.col("text"))
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = rows.where(~blank).join(keepers, (F.col("text_key") == F.col("_key")) & same(F.col("doc_id"), F.col("_id")))
+    first = F.row_number().over(Window.partitionBy("text_key", "doc_id").orderBy("text_key"))
+    kept = kept.withColumn("_nth", first).where("_nth = 1")
+    return kept.select("row.*").unionByName(rows.where(blank).select("row.*"))

@@ -20,6 +20,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """The rows as one column ``row`` beside the named ones, so that no column can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *names)
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality that also holds between nulls."""
     return a.eqNullSafe(b)
