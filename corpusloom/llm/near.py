@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
-from corpusloom.llm.store import packed, same, stored
+from corpusloom.llm.store import literal_array, packed, same, stored
 from corpusloom.llm.words import U, byte_classes, chunks, gram_hashes, mix, word_hashes
 from corpusloom.operators.ranking import top_per_group
 
@@ -20,9 +21,13 @@ SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 40, 5
 SMALL = 16  # members up to which a bucket's pairs are listed outright
+HAND = 4
 TILE = 1 << 14
 SPACE = b" \t\n\x0b\x0c\r"
-SKETCH = pa.struct([("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+PLANES = 4  # bits kept of every place of a signature
+UNION_STEP, UNION_STEPS = 32, 64
+SLACK = 4.0  # standard deviations by which an estimate may be too low
+SKETCH = pa.struct([("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("planes", pa.list_(pa.int64()))])
 
 
 @cache
@@ -87,10 +92,11 @@ def _tiles(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def sketcher(size: int, bands: int, rows: int):
-    """Column function: size of the shingle set, its digest and the hashes of its bands."""
+    """Column function: size of the shingle set, its digest, the hashes of its bands, and ``PLANES``
+    bits of every place of the signature, plane by plane in words of 64 bits."""
 
     def sketch(texts: pa.Array) -> pa.Array:
-        counts, keys, hashes = [], [], []
+        counts, keys, hashes, bits = [], [], [], []
         seed = mix(np.arange(1, bands + 1, dtype=U))
         for data, offsets, _ in chunks(texts):
             elements, bounds = shingle_sets(data, offsets, size)
@@ -109,12 +115,54 @@ def sketcher(size: int, bands: int, rows: int):
                 for k in range(rows):
                     band = mix(band * U(0x100000001B3) + signature[:, k::rows])
                 hashes.append(band)
+                few = mix(signature)[:, None, :] >> np.arange(PLANES, dtype=U)[None, :, None] & U(1)
+                packed_bits = np.packbits(few.astype(np.uint8), axis=2, bitorder="little")
+                whole = np.zeros((b - a, PLANES, 8 * _words(bands * rows)), np.uint8)
+                whole[:, :, : packed_bits.shape[2]] = packed_bits
+                bits.append(whole.reshape(-1).view(np.int64))
         n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         flat = np.concatenate(hashes).reshape(-1).view(np.int64) if hashes else np.zeros(0, np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * bands), pa.array(flat))
-        return pa.StructArray.from_arrays([pa.array(n), pa.array(keys, pa.binary()), lists], fields=list(SKETCH))
-
-    return F.arrow_udf(sketch, "n_shingles long, set_key binary, bands array<bigint>")
+        plane_words = np.concatenate(bits) if bits else np.zeros(0, np.int64)
+        lists = [
+            pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * width), pa.array(values))
+            for width, values in ((bands, flat), (PLANES * _words(bands * rows), plane_words))
+        ]
+        return pa.StructArray.from_arrays([pa.array(n), pa.array(keys, pa.binary()), *lists], fields=list(SKETCH))
+
+    return F.arrow_udf(sketch, "n_shingles long, set_key binary, bands array<bigint>, planes array<bigint>")
+
+
+def _words(places: int) -> int:
+    return -(-places // 64)
+
+
+def variance_share(places: int, union: int) -> float:
+    """Variance of a SuperMinHash estimate as a share of that of independent places, for two sets
+    with so many elements together; it is well under 1 up to a few times as many as places."""
+    low, total = places - 1, 0.0
+    for k in range(1, places):
+        total += (k / places) ** union * (((k + 1) / low) ** union + ((k - 1) / low) ** union - 2 * (k / low) ** union)
+    return 1 - total * low / (union - 1)
+
+
+def _may_be_alike(x: str, y: str, places: int, percent: int) -> Column:
+    """Whether two sketches agree in as many places as sets of the least similarity do, less
+    ``SLACK`` standard deviations; places that differ agree in ``PLANES`` bits once in 2**PLANES."""
+    agree = percent / 100 + (1 - percent / 100) / (1 << PLANES)
+    spread = lambda share: math.sqrt(places * agree * (1 - agree) * share)
+    # The variance grows with the union; each entry holds for unions of up to UNION_STEP more.
+    shares = [variance_share(places, (i + 1) * UNION_STEP) for i in range(UNION_STEPS - 1)] + [1.0]
+    most = literal_array([math.floor(places * (1 - agree) + SLACK * spread(share)) for share in shares], "int")
+    union = F.floor(100 * (F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")) / F.lit((100 + percent) * UNION_STEP)).cast("int")
+    width, differing = _words(places), F.lit(0)
+    for w in range(width):
+        planes = [F.get(f"{x}.planes", F.lit(p * width + w)).bitwiseXOR(F.get(f"{y}.planes", F.lit(p * width + w))) for p in range(PLANES)]
+        either = planes[0]
+        for plane in planes[1:]:
+            either = either.bitwiseOR(plane)
+        differing = differing + F.bit_count(either)
+    sizes = 100 * F.least(f"{x}.n_shingles", f"{y}.n_shingles") >= percent * F.greatest(f"{x}.n_shingles", f"{y}.n_shingles")
+    return sizes & (differing <= F.get(most, F.least(union, F.lit(UNION_STEPS - 1))))
 
 
 def word_shingles(text: str, size: int) -> set:
@@ -158,35 +206,47 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, p
     return stored(wanted.join(left, "a").join(right, "b").where(check("text_a", "text_b")).select("a", "b"), "confirmed")
 
 
-def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Every pair of a small bucket; each member of a large one with its first member."""
-    small = buckets.where(F.col("members") <= SMALL)
-    listed = small.groupBy("band").agg(F.sort_array(F.collect_list(F.struct("set_key", "n_shingles"))).alias("all"))
+def _small_pairs(buckets: DataFrame) -> DataFrame:
+    """Every pair of a bucket of up to ``SMALL`` members."""
+    listed = buckets.where(F.col("members") <= SMALL).groupBy("band").agg(F.sort_array(F.collect_list(F.struct("set_key", "n_shingles"))).alias("all"))
     tails = listed.select(F.posexplode("all").alias("i", "x"), "all")
-    tails = tails.select("x", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("y"))
-    stars = buckets.where(F.col("members") > SMALL).select(F.struct("set_key", "n_shingles").alias("x"), F.col("first").alias("y"))
-    both = tails.unionByName(stars)
-    return both.select(
+    return _ends(tails.select("x", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("y")))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
         F.col("x.set_key").alias("a"), F.col("x.n_shingles").alias("n_a"), F.col("y.set_key").alias("b"), F.col("y.n_shingles").alias("n_b")
     )
 
 
-def _open_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+def _star_pairs(large: DataFrame, percent: int, places: int) -> DataFrame:
+    """In a large bucket each member with the bucket's first and with the first of a hand of about
+    ``HAND``, dealt anew in every bucket, which joins most members of a large group whichever of
+    them are alike."""
+    hand = F.pmod(F.xxhash64("band", "x.set_key"), F.floor(F.col("members") / HAND))
+    dealt = large.select("band", "x", hand.alias("hand"))
+    stars = [dealt.join(dealt.groupBy(*by).agg(F.min("x").alias("y")), by).select("x", "y") for by in (["band"], ["band", "hand"])]
+    return _ends(stars[0].unionByName(stars[1]).where(_may_be_alike("x", "y", places, percent)))
+
+
+def _open_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, count: int, percent: int, places: int):
     """Pairs of large buckets that are still in different components, and the members they start from.
 
     Every such pair has an end outside the bucket's largest component. So ``count`` more of the
-    members outside it are held against all members of other components, until none is left.
+    members outside it are held against all members of other components, until none is left. A
+    pair comes up in one of its buckets only, and only if the signatures may be alike.
     """
-    placed = large.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
-    placed = placed.select("band", "set_key", "n_shingles", F.coalesce("component", "set_key").alias("component"))
+    placed = large.join(labels, F.col("x.set_key") == F.col("node"), "left")
+    placed = placed.select("band", "x", F.coalesce("component", "x.set_key").alias("component"))
     parts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
     largest = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
     mixed = placed.join(largest.where("parts > 1").select("band", F.col("top.component").alias("top")), "band")
-    outside = mixed.where("component <> top").join(tried, ["band", "set_key"], "left_anti")
-    pivots = stored(top_per_group(outside.select("band", "set_key", "n_shingles", "component"), ["band"], [F.col("set_key")], count), "pivots")
-    ends = pivots.select("band", F.col("set_key").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("_part"))
-    pairs = mixed.join(ends, "band").where("component <> _part")
-    return pairs.select("a", "n_a", F.col("set_key").alias("b"), F.col("n_shingles").alias("n_b")), pivots.select("band", "set_key")
+    outside = mixed.where("component <> top").withColumn("set_key", F.col("x.set_key")).join(tried, ["band", "set_key"], "left_anti")
+    pivots = stored(top_per_group(outside, ["band"], [F.col("set_key")], count), "pivots")
+    ends = pivots.select(F.col("band").alias("_band"), F.col("x").alias("y"), F.col("component").alias("_other"))
+    here = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("_band")
+    pairs = mixed.join(ends, F.col("band") == F.col("_band")).where((F.col("component") != F.col("_other")) & _may_be_alike("x", "y", places, percent) & here)
+    return _ends(pairs), pivots.select("band", "set_key")
 
 
 def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -201,30 +261,36 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands:
     Defined results: a null or blank text has no shingles, is linked with nothing and is its own
     component; fewer words than ``size`` make one shingle; repeated rows stay, each with the result
     of its text; a null doc_id is carried, and counts as a component's id only if all are null.
-    Similar sets below 100 % recall: two sets at the threshold miss all bands with a probability
-    of ``(1 - 0.75**5)**40``, 2 in 100,000, and less the more alike they are.
+    What can be missed: two sets just at the threshold share no band with a probability of
+    ``(1 - 0.75**5)**40``, 2 in 100,000, and less the more alike they are; in large buckets, a link
+    on which alone a component hangs, whose signatures agree ``SLACK`` standard deviations less
+    than expected, 3 in 100,000.
     """
     sketch = sketcher(size, bands, rows)(F.col("text"))
     rows_ = docs.select("doc_id", F.xxhash64("text").alias("text_key"), sketch.alias("s"))
     sets = stored(rows_.select("doc_id", "text_key", "s.*"), "sets")
     full = sets.where("n_shingles > 0")
-    firsts = full.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("min_id"))
+    firsts = full.groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("min_id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "planes")]
+    )
     nodes = stored(firsts, "nodes")
-    # Rows of equal sets have equal bands; distinct() in the map tasks leaves one.
-    banded = full.select("set_key", "n_shingles", F.posexplode("bands").alias("i", "band")).drop("i").distinct()
-    shared = banded.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("set_key", "n_shingles")).alias("first"))
-    buckets = stored(banded.join(shared.where("members > 1"), "band"), "buckets")
-    links = _confirmed(_pairs(_first_pairs(buckets), percent), nodes, docs, size, percent)
+    banded = nodes.select("set_key", "n_shingles", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    buckets = stored(banded.join(shared, "band"), "buckets")
+    large = buckets.where(F.col("members") > SMALL).join(nodes.select("set_key", "bands", "planes"), "set_key")
+    large = stored(large.select("band", "members", F.struct("set_key", "n_shingles", "bands", "planes").alias("x")), "large")
+    places = bands * rows
+    first = _small_pairs(buckets).unionByName(_star_pairs(large, percent, places))
+    links = _confirmed(_pairs(first, percent), nodes, docs, size, percent)
     labels = components(links)
-    large, tried, count = buckets.where(F.col("members") > SMALL), None, SMALL
+    tried, count = large.select("band", F.col("x.set_key").alias("set_key")).where("false"), SMALL
     while True:
-        seen = tried if tried is not None else large.select("band", "set_key").limit(0)
-        pairs, pivots = _open_pairs(large, labels, seen, count)
+        pairs, pivots = _open_pairs(large, labels, tried, count, percent, places)
         if pivots.isEmpty():
             break
         links = links.unionByName(_confirmed(_pairs(pairs, percent), nodes, docs, size, percent))
         labels = components(links)
-        tried, count = (pivots if tried is None else tried.unionByName(pivots)), 4 * count
+        tried, count = tried.unionByName(pivots), 4 * count
     ids = nodes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
     ids = stored(ids.select("set_key", "min_id", F.coalesce("component", "set_key").alias("component")), "placed")
     lowest = ids.groupBy("component").agg(F.min("min_id").alias("component_id"))
