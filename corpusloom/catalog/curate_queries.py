@@ -6,19 +6,15 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import sql
 from corpusloom.catalog.tables import as_of, daily_views, documents, hits, known_pages, search_topics, table
-from corpusloom.operators.search import hits_per_topic, keyword_search as search
+from corpusloom.operators.search import HITS_PER_TOPIC, hits_per_topic, keyword_search as search
 from corpusloom.plans.curate import cap_hits, curate, monthly_views, resolve_hits
-from corpusloom.plans.retrieval import DEFAULT_RESULT_LIMIT
 from corpusloom.session import work_folder
 from corpusloom.sinks.articles import write_failed_pages, write_ranked_lists
 from corpusloom.sources.articles import read_ranked_lists
 
-# Small enough to bite on the given tables; the library's own defaults are 1000 and 500.
-HITS, KEEP = 200, 50
-
 
 def _curated(spark, sf_dir):
-    return curate(hits(spark, sf_dir), known_pages(spark, sf_dir), daily_views(spark, sf_dir), as_of(), HITS, KEEP)
+    return curate(hits(spark, sf_dir), known_pages(spark, sf_dir), daily_views(spark, sf_dir), as_of())
 
 
 def last_month_views(spark, sf_dir):
@@ -29,7 +25,7 @@ def last_month_views(spark, sf_dir):
 
 def resolved_hits(spark, sf_dir):
     views = monthly_views(daily_views(spark, sf_dir), as_of())
-    return resolve_hits(cap_hits(hits(spark, sf_dir), HITS), known_pages(spark, sf_dir), views)
+    return resolve_hits(cap_hits(hits(spark, sf_dir)), known_pages(spark, sf_dir), views)
 
 
 def top_articles_per_topic(spark, sf_dir):
@@ -58,7 +54,7 @@ def article_counts(spark, sf_dir):
 
 
 def _found(spark, sf_dir):
-    return search(documents(spark, sf_dir), search_topics(spark, sf_dir), limit=DEFAULT_RESULT_LIMIT)
+    return search(documents(spark, sf_dir), search_topics(spark, sf_dir), limit=HITS_PER_TOPIC)
 
 
 def keyword_search(spark, sf_dir):
@@ -81,6 +77,7 @@ QUERIES = {
     "keyword_hit_counts": keyword_hit_counts,
 }
 
+# Fixed value: the error text.
 _FAILED = f"""
     WITH {sql.RESOLVED}
     SELECT topic, title AS original_title, 'Page ''' || title || ''' does not exist according to wikipediaapi.' AS error
@@ -91,9 +88,9 @@ ORACLE = {
         SELECT l_partkey, sum(l_quantity)::BIGINT AS views FROM lineitem
         WHERE l_shipdate >= DATE '1998-06-01' AND l_shipdate < DATE '1998-07-01' GROUP BY l_partkey""",
     "resolved_hits": f"WITH {sql.RESOLVED} SELECT topic, rank, title, pageid, canonical, views FROM resolved",
-    "top_articles_per_topic": f"WITH {sql.RESOLVED} SELECT topic, rank, title, pageid, views FROM articles",
+    "top_articles_per_topic": f"WITH {sql.RESOLVED} SELECT topic, rank, title, pageid, views, place FROM articles",
     "failed_pages": _FAILED,
-    "ranked_lists": f"WITH {sql.RESOLVED} SELECT topic, title, pageid, views FROM articles",
+    "ranked_lists": f"WITH {sql.RESOLVED} SELECT topic, title, pageid, views, place FROM articles",
     "failed_lists": _FAILED,
     "article_counts": f"WITH {sql.RESOLVED} SELECT topic, count(*) AS articles FROM articles GROUP BY topic",
     "keyword_search": f"WITH {sql.SEARCH} SELECT topic, rank, doc_id, hits FROM hits",

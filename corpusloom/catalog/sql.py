@@ -72,6 +72,7 @@ matches AS (
   FROM best JOIN chunks USING (doc_id, chunk_ix)),
 prompts AS (
   SELECT conv_id, seq, query, rag_text, certainty, distance,
+    -- Fixed value: the prompt's text.
     'You are an AI assistant. Use the following context to answer the question.' || chr(10) || chr(10) ||
     'Context:' || chr(10) || rag_text || chr(10) || chr(10) ||
     'Question:' || chr(10) || query || chr(10) || chr(10) || 'Answer:' AS prompt
@@ -85,10 +86,10 @@ RESOLVED = f"""
 titled AS (SELECT p_partkey, p_type, {PART_TITLE} AS title FROM part),
 capped AS (
   SELECT p_type AS topic, p_partkey AS rank, title, p_partkey AS pageid FROM titled
-  QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) <= 200),
+  QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) <= 1000),
 known AS (
   SELECT DISTINCT title, {CANONICAL} AS canonical FROM titled
-  WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= DATE '1998-04-01' AND l_shipdate < DATE '1998-07-01')),
+  WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= DATE '1998-06-01' AND l_shipdate < DATE '1998-07-01')),
 viewed AS (
   SELECT {CANONICAL} AS canonical, sum(l_quantity)::BIGINT AS views FROM lineitem JOIN titled ON l_partkey = p_partkey
   WHERE l_shipdate >= DATE '1998-06-01' AND l_shipdate < DATE '1998-07-01' GROUP BY ALL),
@@ -96,8 +97,8 @@ resolved AS (
   SELECT topic, rank, title, pageid, canonical, coalesce(views, 0)::BIGINT AS views
   FROM capped LEFT JOIN known USING (title) LEFT JOIN viewed USING (canonical)),
 articles AS (
-  SELECT topic, rank, canonical AS title, pageid, views FROM resolved WHERE canonical IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY topic ORDER BY views DESC, rank) <= 50)"""
+  SELECT topic, rank, canonical AS title, pageid, views, row_number() OVER (PARTITION BY topic ORDER BY views DESC, rank)::INTEGER AS place
+  FROM resolved WHERE canonical IS NOT NULL QUALIFY place <= 500)"""
 
 # Documents that hold every word of a benchmark item.
 SEARCH = f"""
@@ -108,11 +109,12 @@ found AS (
   SELECT topic, doc_id, sum(c)::BIGINT AS hits, count(*) AS terms FROM held JOIN wanted USING (term) GROUP BY ALL),
 hits AS (
   SELECT topic, doc_id, hits, row_number() OVER (PARTITION BY topic ORDER BY hits DESC, doc_id) AS rank
-  FROM found JOIN asked_terms USING (topic, terms) QUALIFY rank <= 20)"""
+  FROM found JOIN asked_terms USING (topic, terms) QUALIFY rank <= 1000)"""
 
 
 def dropped(source: str) -> str:
     """CTE ``kept``: rows of ``source (page_id, ord, level, title, ...)`` outside ignored subtrees."""
+    # The titles of the sections that are left out.
     return f"""
 judged AS (
   SELECT *, lower({strip('title')}) IN ('see also', 'references', 'further reading', 'external links', 'notes', 'citations', 'bibliography') AS ignored

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.dates import in_last_month
 from corpusloom.functions.text import split_words
 from corpusloom.session import spread
 
 AS_OF = "1998-07-15"
-QUARTER = ("1998-04-01", "1998-07-01")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +47,9 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles of parts shipped in the quarter, with the page title they lead to."""
+    """Titles of parts shipped in the last complete month, with the page title they lead to."""
     part = table(spark, sf_dir, "part").select("p_partkey", _part_title().alias("title"))
-    shipped = table(spark, sf_dir, "lineitem").where(
-        (F.col("l_shipdate") >= F.lit(QUARTER[0]).cast("date")) & (F.col("l_shipdate") < F.lit(QUARTER[1]).cast("date"))
-    )
+    shipped = table(spark, sf_dir, "lineitem").where(in_last_month(F.col("l_shipdate"), as_of()))
     titles = part.join(shipped, part.p_partkey == shipped.l_partkey, "left_semi").select("title").distinct()
     return titles.select("title", _canonical(F.col("title")).alias("canonical"))
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import sql
-from corpusloom.catalog.tables import documents, page_parts, paragraph_sections, table
+from corpusloom.catalog.tables import as_of, daily_views, documents, hits, known_pages, page_parts, paragraph_sections, table
 from corpusloom.functions.dates import last_month_range
 from corpusloom.functions.text import clean_file_name, comparable, split_sentences, topic_file_stem, topic_folder, url_title
 from corpusloom.functions.views import views_of_json
 from corpusloom.operators.chunking import chunk_counts, chunk_documents, empty_documents, tokenizer_hooks
 from corpusloom.operators.sections import explode_section_lines, keep_sections, page_content, page_lines
+from corpusloom.plans.curate import curate
 from corpusloom.plans.extract import page_texts, safe_articles
 from corpusloom.session import work_folder
 from corpusloom.sinks.articles import write_article_files, write_article_texts
@@ -112,14 +113,12 @@ def section_lines(spark, sf_dir):
 
 
 def article_texts(spark, sf_dir):
-    """Page texts per topic and safe title, written as a table and read back."""
-    pages = page_parts(spark, sf_dir)
-    content = page_content(page_lines(F.col("title"), F.col("summary"), F.col("sections")))
-    # Titles are cut at their first blank, so that several pages share one.
-    first_word = F.element_at(F.split("title", " "), 1)
-    texts = pages.select(
-        F.element_at(F.split("url", "/"), 4).alias("topic"), F.col("page_id").alias("rank"), first_word.alias("title"), content.alias("content")
-    )
+    """A text per article of the curated lists, by topic and safe title, written as a table and read
+    back. Parts share names, so titles clash, and the last of a list stays."""
+    articles = curate(hits(spark, sf_dir), known_pages(spark, sf_dir), daily_views(spark, sf_dir), as_of())[0]
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pageid"), "p_name", "p_brand", "p_retailprice")
+    content = F.concat_ws("\n", "p_name", "p_brand", F.col("p_retailprice").cast("decimal(12,2)").cast("string"))
+    texts = articles.join(part, "pageid").select("topic", "place", F.col("p_name").alias("title"), content.alias("content"))
     path = work_folder(spark, "article-texts")
     write_article_texts(safe_articles(texts), path)
     return spark.read.schema("safe_title string, content string, topic string").parquet(path)
@@ -216,10 +215,11 @@ ORACLE = {
         listed AS (SELECT page_id, ord, list_concat(CASE WHEN title <> '' THEN [title] ELSE [] END, {sql.sentences('text')}) AS ls FROM kept)
         SELECT page_id, ord, unnest(range(0, len(ls))) AS line_ix, unnest(ls) AS line FROM listed""",
     "article_texts": f"""
-        WITH {_PAGE_SECTIONS}
-        SELECT string_split(url, '/')[4] AS topic, translate(string_split(title, ' ')[1], '\\/*?:"<>|', '') AS safe_title, content
-        FROM paragraphs JOIN page_contents USING (page_id)
-        QUALIFY row_number() OVER (PARTITION BY topic, safe_title ORDER BY page_id DESC) = 1""",
+        WITH {sql.RESOLVED}
+        SELECT topic, translate(p_name, '\\/*?:"<>|', '') AS safe_title,
+          p_name || chr(10) || p_brand || chr(10) || p_retailprice::DECIMAL(12, 2)::VARCHAR AS content
+        FROM articles JOIN part ON p_partkey = pageid
+        QUALIFY row_number() OVER (PARTITION BY topic, safe_title ORDER BY place DESC) = 1""",
     "read_text_files": """
         SELECT source, sum(length(text) + 1)::BIGINT AS chars, sum(length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS line_ends
         FROM documents GROUP BY source""",

@@ -124,9 +124,10 @@ def certainty_of(distance: Column) -> Column:
 
 
 def is_usable(vector: Column, dim: int | None = None) -> Column:
-    """Whether a vector can be indexed: present, of the expected length, all of it finite numbers."""
+    """Whether a vector can be indexed: present, of the expected length, all of it finite numbers
+    and not all of them 0, as a zero vector has no direction."""
     right = F.size(vector) > 0 if dim is None else F.size(vector) == dim
     for bad in ("NaN", "Infinity", "-Infinity"):
         # A null element without a match makes the test null, which counts as unusable.
         right = right & ~F.array_contains(vector, F.lit(bad).cast("float"))
-    return F.coalesce(right, F.lit(False))
+    return F.coalesce(right & F.exists(vector, lambda x: x != 0), F.lit(False))

@@ -10,19 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.vectors import is_usable
 from corpusloom.operators.nearest import nearest
 
 
 def fit_cells(
-    items: DataFrame, cells: int, vector: str = "vector", seed: int = 0, rounds: int = 10, fraction: float = 1.0
+    items: DataFrame, cells: int, vector: str = "vector", seed: int = 0, rounds: int = 10
 ) -> KMeansModel:
     """k-means centres by cosine. The centres, ``cells`` times the dimension, are all that is kept.
 
-    Every round reads all items; ``fraction`` fits the centres on a share of them. It moves the
-    borders of the cells only: every item is placed and can be found.
+    Every round reads all items. Vectors without a direction (see ``is_usable``) do not count.
     """
-    fitted_on = items if fraction >= 1.0 else items.sample(fraction, seed)
-    features = fitted_on.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
+    features = items.where(is_usable(F.col(vector))).select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
     return KMeans(k=cells, seed=seed, maxIter=rounds, distanceMeasure="cosine").fit(features)
 
 

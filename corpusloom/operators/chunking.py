@@ -70,7 +70,7 @@ def chunk_documents(
     gets the sliced tokens as rows. A window it cannot decode (null) is left out, as is a document
     without tokens; ask ``empty_documents`` for the latter.
     """
-    size, step = window_shape(size, overlap, limit)
+    size, step = window_shape(size, overlap, min(limit, getattr(tokenize, "token_limit", limit)))
     tokens = docs.select(*keys, tokenize(F.col(text)).alias("_tokens"))
     if detokenize is None:
         return tokens.select(*keys, F.posexplode(token_windows(F.col("_tokens"), size, step, join_words)).alias("chunk_ix", "chunk"))
@@ -88,7 +88,7 @@ def chunk_counts(
     limit: int = DEFAULT_TOKEN_LIMIT,
 ) -> DataFrame:
     """Tokens and windows per document, computed from the token count alone."""
-    size, step = window_shape(size, overlap, limit)
+    size, step = window_shape(size, overlap, min(limit, getattr(tokenize, "token_limit", limit)))
     counted = docs.select(*keys, F.greatest(F.size(tokenize(F.col(text))), F.lit(0)).alias("n_tokens"))
     return counted.withColumn("n_chunks", window_count(F.col("n_tokens"), size, step))
 
@@ -102,7 +102,7 @@ def tokenizer_hooks(make_tokenizer: Callable[[], object]):
     """``tokenize`` and ``detokenize`` columns around a user's subword tokenizer.
 
     ``make_tokenizer`` runs once per Python worker and returns an object with ``encode(text)`` to a
-    list of ids and ``decode(ids)``. A text that cannot be encoded gives no ids; a window that
+    list of ids and ``decode(ids)``; its ``model_max_length``, if any, bounds the windows. A text that cannot be encoded gives no ids; a window that
     cannot be decoded gives null.
     """
 
@@ -124,4 +124,5 @@ def tokenizer_hooks(make_tokenizer: Callable[[], object]):
         for series in windows:
             yield series.map(lambda ids: attempt(tokenizer.decode, [int(i) for i in ids], None))
 
+    encode.token_limit = token_limit(make_tokenizer())
     return encode, decode

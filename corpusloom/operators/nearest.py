@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom.functions.vectors import certainty_of, distance_of
+from corpusloom.operators.ranking import top_per_group
 
 BROADCAST_BYTES = 64 << 20
 CELL_BYTES = 128 << 20
@@ -331,14 +332,13 @@ def nearest_candidates(
 
 
 def rank_matches(candidates: DataFrame, k: int, by: list[str], item_keys: list[str]) -> DataFrame:
-    """The k best per ``by`` with ``match_rank``, ``distance`` and ``certainty``; ties by item key."""
+    """The k best per ``by`` with ``match_rank``, ``distance`` and ``certainty``; ties by item key.
+
+    The candidates of one question, which come from every task, are cut in parts before they meet.
+    """
     order = [F.desc("score"), *[F.asc(c) for c in item_keys]]
-    ranked = candidates.withColumn("match_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return (
-        ranked.where(F.col("match_rank") <= k)
-        .withColumn("distance", distance_of(F.col("score")))
-        .withColumn("certainty", certainty_of(F.col("distance")))
-    )
+    ranked = top_per_group(candidates, by, order, k, rank="match_rank")
+    return ranked.withColumn("distance", distance_of(F.col("score"))).withColumn("certainty", certainty_of(F.col("distance")))
 
 
 def nearest(asked: DataFrame, items: DataFrame, k: int, *, asked_keys: list[str], item_keys: list[str], **options) -> DataFrame:
@@ -362,8 +362,6 @@ def nearest_by_shard(
     candidates = nearest_candidates(
         asked, items, shard_k, asked_keys=asked_keys, item_keys=item_keys, group=shard, per_group=True, **options
     )
-    # One shuffle by question serves both rankings.
-    candidates = candidates.repartition(*asked_keys)
     per_shard = rank_matches(candidates, shard_k, [*asked_keys, shard], item_keys)
     return rank_matches(per_shard.drop("match_rank", "distance", "certainty"), k, asked_keys, item_keys)
 

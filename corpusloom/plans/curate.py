@@ -55,8 +55,9 @@ def failed_pages(resolved: DataFrame) -> DataFrame:
 
 
 def most_viewed(articles: DataFrame, keep: int = ARTICLES_PER_TOPIC) -> DataFrame:
-    """The most viewed articles of every topic; among equals the earlier search hit stays."""
-    return top_per_group(articles, ["topic"], [F.desc("views"), F.asc("rank")], keep)
+    """The most viewed articles of every topic with their ``place`` in the list, from 1; among equals
+    the earlier search hit comes first."""
+    return top_per_group(articles, ["topic"], [F.desc("views"), F.asc("rank")], keep, rank="place")
 
 
 def curate(

@@ -15,12 +15,13 @@ def page_texts(pages: DataFrame, title: Column, summary: Column, sections: Colum
 
 
 def article_texts(articles: DataFrame, contents: DataFrame) -> DataFrame:
-    """Content of every listed article that has a page: ``topic, rank, title, content``."""
-    return articles.join(contents, "title").select("topic", "rank", "title", "content")
+    """Content of every listed article that has a page: ``topic, place, title, content``."""
+    return articles.join(contents, "title").select("topic", "place", "title", "content")
 
 
-def safe_articles(texts: DataFrame, order: str = "rank") -> DataFrame:
-    """One text per topic and safe title; of titles that clean to the same name the last one stays.
+def safe_articles(texts: DataFrame, order: str = "place") -> DataFrame:
+    """One text per topic and safe title; of titles that clean to the same name the last one
+    in the order of the topic's list stays.
 
     The choice is an aggregate, so a name held by many rows is reduced in every task first.
     """

@@ -23,7 +23,7 @@ from corpusloom.plans.indexing import index_objects
 from corpusloom.session import spread, work_folder
 from corpusloom.sinks.articles import write_article_texts, write_failed_pages, write_ranked_lists
 from corpusloom.sinks.index import write_index
-from corpusloom.sources.articles import read_article_files
+from corpusloom.sources.articles import read_article_files, read_article_texts
 from corpusloom.sources.index import read_index
 
 FILE_KEYS = ["topic", "file_name"]
@@ -61,7 +61,7 @@ def page_lines_by_row(pages: DataFrame, sections: DataFrame) -> DataFrame:
 
 
 def extract_job(articles: DataFrame, pages: DataFrame, sections: DataFrame, out: str) -> None:
-    """Texts of the listed articles ``(topic, rank, title)`` as a table in folders per topic. Only
+    """Texts of the listed articles ``(topic, place, title)``, as ``read_ranked_lists`` gives them, as a table in folders per topic. Only
     the listed pages' sections are looked at."""
     listed = pages.join(articles.select("title"), "title", "left_semi")
     their_sections = sections.join(listed.select("page_id"), "page_id", "left_semi")
@@ -69,8 +69,9 @@ def extract_job(articles: DataFrame, pages: DataFrame, sections: DataFrame, out:
     write_article_texts(safe_articles(article_texts(articles, contents.select("title", "content"))), out)
 
 
-def index_job(spark: SparkSession, articles: str, out: str, embed: Embedder | None = None, **options) -> DataFrame:
-    """Index of the article files below ``articles``; returns the report of the written shards."""
-    files = spread(read_article_files(spark, articles), *FILE_KEYS)
-    write_index(index_objects(files, FILE_KEYS, embed=embed, **options), out)
+def index_job(spark: SparkSession, articles: str, out: str, embed: Embedder | None = None, files: bool = False, **options) -> DataFrame:
+    """Index of the texts that ``extract_job`` has written to ``articles``, or of the text files
+    below it; returns the report of the written shards."""
+    texts = read_article_files(spark, articles) if files else read_article_texts(spark, articles)
+    write_index(index_objects(spread(texts, *FILE_KEYS), FILE_KEYS, embed=embed, **options), out)
     return shard_report(read_index(spark, out))

@@ -22,6 +22,8 @@ def build_session(app: str = "corpusloom", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Cut the rows of a group in the map tasks however many of them are asked for.
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", str(2**31 - 1))
         # A task writes a handful of shard folders side by side, without sorting its rows by shard.
         .config("spark.sql.maxConcurrentOutputFileWriters", "16")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

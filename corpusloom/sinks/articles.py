@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def write_ranked_lists(articles: DataFrame, path: str) -> None:
-    """Ranked articles as JSON lines, one folder per topic, in rank order. Null page ids are kept."""
-    ordered = articles.repartition("topic").sortWithinPartitions("topic", F.desc("views"), "rank")
-    _write_topics(ordered.select("topic", "title", "pageid", "views"), path)
+    """Ranked articles as JSON lines, one folder per topic, in the order of their ``place``, which is
+    written with them. Null page ids are kept."""
+    ordered = articles.repartition("topic").sortWithinPartitions("topic", "place")
+    _write_topics(ordered.select("topic", "title", "pageid", "views", "place"), path)
 
 
 def write_failed_pages(failed: DataFrame, path: str) -> None:

@@ -6,37 +6,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RANKED_SCHEMA = "title string, pageid bigint, views bigint"
+HIDDEN = "{.,_}*"
 RANKED_FILE_SUFFIX = "_articles.json"
 
 
 def read_article_files(spark: SparkSession, root: str) -> DataFrame:
     """Every ``<root>/<folder>/*.txt`` as one row: ``topic`` (the folder), ``file_name``, ``text``.
 
-    A file that is not valid UTF-8 has empty text. A file of no bytes, which has nothing to cut, is
-    left out by Spark's file listing.
+    A file that is not valid UTF-8 has empty text, and all line ends are ``\\n``. The folders are
+    listed in parallel. Spark leaves out files of no bytes, which have nothing to cut, and files
+    whose name or folder begins with a dot or an underscore; the latter would be lost articles, so
+    they are an error.
     """
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*.txt")
+    root = root.rstrip("/")
+    depth = _refuse_hidden(spark, root)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).load(root)
+    files = files.where(F.size(F.split("path", "/")) == depth)
     content = F.col("content").cast("string")
     return files.select(
         F.element_at(F.split("path", "/"), -2).alias("topic"),
         F.col("_metadata.file_name").alias("file_name"),
-        F.when(F.is_valid_utf8(content), content).otherwise("").alias("text"),
+        F.when(F.is_valid_utf8(content), F.regexp_replace(content, "\r\n?", "\n")).otherwise("").alias("text"),
     )
 
 
+def _refuse_hidden(spark: SparkSession, root: str) -> int:
+    """Only hidden names are listed, of which there should be none. Gives the parts of an article's path."""
+    for pattern in (f"{root}/*/{HIDDEN}.txt", f"{root}/{HIDDEN}/*.txt"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = files.globStatus(path)
+        if found:
+            raise ValueError(f"{len(found)} files would not be read, among them {found[0].getPath()}; rename them or pass a table of texts")
+    qualified = spark._jvm.org.apache.hadoop.fs.Path(root).makeQualified(files.getUri(), files.getWorkingDirectory())
+    return len(qualified.toString().split("/")) + 2
+
+
+def read_article_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Article texts as ``write_article_texts`` stores them: ``topic, file_name, text``."""
+    texts = spark.read.schema("safe_title string, content string, topic string").parquet(path)
+    return texts.select("topic", F.concat("safe_title", F.lit(".txt")).alias("file_name"), F.col("content").alias("text"))
+
+
 def read_ranked_lists(spark: SparkSession, path: str) -> DataFrame:
     """Ranked articles as this library writes them, all topics at once."""
-    return spark.read.schema(RANKED_SCHEMA + ", topic string").json(path)
+    return spark.read.schema(RANKED_SCHEMA + ", place int, topic string").json(path)
 
 
 def read_ranked_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Ranked articles held as one JSON array per file named ``<topic>_articles.json``; ``rank`` is
-    the place in the array."""
+    """Ranked articles held as one JSON array per file named ``<topic>_articles.json``; ``place`` is
+    the place in the array, from 1."""
     files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("_file"))
     stem = F.substring(F.col("_file"), F.lit(1), F.length("_file") - len(RANKED_FILE_SUFFIX))
     entries = F.from_json("value", f"array<struct<{RANKED_SCHEMA.replace(' ', ':').replace(',:', ',')}>>")
     return (
         files.where(F.endswith("_file", F.lit(RANKED_FILE_SUFFIX)))
-        .select(F.replace(stem, F.lit("_"), F.lit(" ")).alias("topic"), F.posexplode(entries).alias("rank", "_entry"))
-        .select("topic", "rank", "_entry.*")
+        .select(F.replace(stem, F.lit("_"), F.lit(" ")).alias("topic"), F.posexplode(entries).alias("_at", "_entry"))
+        .select("topic", (F.col("_at") + 1).alias("place"), "_entry.*")
     )

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from corpusloom.operators.search import DEFAULT_TOPICS, hits_per_topic, keyword_search
 from corpusloom.plans.curate import cap_hits, curate, failed_pages, found_articles, monthly_views, most_viewed, resolve_hits
 from corpusloom.plans.extract import article_texts, safe_articles
-from corpusloom.plans.jobs import curate_job, extract_job
+from corpusloom.plans.jobs import curate_job, extract_job, index_job
+from corpusloom.plans.retrieval import ask
 from corpusloom.sinks.articles import write_article_files, write_failed_pages, write_ranked_lists
 from corpusloom.sources.articles import read_article_files, read_ranked_arrays, read_ranked_lists
+from corpusloom.sources.index import read_index
 from corpusloom.sources.landed import daily_views_of_json, read_hits, read_pages
 
 HITS = "topic string, rank int, title string, pageid long"
@@ -52,7 +54,7 @@ def small(spark):
 def test_curate(spark):
     hits, pages, daily = small(spark)
     articles, failed = curate(hits, pages, daily, as_of())
-    got = [tuple(r) for r in articles.orderBy("topic", F.desc("views"), "rank").collect()]
+    got = [tuple(r) for r in articles.orderBy("topic", "place").drop("place").collect()]
     # Two hits on one page both stay, ties keep search order, a page without views counts 0.
     assert got == [
         ("Art", 0, "Judge", 4, 5),
@@ -137,7 +139,7 @@ def test_a_title_with_a_third_of_all_hits(spark, no_broadcast):
         canonical = title.capitalize() if title == "hot" or int(title[1:]) % 2 == 0 else None
         expected.append((topic, rank, title, pageid, canonical, known.get(canonical, 0)))
     assert sorted((tuple(r) for r in resolved.collect()), key=lambda r: r[1]) == expected
-    kept = [tuple(r) for r in most_viewed(found_articles(resolved), 4).orderBy("topic", "rank").collect()]
+    kept = [tuple(r) for r in most_viewed(found_articles(resolved), 4).drop("place").orderBy("topic", "rank").collect()]
     best = {}
     for topic, rank, _, pageid, canonical, seen in sorted(expected, key=lambda r: (-r[5], r[1])):
         if canonical:
@@ -147,7 +149,7 @@ def test_a_title_with_a_third_of_all_hits(spark, no_broadcast):
 
 def test_ranked_lists_on_disk(spark, tmp_path):
     rows = [("Computer science", 1, "Çok", 7, 9), ("Computer science", 0, "B", None, 9), ("2024", 0, "C", 1, 0)]
-    articles = spark.createDataFrame(rows, "topic string, rank int, title string, pageid long, views long")
+    articles = spark.createDataFrame(rows, "topic string, place int, title string, pageid long, views long")
     path = str(tmp_path / "ranked")
     for _ in range(2):
         write_ranked_lists(articles, path)
@@ -155,8 +157,8 @@ def test_ranked_lists_on_disk(spark, tmp_path):
     assert got == [("2024", "C", 1, 0), ("Computer science", "B", None, 9), ("Computer science", "Çok", 7, 9)]
     text = "".join(f.read_text(encoding="utf-8") for f in (tmp_path / "ranked").glob("topic=Computer*/*.json"))
     assert [json.loads(line) for line in text.splitlines()] == [
-        {"title": "B", "pageid": None, "views": 9},
-        {"title": "Çok", "pageid": 7, "views": 9},
+        {"title": "B", "pageid": None, "views": 9, "place": 0},
+        {"title": "Çok", "pageid": 7, "views": 9, "place": 1},
     ]
     assert "Çok" in text
     write_failed_pages(spark.createDataFrame([("t", "x", "e")], "topic string, original_title string, error string"), str(tmp_path / "failed"))
@@ -167,14 +169,14 @@ def test_ranked_arrays(spark, tmp_path):
     entries = [{"title": "Çok", "pageid": None, "views": 3}, {"title": "B", "pageid": 4, "views": 1}]
     (tmp_path / "Computer_science_articles.json").write_text(json.dumps(entries, ensure_ascii=False, indent=4), encoding="utf-8")
     (tmp_path / "Computer_science_failed_pages.json").write_text("[]")
-    got = read_ranked_arrays(spark, str(tmp_path)).orderBy("rank").collect()
-    assert [tuple(r) for r in got] == [("Computer science", 0, "Çok", None, 3), ("Computer science", 1, "B", 4, 1)]
-    assert got[0].asDict().keys() == {"topic", "rank", "title", "pageid", "views"}
+    got = read_ranked_arrays(spark, str(tmp_path)).orderBy("place").collect()
+    assert [tuple(r) for r in got] == [("Computer science", 1, "Çok", None, 3), ("Computer science", 2, "B", 4, 1)]
+    assert got[0].asDict().keys() == {"topic", "place", "title", "pageid", "views"}
 
 
 def test_article_files(spark, tmp_path):
     for folder, name, data in [
-        ("Law", "a.txt", "çok\nline".encode()),
+        ("Law", "a.txt", "çok\r\nline".encode()),
         ("Art", "a.txt", b""),
         ("Art", "bad.txt", b"\xff\xfe"),
         ("Art", "b.TXT", b"no"),
@@ -186,6 +188,9 @@ def test_article_files(spark, tmp_path):
         (tmp_path / folder / name).write_bytes(data)
     got = sorted(tuple(r) for r in read_article_files(spark, str(tmp_path)).collect())
     assert got == [("Art", "bad.txt", ""), ("Law", "a.txt", "çok\nline")]
+    (tmp_path / "Law" / ".NET.txt").write_text("x")
+    with pytest.raises(ValueError, match="would not be read"):
+        read_article_files(spark, str(tmp_path))
     texts = spark.createDataFrame([("t", "x"), ("t", "y"), ("u", "z")], "topic string, content string")
     write_article_files(texts, str(tmp_path / "out"))
     again = read_article_files(spark, str(tmp_path / "out")).select("topic", "text").collect()
@@ -193,7 +198,7 @@ def test_article_files(spark, tmp_path):
 
 
 def test_last_of_equal_safe_titles_stays(spark):
-    articles = spark.createDataFrame([("t", 1, "a/b"), ("t", 2, "a:b"), ("u", 1, "a/b"), ("u", 2, "none")], "topic string, rank int, title string")
+    articles = spark.createDataFrame([("t", 1, "a/b"), ("t", 2, "a:b"), ("u", 1, "a/b"), ("u", 2, "none")], "topic string, place int, title string")
     contents = spark.createDataFrame([("a/b", "first"), ("a:b", "second")], "title string, content string")
     got = safe_articles(article_texts(articles, contents)).collect()
     assert sorted(tuple(r) for r in got) == [("t", "ab", "second"), ("u", "ab", "first")]
@@ -221,8 +226,26 @@ def test_curate_and_extract_jobs(spark, tmp_path):
         [(1, 0, 1, "Past", "Old. Older."), (1, 1, 1, "Notes", "n"), (1, 2, 2, "Sub", "n"), (2, 0, 1, "", "Robe.")],
         "page_id long, ord long, level int, title string, text string",
     )
-    articles = ranked.withColumn("rank", F.lit(0))
-    extract_job(articles, trees, sections, str(tmp_path / "texts"))
+    extract_job(ranked, trees, sections, str(tmp_path / "texts"))
     got = spark.read.parquet(str(tmp_path / "texts")).select("topic", "safe_title", "content").collect()
     court, judge = "Court\nLead.\nPast\nOld.\nOlder.", "Judge\nRobe."
     assert sorted(tuple(r) for r in got) == [("Art", "Judge", judge), ("Law", "Court", court), ("Law", "Judge", judge)]
+
+
+def test_jobs_chain(spark, tmp_path):
+    hits, pages, daily = small(spark)
+    curate_job(hits, pages, daily, as_of(), str(tmp_path / "curated"))
+    ranked = read_ranked_lists(spark, str(tmp_path / "curated" / "articles"))
+    trees = spark.createDataFrame([(1, "Court", "Lead. More."), (2, "Judge", "Robe.")], "page_id long, title string, summary string")
+    sections = spark.createDataFrame([], "page_id long, ord long, level int, title string, text string")
+    extract_job(ranked, trees, sections, str(tmp_path / "texts"))
+    report = index_job(spark, str(tmp_path / "texts"), str(tmp_path / "index"))
+    assert report.agg(F.sum("objects")).first()[0] == ranked.where("title in ('Court', 'Judge')").select("topic", "title").distinct().count()
+    found = ask(read_index(spark, str(tmp_path / "index")), ["topic", "file_name", "chunk_ix"], "robe")
+    assert found["rag_text"] and "Robe." in found["rag_text"][0]
+
+
+def test_more_than_the_default_window_limit_is_cut_before_the_shuffle(spark):
+    articles = spark.range(5000).repartition(4).selectExpr("'t' AS topic", "id AS rank", "'x' AS title", "id AS pageid", "id AS views")
+    plan = most_viewed(articles, 1001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2

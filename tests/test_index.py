@@ -79,7 +79,7 @@ def test_reading_one_shard_prunes(spark, tmp_path):
 def test_index_stored_by_cell(spark, tmp_path):
     path = str(tmp_path / "cells")
     objects = accepted(index_objects(docs(spark), ["doc_id"]))
-    model = fit_cells(objects, 4, fraction=0.9)
+    model = fit_cells(objects, 4)
     write_index(assign_cells(objects, model), path, compact=True, by="cell")
     questions = spark.createDataFrame([(0, "word1 word2")], "qid long, query string")
     asked = questions.select("qid", hashed_counts()(F.col("query")).alias("vector"))
@@ -137,7 +137,7 @@ def test_index_job(spark, tmp_path):
     for topic, name, text in [("Law", "a.txt", "law court " * 50), ("Art", "a.txt", "paint"), ("Art", "empty.txt", "")]:
         (tmp_path / "in" / topic).mkdir(parents=True, exist_ok=True)
         (tmp_path / "in" / topic / name).write_text(text)
-    report = index_job(spark, str(tmp_path / "in"), str(tmp_path / "index"))
+    report = index_job(spark, str(tmp_path / "in"), str(tmp_path / "index"), files=True)
     index = read_index(spark, str(tmp_path / "index"))
     assert sum(r["objects"] for r in report.collect()) == index.count() == 2 + 1
     assert ask(index, [*FILE_KEYS, "chunk_ix"], "paint")["rag_text"] == ["paint"]
