@@ -13,6 +13,8 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.store import packed
+
 WORDS_KEPT = 400_000  # distinct words whose ids a task remembers
 BUCKETS = 1 << 16
 
@@ -77,6 +79,19 @@ class Tokenizer:
 
     def encoder(self):
         """Text to ``array<int>``; a null text is empty."""
+        return F.arrow_udf(self._encode(), "array<int>")
+
+    def round_trip(self):
+        """Text to its ids and the bytes that these decode to, in one pass over the text."""
+        encode, decode = self._encode(), self._decode()
+
+        def both(texts: pa.Array) -> pa.Array:
+            ids = encode(texts)
+            return pa.StructArray.from_arrays([ids, decode(ids)], names=["ids", "decoded"])
+
+        return F.arrow_udf(both, "ids array<int>, decoded binary")
+
+    def _encode(self):
         name, pattern = self.name, self.pattern
 
         def encode(texts: pa.Array) -> pa.Array:
@@ -98,10 +113,13 @@ class Tokenizer:
             flat = pa.Array.from_buffers(pa.int32(), sizes[-1], [None, pa.py_buffer(b"".join(ids))])
             return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
 
-        return F.arrow_udf(encode, "array<int>")
+        return encode
 
     def decoder(self):
         """``array<int>`` to the bytes it stands for: the pieces, one after the other."""
+        return F.arrow_udf(self._decode(), "binary")
+
+    def _decode(self):
         name = self.name
 
         def decode(rows: pa.Array) -> pa.Array:
@@ -116,7 +134,7 @@ class Tokenizer:
                 body = body.slice(int(ends[0]))
             return pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(cuts.tobytes()), body]).cast(pa.binary())
 
-        return F.arrow_udf(decode, "binary")
+        return decode
 
 
 @cache
@@ -136,9 +154,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     text. Defined results: a null or empty text has no ids and decodes to no bytes; nothing else
     of a row is looked at. The work is one narrow stage; no row moves.
     """
-    tokenizer = Tokenizer(docs.sparkSession, path, pattern)
-    ids = docs.withColumn("ids", tokenizer.encoder()(F.col("text")))
-    return ids.withColumn("decoded", tokenizer.decoder()(F.col("ids")))
+    found = Tokenizer(docs.sparkSession, path, pattern).round_trip()(F.col("text"))
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("ids", "decoded")]
+    return packed(docs, "text").select("row", found.alias("_found")).select(*own, "_found.ids", "_found.decoded")
 
 
 def rank_map(path: str) -> Column:
