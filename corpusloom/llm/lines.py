@@ -16,12 +16,19 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def spaced(text: Column) -> Column:
+    """The text with plain spaces between its words, lower-cased; translating is slow, so only a text
+    that needs it is translated."""
+    return F.when(text.rlike(r"[\t\x0B\f\r]"), F.translate(F.lower(text), "\t\x0b\f\r", "    ")).otherwise(F.lower(text))
+
+
 def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(F.lower(line), "\t\x0b\f\r", "    "), " ", -1), "")
+    """Words of a line of a ``spaced`` text."""
+    return F.array_remove(F.split(line, " ", -1), "")
 
 
 def is_blank(line: Column) -> Column:
-    return F.trim(F.translate(line, "\t\x0b\f\r", "    ")) == ""
+    return ~line.rlike(r"[^ \t\x0B\f\r]")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -36,7 +43,7 @@ def rarity(docs: DataFrame) -> Column:
     rarity only keeps the words that lines are joined on rare.
     """
     # Lines do not matter here, so the whole text is one run of words.
-    words = docs.select(F.explode(F.split(F.translate(F.lower("text"), "\n\t\x0b\f\r", "     "), " ")).alias("w"))
+    words = docs.select(F.explode(F.split(F.replace(spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
     counts = dict(words.groupBy(bucket.alias("b")).count().collect())
     order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
@@ -53,7 +60,7 @@ def line_sets(docs: DataFrame, places: Column, percent: int) -> DataFrame:
     numbers are the words by rarity. ``prefix`` holds as many of the rarest as a set must share
     one of with any set similar enough; ``bits`` sets one of 64 bits for each word.
     """
-    rows = _keyed(docs).select("doc_id", "_key", F.posexplode(lines_of(F.col("text"))).alias("line_no", "line"))
+    rows = _keyed(docs).select("doc_id", "_key", F.posexplode(lines_of(spaced(F.col("text")))).alias("line_no", "line"))
     hashes = F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
     number = lambda h: F.shiftleft(F.get(places, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("bigint"), 47).bitwiseOR(F.shiftrightunsigned(h, 17))
     rows = rows.select("doc_id", "_key", "line_no", F.sort_array(F.transform(hashes, number)).alias("set"))
@@ -91,7 +98,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int)
     if named.count() <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
     texts = _keyed(docs.select("doc_id", "text")).join(by_doc, (F.col("_key") == F.col("_k")) & same(F.col("doc_id"), F.col("_id")))
-    rows = texts.select(F.explode("asked").alias("q"), lines_of(F.col("text")).alias("lines"))
+    rows = texts.select(F.explode("asked").alias("q"), lines_of(spaced(F.col("text"))).alias("lines"))
     words = F.array_distinct(words_of(F.get("lines", F.col("q.first.line_no"))))
     found = stored(rows.select("q.h", "q.first", words.alias("words")).groupBy("h").agg(F.first("first").alias("first"), F.first("words").alias("words")), "words")
     a, b = found.alias("x"), found.alias("y")
