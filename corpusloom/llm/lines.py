@@ -119,19 +119,23 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     sets = stored(line_sets(docs, rarity(docs), percent), "sets")
     rows = sets.select(F.posexplode("prefix").alias("place", "word"), "h", "n", "bits", F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias("o"))
-    shared = rows.groupBy("word").agg(F.count("*").alias("_sets"), F.min("o").alias("o_first")).where("_sets > 1").drop("_sets")
-    # A word in one prefix only joins nothing.
-    rows = stored(rows.join(shared, "word"), "prefixes")
     row = F.struct("o", "h", "n", "place", "bits")
-    centres = rows.where("o = o_first").groupBy("word").agg(F.min(row).alias("x"))
-    stars = rows.select("word", row.alias("y")).join(centres, "word").where((F.col("x.h") != F.col("y.h")) & _fits(percent))
+    # One row per word that can join anything: its number of sets and the earliest of them.
+    centres = rows.groupBy("word").agg(F.count("*").alias("sets"), F.min(row).alias("x")).where("sets > 1")
+    stars = rows.select("word", row.alias("y")).join(centres, "word")
+    stars = stored(stars.select("word", "sets", "x", "y", _fits(percent).alias("fits")), "prefixes")
     pair = [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")]
-    settled = stored(_verified(stars.select(*pair), sets, docs, percent), "settled")
-    open_ = rows.join(settled, "h", "left_anti").select("word", row.alias("y"))
-    earlier = (F.col("x.o") <= F.col("y.o")) & (F.col("x.h") != F.col("y.h"))
-    # Between two open sets one direction is enough; a settled set is only ever the earlier one.
-    rest = open_.join(rows.select("word", row.alias("x")), "word").where(earlier & _fits(percent)).select(*pair)
-    settled = settled.unionByName(_verified(rest, sets, docs, percent)).distinct()
+    tried = stars.where(F.col("fits") & (F.col("x.h") != F.col("y.h"))).select(*pair)
+    settled = stored(_verified(tried, sets, docs, percent), "settled")
+    # Of two sets with a word, one is the centre, so they have met.
+    more = stars.where("sets > 2").select("word", "y.*")
+    more = more.join(settled.withColumn("settled", F.lit(True)), "h", "left")
+    more = more.select("word", F.struct("o", "h", "n", "place", "bits", F.col("settled").isNull().alias("open")).alias("y"))
+    # Two open sets meet in one direction; a settled set is only ever the earlier one. As the tests
+    # stand in one expression on both, the two sides are the same rows and are shuffled once.
+    meet = F.when(F.col("x.open") & F.col("y.open"), F.col("x.h") < F.col("y.h")).when(F.col("y.open"), F.col("x.o") <= F.col("y.o"))
+    both = more.join(more.select("word", F.col("y").alias("x")), "word")
+    settled = settled.unionByName(_verified(both.where(meet & _fits(percent)).select(*pair), sets, docs, percent)).distinct()
     left = sets.join(settled, "h", "left_anti").select("first.*")
     return left.groupBy("doc_id", "_key").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
