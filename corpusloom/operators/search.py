@@ -38,22 +38,26 @@ def keyword_search(
 ) -> DataFrame:
     """Documents that hold every term of a topic, ranked by how often the terms occur.
 
-    Gives ``topic``, ``rank``, the document key and ``hits``; ties go to the lower key. Only
-    documents with a topic's rarest term are looked at further, so a frequent word pairs a topic
-    with documents only when all of the topic's words are that frequent. Which side of a join is
-    broadcast is left to Spark's size check, as the topics may be few or many; for the case that
-    none is, the rows of a term are split by a salt.
+    Gives ``topic``, ``rank``, the document key and ``hits``; ties go to the lower key. The documents
+    are scanned once: only the number of times a document holds each wanted term leaves the scan, no
+    text does. Only documents with a topic's rarest term are looked at further, so a frequent word
+    pairs a topic with documents only when all of the topic's words are that frequent. Which side
+    of a join is broadcast is left to Spark's size check, as the topics may be few or many; for the
+    case that none is, the rows of a term are split by a salt.
     """
     salt = F.pmod(F.xxhash64(doc_key), F.lit(TERM_SALTS)).cast("int").alias("_salt")
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1))).alias("_salt")
 
-    words = docs.select(doc_key, split_words(F.lower(F.col(text))).alias("_words"))
-    held = words.select(doc_key, salt, F.explode(F.array_distinct("_words")).alias("_term"))
     wanted = topics.select(topic, F.array_distinct(split_words(F.lower(F.col(query)))).alias("_terms"))
     terms = wanted.select(topic, "_terms", F.explode("_terms").alias("_term"))
-
     asked = terms.select("_term").distinct().select("_term", every_salt)
-    frequency = held.join(asked, ["_term", "_salt"]).groupBy("_term").agg(F.count("*").alias("_docs"))
+    words = docs.select(doc_key, salt, F.explode(split_words(F.lower(F.col(text)))).alias("_term"))
+    # One row per document with the terms it holds: as many as are wanted, however long its text.
+    counted = words.join(asked, ["_term", "_salt"]).groupBy(doc_key, "_term").agg(F.count("*").alias("_n"))
+    held = counted.groupBy(doc_key).agg(F.map_from_entries(F.collect_list(F.struct("_term", "_n"))).alias("_held"))
+
+    of_term = held.select(doc_key, salt, "_held", F.explode(F.map_keys("_held")).alias("_term"))
+    frequency = of_term.groupBy("_term").agg(F.count("*").alias("_docs"))
     rarest = (
         terms.join(frequency, "_term", "left")
         .groupBy(topic, "_terms")
@@ -61,13 +65,9 @@ def keyword_search(
         .where(F.col("_rarest._docs") > 0)
         .select(topic, "_terms", F.col("_rarest._term").alias("_term"), every_salt)
     )
-    candidates = held.join(rarest, ["_term", "_salt"]).select(topic, "_terms", doc_key)
-    texts = candidates.join(docs.select(doc_key, text), doc_key)
-    counted = texts.select(topic, doc_key, "_terms", split_words(F.lower(F.col(text))).alias("_words"))
-    matches = counted.where(F.size(F.array_except("_terms", "_words")) == 0).select(
-        topic,
-        doc_key,
-        F.size(F.filter("_words", lambda w: F.array_contains(F.col("_terms"), w))).cast("bigint").alias("hits"),
+    candidates = of_term.join(rarest, ["_term", "_salt"])
+    matches = candidates.where(F.forall("_terms", lambda t: F.map_contains_key("_held", t))).select(
+        topic, doc_key, F.aggregate("_terms", F.lit(0).cast("bigint"), lambda s, t: s + F.col("_held")[t]).alias("hits")
     )
     ranked = top_per_group(matches, [topic], [F.desc("hits"), F.asc(doc_key)], limit, rank="rank")
     return ranked.select(topic, "rank", doc_key, "hits")

@@ -39,13 +39,16 @@ def stream_answers(
     checkpoint: str,
     make_generator: Callable[[], Callable[[str], str]],
     embed: Embedder | None = None,
+    trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
     """Answer a stream of ``(conv_id, seq, query)`` and append both turns under ``out``.
 
     Stateless, so it needs no watermark. Each micro-batch overwrites a folder of its own, which
     makes a batch that is run again after a failure replace its turns and not repeat them. Turn
-    numbers go on from ``history`` and from the batches before.
+    numbers go on from ``history`` and from the batches before. ``trigger`` is passed on to Spark, as
+    ``{"processingTime": "10 seconds"}`` for questions that keep coming; without it the stream ends
+    once it has answered what is there.
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
@@ -56,13 +59,15 @@ def stream_answers(
             known = known.unionByName(earlier.select("conv_id", "turn"))
         # The batch is read several times below; a source need not be asked again for it.
         batch.persist()
-        known = known.join(batch.select("conv_id").distinct(), "conv_id", "left_semi")
-        answered = answer_batch(batch, index, item_keys, make_generator, embed, **options)
-        new_turns(known, answered).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            known = known.join(batch.select("conv_id").distinct(), "conv_id", "left_semi")
+            answered = answer_batch(batch, index, item_keys, make_generator, embed, **options)
+            new_turns(known, answered).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = questions.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def read_answers(spark, out: str) -> DataFrame:
