@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.store import literal_array, packed, same, stored
 
 PERCENT = 90
 BUCKETS = 1 << 16  # word counts by hash, for the order of rarity
+NEAR = 16  # earlier sets with the same word that a set meets in the first round
+SHARE = 1000  # a word is dealt out in parts of about one in so many of all words
 BROADCAST_ROWS = 500_000  # keys of 24 bytes each
 
 
@@ -36,8 +38,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
-def rarity(docs: DataFrame) -> Column:
-    """Place of each of the word buckets when ordered by the words they hold, as a literal array.
+def rarity(docs: DataFrame) -> tuple[Column, Column]:
+    """Place of each of the word buckets when ordered by the words they hold, and for each place the
+    number of parts that its words are dealt out in, one more for each ``SHARE``-th of all words; both
+    as literal arrays.
 
     Every word of every document is counted. Any fixed order gives the same matches; an order by
     rarity only keeps the words that lines are joined on rare.
@@ -46,11 +50,12 @@ def rarity(docs: DataFrame) -> Column:
     words = docs.select(F.explode(F.split(F.replace(spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
     counts = dict(words.groupBy(bucket.alias("b")).count().collect())
+    total = max(1, sum(counts.values()))
     order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
     places = [0] * BUCKETS
     for place, b in enumerate(order):
         places[b] = place
-    return literal_array(places, "int")
+    return literal_array(places, "int"), literal_array([1 + counts.get(b, 0) * SHARE // total for b in order], "int")
 
 
 def line_sets(docs: DataFrame, places: Column, percent: int) -> DataFrame:
@@ -108,34 +113,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int)
     return alike.select(F.when(F.col("x.first") < F.col("y.first"), F.col("y.h")).otherwise(F.col("x.h")).alias("h")).distinct()
 
 
+def _first_round(sets: DataFrame, parts: Column, percent: int) -> DataFrame:
+    """Sets that share a prefix word and fit, ``a`` the earlier and ``h`` the later one: every set with
+    the earliest set of its word and with up to ``NEAR`` just before it. Rows with ``a`` null are those
+    of words whose sets did not all meet that way.
+
+    A word of several parts is several words here, so no task holds all sets of a frequent one.
+    """
+    rows = sets.select(F.posexplode("prefix").alias("place", "word"), "h", "n", "bits", F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias("o"))
+    rows = rows.withColumn("parts", F.get(parts, F.shiftrightunsigned("word", 47).cast("int")))
+    x = F.struct("h", "n", "place", "bits")
+    word = Window.partitionBy("word", F.when(F.col("parts") > 1, F.pmod("h", "parts"))).orderBy("o", "h")
+    rows = rows.select(
+        "word",
+        F.struct("o", "h", "n", "place", "bits").alias("y"),
+        F.collect_list(x).over(word.rowsBetween(-NEAR, -1)).alias("near"),
+        F.first(x).over(word).alias("centre"),
+        ((F.count("*").over(word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) > NEAR + 1) | (F.col("parts") > 1)).alias("many"),
+    )
+    nothing = F.array().cast("array<struct<h:bigint,n:int,place:int,bits:bigint>>")
+    far = F.when((F.size("near") == NEAR) & (F.get("near", F.lit(0))["h"] != F.col("centre.h")), F.array("centre")).otherwise(nothing)
+    itself = F.when(F.col("many"), F.array(F.lit(None).cast("struct<h:bigint,n:int,place:int,bits:bigint>"))).otherwise(nothing)
+    met = rows.select("word", "y", F.explode(F.concat("near", far, itself)).alias("x"))
+    return met.where(F.col("x").isNull() | _fits(percent)).select(F.col("x.h").alias("a"), "word", "y.*")
+
+
 def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, _key, kept``: for each document the numbers of its lines that no earlier line equals
     or resembles (Jaccard of the word sets of ``percent`` or more), in order; blank lines apart.
 
     Lines are ordered by doc_id (null first) and place. Lines of equal sets count as one set with
     the first of them, so copies never meet. Sets are joined on the words of their prefixes in two
-    rounds: first every set with the earliest set that shares the word, which settles the members
-    of large groups of near copies; then only what is still open with all that share the word.
+    rounds: first every set with the earliest set that shares the word and with some just before
+    it, which settles the members of large groups of near copies and all sets of rarer words; then
+    only what is still open with all that share one of the other words.
     """
-    sets = stored(line_sets(docs, rarity(docs), percent), "sets")
-    rows = sets.select(F.posexplode("prefix").alias("place", "word"), "h", "n", "bits", F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias("o"))
-    row = F.struct("o", "h", "n", "place", "bits")
-    # One row per word that can join anything: its number of sets and the earliest of them.
-    centres = rows.groupBy("word").agg(F.count("*").alias("sets"), F.min(row).alias("x")).where("sets > 1")
-    stars = rows.select("word", row.alias("y")).join(centres, "word")
-    stars = stored(stars.select("word", "sets", "x", "y", _fits(percent).alias("fits")), "prefixes")
-    pair = [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")]
-    tried = stars.where(F.col("fits") & (F.col("x.h") != F.col("y.h"))).select(*pair)
+    places, parts = rarity(docs)
+    sets = stored(line_sets(docs, places, percent), "sets")
+    met = stored(_first_round(sets, parts, percent), "met")
+    tried = met.where("a is not null").select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b"))
     settled = stored(_verified(tried, sets, docs, percent), "settled")
-    # Of two sets with a word, one is the centre, so they have met.
-    more = stars.where("sets > 2").select("word", "y.*")
-    more = more.join(settled.withColumn("settled", F.lit(True)), "h", "left")
+    more = met.where("a is null").drop("a").join(settled.withColumn("settled", F.lit(True)), "h", "left")
     more = more.select("word", F.struct("o", "h", "n", "place", "bits", F.col("settled").isNull().alias("open")).alias("y"))
     # Two open sets meet in one direction; a settled set is only ever the earlier one. As the tests
     # stand in one expression on both, the two sides are the same rows and are shuffled once.
     meet = F.when(F.col("x.open") & F.col("y.open"), F.col("x.h") < F.col("y.h")).when(F.col("y.open"), F.col("x.o") <= F.col("y.o"))
     both = more.join(more.select("word", F.col("y").alias("x")), "word")
-    settled = settled.unionByName(_verified(both.where(meet & _fits(percent)).select(*pair), sets, docs, percent)).distinct()
+    pairs = both.where(meet & _fits(percent)).select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"))
+    settled = settled.unionByName(_verified(pairs, sets, docs, percent)).distinct()
     left = sets.join(settled, "h", "left_anti").select("first.*")
     return left.groupBy("doc_id", "_key").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
