@@ -250,7 +250,10 @@ def _open_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, count: in
 
 
 def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id`` for each document of ``doc_id, text``.
+    """``doc_id, text_key, n_shingles, component_key, component_id`` for each document of ``doc_id, text``.
+
+    ``component_key`` is the component itself (null without shingles); ``component_id`` is its lowest
+    doc_id, which several components can share if doc_ids repeat or are null.
 
     Documents with equal shingle sets are one node. Bands of the signatures bring nodes together;
     each pair is confirmed on the full sets (``100 * both >= percent * either``) and the confirmed
@@ -294,25 +297,26 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands:
     ids = nodes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
     ids = stored(ids.select("set_key", "min_id", F.coalesce("component", "set_key").alias("component")), "placed")
     lowest = ids.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    ids = ids.join(lowest, "component").select("set_key", "component_id")
+    ids = ids.join(lowest, "component").select("set_key", F.col("component").alias("component_key"), "component_id")
     out = sets.select("doc_id", "text_key", "n_shingles", "set_key").join(ids.withColumnRenamed("set_key", "_key"), (F.col("n_shingles") > 0) & (F.col("set_key") == F.col("_key")), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"))
+    return out.select("doc_id", "text_key", "n_shingles", "component_key", component.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, **parameters: int) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each document; see ``grouped``."""
-    found = grouped(docs, **parameters).drop("text_key")
+    found = grouped(docs, **parameters).drop("text_key", "component_key")
     return found.withColumn("kept", same(F.col("doc_id"), F.col("component_id")))
 
 
 def one_per_group(docs: DataFrame, **parameters: int) -> DataFrame:
     """The documents that no document of lower doc_id resembles, directly or over others, and all
-    without words. Of several rows of one doc_id in a group one stays. All columns stay as they are.
+    without words. Of several rows of one doc_id in a group one stays, as does one of a group whose
+    doc_ids are all null. All columns stay as they are.
     """
     found = grouped(docs, **parameters).where(same(F.col("doc_id"), F.col("component_id")))
-    texts = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("text_key").alias("_key"))
-    keepers = stored(texts.withColumnRenamed("component_id", "_id"), "keepers")
+    texts = found.where("n_shingles > 0").groupBy("component_key").agg(F.first("component_id").alias("_id"), F.min("text_key").alias("_key"))
+    keepers = stored(texts.drop("component_key"), "keepers")
     rows = packed(docs, "doc_id", F.xxhash64("text").alias("text_key"), F.col("text"))
     blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = rows.where(~blank).join(keepers, (F.col("text_key") == F.col("_key")) & same(F.col("doc_id"), F.col("_id")))

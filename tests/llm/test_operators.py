@@ -305,6 +305,16 @@ def test_near_duplicates(spark):
     assert near_duplicates(df.where("false")).count() == 0
 
 
+def test_one_per_group_of_null_and_repeated_ids(spark):
+    a, b, c, d = (prose(k, 30) for k in range(50, 54))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d + " more"), (8, b + " more"), (None, None), (None, " "), (None, prose(54, 30))]
+    got = [tuple(r) for r in one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    alike = [r for r in got if r[1] in (d, d + " more")]
+    assert len(alike) == 1 and alike[0][0] == 7
+    rest = [(None, a), (7, c), (8, b + " more"), (None, None), (None, " "), rows[-1]]
+    assert sorted((r for r in got if r not in alike), key=str) == sorted(rest, key=str)
+
+
 def test_superminhash_estimates():
     rng = np.random.default_rng(7)
     errors = []
