@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,24 +67,75 @@ SPELLINGS = [
 ]
 
 
+# The four above are what the SQL twin knows. The operator goes on from them with full texts, with
+# notices told from other lines that begin with "copyright", and with holders named in a text.
+FOLDER = Path(__file__).parent / "license_texts"
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "3-Clause BSD License", "New BSD License", "BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "2-Clause BSD License", "Simplified BSD License", "BSD License"),
+}
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+ANCHORS = ANCHOR + "|redistribution"
+RULES = [
+    (r"(?s)neither\W+the\W+names?\W+of\b.{1,200}?\bnor\W+the\W+names\W+of\W+(?:its|their|any|other)?\W*contributors", "neither the name of the holder nor of contributors"),
+    (r"(?s)software\W+is\W+provided\W+by\W.{1,150}?\Was\W+is\b", "software is provided by the holders as is"),
+    (r"(?s)in\W+no\W+event\W+shall\W.{1,150}?\Wbe\W+liable\b", "in no event shall the holders be liable"),
+]
+
+
+@cache
+def known_texts() -> list[tuple[str, str]]:
+    """``KNOWN``, and the full texts with and without title, list marks and what follows the terms."""
+    found = list(KNOWN)
+    bodies = [("MIT", _MIT), ("MIT", _MIT.replace("this permission notice shall", "this permission notice (including the next paragraph) shall")), ("ISC", _ISC)]
+    for path in sorted(FOLDER.glob("*.txt")):
+        name, text = path.stem, path.read_text("utf-8")
+        if name == "BSD-3-Clause":
+            text = text[text.index("Redistribution") :]
+            two = re.sub(r"(?s)^3\. .*?\n\n", "\n", text, flags=re.M)
+            plain = lambda t: re.sub(r"(?m)^\d\. ", "", t)
+            bodies += [("BSD-3-Clause", text), ("BSD-3-Clause", plain(text)), ("BSD-2-Clause", two), ("BSD-2-Clause", plain(two))]
+            continue
+        ends = [text, *([text[: text.index(END_OF_TERMS) + len(END_OF_TERMS)], text[: text.index(END_OF_TERMS)]] if END_OF_TERMS in text else [])]
+        found += [(name.removesuffix(".0") + ".0" if "." not in name else name, t) for end in ends for t in (end, end.split("\n\n", 1)[1])]
+    for name, body in bodies:
+        found += [(name, body), *((name, f"{title}\n{body}") for title in TITLES[name])]
+    return found
+
+
+@cache
+def _notice() -> str:
+    """Pattern of copyright notices: lines of them, those of the license texts themselves wherever
+    they stand, and those in one line with the license that follows."""
+    after = {w.lower() for _, text in known_texts() for w in re.findall(r"(?i)\bcopyright\b\W*(\w+)", text)} - {"c", "yyyy", "the"}
+    goes_on = "|".join(sorted(after | {"holder", "holders", "owner", "owners", r"the\s+(?:software|library)"}))
+    return (
+        r"(?im)(?:^[^\w\n]*)?\b(?:copyright\s+\(c\)\s+[\d,\s]+free\s+software\s+foundation,\s+inc\.?(?:\s*<https?://fsf\.org/>|,?\s+\d+\s+(?:franklin|temple|mass)\b[^<>]{0,60}?\busa\b)?"
+        r"|copyright\s+\(c\)\s+<?year>?\s+<?name\s+of\s+author>?|copyright\s+\[yyyy\]\s+\[name\s+of\s+copyright\s+owner\]"
+        r"|copyright[^\w\n]*(?:\(c\)|©|\d{4})[^\n]{0,200}?(?=\bpermission\s+(?:is|to)\b|\bredistribution\s+and\s+use\b))"
+        rf"|^[^\w\n]*(?:copyright\b(?=[^\n]*\w)(?![^\w\n]*(?:{goes_on})\b)[^\n]*|(?:\(c\)[^\w\n]*(?=copyright\b|\d{{4}})|©)[^\n]*|all rights reserved[^\n]*)$"
+    )
+
+
 def canonical(text: Column) -> Column:
-    """The text without copyright lines, in lower case and one spelling, words parted by one space."""
-    text = F.lower(F.regexp_replace(text, COPYRIGHT, ""))
-    for pattern, spelling in SPELLINGS:
+    """The text without copyright notices, in lower case and one spelling, words parted by one space."""
+    text = F.lower(F.regexp_replace(text, _notice(), ""))
+    for pattern, spelling in SPELLINGS + RULES:
         text = F.regexp_replace(text, pattern, spelling)
     return F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
     """``digest, license`` of the known texts."""
-    rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in known])
-    texts = spark.range(1).select(F.explode(rows).alias("k"))
-    return texts.select(F.sha2(canonical(F.col("k.text")), 256).alias("digest"), F.col("k.license").alias("license")).distinct()
+    texts = spark.createDataFrame(known, "license string, text string")
+    return texts.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").distinct()
 
 
-def find_licenses(docs: DataFrame, known: list[tuple[str, str]] = KNOWN, anchor: str = ANCHOR) -> DataFrame:
+def find_licenses(docs: DataFrame, known: list[tuple[str, str]] | None = None, anchor: str = ANCHORS) -> DataFrame:
     """``doc_id, line_no, license`` for each known license text: the whole document (line_no -1), or
-    one of the lines of a document of several.
+    one of the lines of a document of several; ``known`` are ``known_texts()`` unless given.
 
     A unit is found if its canonical text is one of the known ones, by their digests. The join
     hashes the known digests, of which there are as many as known texts; documents stay in place.
@@ -95,4 +150,4 @@ def find_licenses(docs: DataFrame, known: list[tuple[str, str]] = KNOWN, anchor:
     digests = rows.select("doc_id", F.explode(units).alias("u")).select(
         "doc_id", F.col("u.line_no").alias("line_no"), F.sha2(canonical(F.col("u.unit")), 256).alias("digest")
     )
-    return digests.join(F.broadcast(known_digests(docs.sparkSession, known)), "digest").select("doc_id", "line_no", "license")
+    return digests.join(F.broadcast(known_digests(docs.sparkSession, known or known_texts())), "digest").select("doc_id", "line_no", "license")

@@ -225,6 +225,30 @@ def test_licenses(spark):
     assert got == [(0, 1, "MIT"), (1, -1, "MIT")]
 
 
+def test_license_texts_in_other_wrappings(spark):
+    import textwrap
+
+    from corpusloom.llm.licenses import FOLDER, known_texts
+
+    mit = " ".join(KNOWN[0][1].split())
+    isc = " ".join(next(text for name, text in KNOWN if name == "ISC").split())
+    bsd = (FOLDER / "BSD-3-Clause.txt").read_text()
+    bsd = bsd[bsd.index("Redistribution") :]
+    foo = bsd.replace("THE REGENTS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS").replace("THE REGENTS OR", "THE COPYRIGHT OWNER OR").replace("the University", "Foo Inc.")
+    notice = "Copyright (c) 2020 Jane Doe"
+    cases = [("MIT", mit), ("MIT", f"MIT License\n\n{notice}\n\n{mit}"), ("MIT", f"MIT License {notice} {mit}"), ("MIT", f"Copyright Foo, Inc.\n{mit}")]
+    cases += [("MIT", textwrap.fill(mit, w)) for w in range(30, 110, 7)] + [("ISC", f"ISC License\n\n{notice}\n\n{textwrap.fill(isc, 60)}")]
+    cases += [("BSD-3-Clause", f"BSD 3-Clause License\n\n{notice}\nAll rights reserved.\n\n{foo}"), ("BSD-3-Clause", textwrap.fill(foo, 50))]
+    for name in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0"):
+        text = (FOLDER / f"{name}.txt").read_text()
+        cases += [(name if "." in name else name + ".0", t) for t in (text, *(textwrap.fill(text, w, break_long_words=False, break_on_hyphens=False) for w in (45, 60, 72, 90, 10**6)))]
+    cases += [(name, text) for name, text in known_texts() if name == "BSD-2-Clause"]
+    got = {(r.doc_id, r.license) for r in find_licenses(frame(spark, [text for _, text in cases])).collect() if r.line_no == -1}
+    assert [c[0] for i, c in enumerate(cases) if (i, c[0]) not in got] == []
+    assert {i for i, _ in got} == set(range(len(cases))) and len(got) == len(cases)
+    assert find_licenses(frame(spark, [mit.replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, ", ""), mit + " And more"])).count() == 0
+
+
 def line_oracle(texts, percent=90):
     seen, out = [], {}
     for i, text in enumerate(texts):
