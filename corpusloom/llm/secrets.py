@@ -17,11 +17,20 @@ LEAST_VALUE = 6
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
-HEX_CLASS, HEX_BITS, MIXED_BITS = "^[0-9A-Fa-f]+$", 3.0, 4.0
-# Strings that are no secrets: words and numbers, identifiers, paths, placeholders.
+# Limits of the window's entropy: random strings of WINDOW characters reach them in 99 of 100 cases.
+HEX_CLASS, HEX_BITS = "^[0-9A-Fa-f]+$", 2.8
+ONE_CASE_CLASS, ONE_CASE_BITS = "^[a-z0-9+/_=-]+$|^[A-Z0-9+/_=-]+$", 3.3
+MIXED_BITS = 3.6
+# A word, also of camel case and with a short number, a short number, or up to three characters.
+# Everything is possessive, so that no string of many segments is tried in many ways.
+SHORT = "As|At|By|Db|Do|Id|If|In|Io|Ip|Is|It|My|No|Of|On|Or|To|Ui|Up"
+SEGMENT = rf"(?>(?:(?:(?:{SHORT})(?![a-z])|[A-Z]*+[a-z]{{2,}}+)*+[A-Z]*+|[A-Za-z])\d{{0,4}}+(?![A-Za-z0-9])|\d{{1,8}}+(?![A-Za-z0-9])|[A-Za-z0-9]{{1,3}}+(?![A-Za-z0-9]))"
+# Strings that are no secrets: numbers, UUIDs, placeholders, and identifiers and paths, all of whose
+# segments are words or short.
 ALLOWED = (
-    r"^[A-Za-z_/=+-]+$|^[0-9_/=+-]+$|(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-    r"|example|sample|dummy|placeholder|changeme|xxxx|^[a-z]+(?:[_-][a-z0-9]+)+$|^/?(?:[A-Za-z0-9_-]+/){2,}"
+    r"^[0-9_/=+-]+$|^(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$"
+    r"|(?i:example|sample|dummy|placeholder|changeme|xxxx)"
+    rf"|^[_/=+-]*+{SEGMENT}(?:[_/=+-]++{SEGMENT})*+[_/=+-]*+$"
 )
 
 
@@ -68,7 +77,7 @@ def _highest_entropy(candidate: Column) -> Column:
 
 
 def _is_secret(candidate: Column) -> Column:
-    least = F.when(candidate.rlike(HEX_CLASS), HEX_BITS).otherwise(MIXED_BITS)
+    least = F.when(candidate.rlike(HEX_CLASS), HEX_BITS).when(candidate.rlike(ONE_CASE_CLASS), ONE_CASE_BITS).otherwise(MIXED_BITS)
     # A sum of many steps may be off in its last digits.
     return F.when(candidate.rlike(ALLOWED), F.lit(False)).otherwise(F.round(_highest_entropy(candidate), 9) >= least)
 

@@ -202,6 +202,27 @@ def test_secrets(spark):
     assert all((got[4 + k].b, got[4 + k].s) == ("", "") for k in range(len(EDGE)))
 
 
+def test_random_tokens_are_secrets_and_identifiers_are_not(spark):
+    import base64
+    import string
+
+    rng = random.Random(3)
+    base62, lower = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+    some = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    shapes = {p: (lambda p=p: p + some(base62, 36)) for p in ("ghp_", "sk_live_", "glpat-", "npm_", "sk-", "xoxb-123456789012-")}
+    shapes |= {f"base64 {n}": (lambda n=n: base64.b64encode(rng.randbytes(n)).decode()) for n in (30, 48, 96)}
+    shapes |= {"base62": lambda: some(base62, 20), "lower": lambda: some(lower, 32), "lower 20": lambda: some(lower, 20)}
+    tokens = [(shape, make()) for shape, make in shapes.items() for _ in range(200)]
+    names = ["user_profile_image_2x_small", "/usr/local/lib/python3/dist-packages/numpy", "getHTTPResponseCodeAsString", "AbstractBeanFactory-v2-2024", "MAX_RETRY_COUNT_PER_USER"]
+    names += ["a-" * 20000, "zzz" * 7000, "ab_" * 7000 + "q1w2e3", "550E8400-e29b-41d4-a716-446655440000", "2024-01-31-12-00-00-000", "XXXXXXXXXXXXab12cd34ef56"]
+    rows = find_secrets(frame(spark, [t for _, t in tokens] + names)).select("doc_id", F.size("spans").alias("n")).collect()
+    found = {r.doc_id for r in rows if r.n}
+    for shape in shapes:
+        hits = [i in found for i, (s, _) in enumerate(tokens) if s == shape]
+        assert sum(hits) >= 0.97 * len(hits), (shape, sum(hits))
+    assert [n[:40] for i, n in enumerate(names, len(tokens)) if i in found] == []
+
+
 def test_bpe(spark):
     import tiktoken
 
