@@ -10,6 +10,7 @@ from corpusloom.functions.vectors import cosine, hashed_counts, model_embedder,
 from corpusloom.operators.cells import assign_cells, fit_cells, nearest_in_cells
 from corpusloom.operators.nearest import nearest, nearest_by_shard, order_by_certainty, rank_matches
 
+CELLS, PROBES = 16, 11  # recall of the neighbours of at least 0.9
 KEYS = dict(asked_keys=["qid"], item_keys=["vec_id"], item_vector="embedding")
 
 
@@ -81,11 +82,11 @@ def sharded_topk_merge(spark, sf_dir):
 
 
 def knn_ivf(spark, sf_dir):
-    """Approximate search: 4 of 16 cells."""
+    """Approximate search: ``PROBES`` of ``CELLS`` cells."""
     items = _items(spark, sf_dir)
-    model = fit_cells(items, 16, vector="embedding")
+    model = fit_cells(items, CELLS, vector="embedding")
     placed = assign_cells(items, model, vector="embedding").withColumnRenamed("embedding", "vector")
-    return _scored(nearest_in_cells(_asked(spark, sf_dir), placed, model, 5, 4, asked_keys=["qid"], item_keys=["vec_id"]))
+    return _scored(nearest_in_cells(_asked(spark, sf_dir), placed, model, 5, PROBES, asked_keys=["qid"], item_keys=["vec_id"]))
 
 
 def knn_ivf_all_cells(spark, sf_dir):

@@ -6,6 +6,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from corpusloom.catalog import vector_queries
 from corpusloom.functions.text import WHITESPACE
 from corpusloom.functions.vectors import cosine, hashed_counts, is_usable, model_embedder, unit_length
 from corpusloom.operators import nearest as N
@@ -197,3 +198,11 @@ def test_model_embedder_keeps_the_rest_of_a_failing_batch(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
     got = {r["i"]: r["v"] for r in df.select("i", model_embedder(shaky_model, batch=2)(F.col("t")).alias("v")).collect()}
     assert got[0] == [1.0, 2.0] and got[1] is None and got[2] == [3.0, 2.0] and got[3] is None and got[4] == [2.0, 2.0]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_of_probed_cells(spark, sf):
+    found = vector_queries.knn_ivf(spark, f"/root/testdata/{sf}").where("qid <> vec_id")
+    exact = vector_queries.knn_topk(spark, f"/root/testdata/{sf}").where("match_rank <= 4")
+    found, exact = ({(r.qid, r.vec_id) for r in x.collect()} for x in (found, exact))
+    assert len(found & exact) >= 0.9 * len(exact)
