@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import Tokenizer, encode_documents
+from corpusloom.llm.collocations import collocations
 from corpusloom.llm.counts import scan_separators, write_token_files
 from corpusloom.llm.language import predict_languages
 from corpusloom.llm.leaks import benchmark_matches
@@ -16,6 +17,9 @@ from corpusloom.llm.secrets import KINDS, find_secrets, joined
 from corpusloom.llm.shuffle import shuffled
 from corpusloom.llm.store import table
 from corpusloom.llm.topk import top_k
+from corpusloom.llm.turns import prefix_trie
+from corpusloom.llm.warc import archived_pages
+from corpusloom.session import work_folder
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 END_OF_DOCUMENT = 50256  # free in the rank file
@@ -97,6 +101,19 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark, sf_dir):
+    """Pages written to whole-file gzip archives, normalised, and read by the offset index."""
+    return archived_pages(table(spark, sf_dir, "pages"), work_folder(spark, "archives"), work_folder(spark, "records"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("ref")
+
+
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline.py, which stands at the top of the repository."""
     import corpus_pipeline
@@ -115,6 +132,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_line_dedup": op9_line_dedup,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_warc": op11_warc,
+    "op12_collocations": op12_collocations,
+    "op13_conversation_trie": op13_conversation_trie,
     "pipeline": pipeline,
 }
 
