@@ -84,26 +84,61 @@ def replay_history(spark, sf_dir):
     return replay(spark.read.parquet(path))
 
 
+def _user_turns(turns):
+    return turns.where("role = 'user'").select("conv_id", F.col("turn").alias("seq"), F.col("text").alias("query"))
+
+
+def _stored_index(spark, sf_dir, folder):
+    write_index(index_objects(documents(spark, sf_dir), ["doc_id"]), f"{folder}/index")
+    return read_index(spark, f"{folder}/index")
+
+
 def stream_answers(spark, sf_dir):
     """User turns read as a stream and answered from a stored index."""
-    folder = work_folder(spark, "stream")
-    write_index(index_objects(documents(spark, sf_dir), ["doc_id"]), f"{folder}/index")
-    arriving = spark.readStream.schema(table(spark, sf_dir, "conversations").schema)
-    turns = arriving.option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
-    asked = turns.where("role = 'user'").select("conv_id", F.col("turn").alias("seq"), F.col("text").alias("query"))
-    stream = run_stream(
-        asked,
-        read_index(spark, f"{folder}/index"),
-        HELD,
-        table(spark, sf_dir, "conversations"),
-        f"{folder}/answers",
-        f"{folder}/checkpoint",
-        _measuring_generator,
-    )
-    stream.awaitTermination()
+    folder, past = work_folder(spark, "stream"), table(spark, sf_dir, "conversations")
+    arriving = spark.readStream.schema(past.schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+    index = _stored_index(spark, sf_dir, folder)
+    run_stream(_user_turns(arriving), index, HELD, past, f"{folder}/answers", f"{folder}/checkpoint", _measuring_generator).awaitTermination()
+    return read_answers(spark, f"{folder}/answers")
+
+
+WAVES, TURNS_PER_WAVE = 3, 3
+
+
+def stream_restarted(spark, sf_dir):
+    """User turns that arrive in waves: the stream ends after the first and is started again for the
+    others, one micro-batch each. Turn numbers go on across batches and the restart."""
+    folder, past = work_folder(spark, "stream"), table(spark, sf_dir, "conversations")
+    index = _stored_index(spark, sf_dir, folder)
+    wave = F.least(F.floor(F.col("turn") / TURNS_PER_WAVE), F.lit(WAVES - 1))
+
+    def arrive(number):
+        # One file is one micro-batch here.
+        past.where(wave == number).coalesce(1).write.mode("append").parquet(f"{folder}/asked")
+
+    def run():
+        arriving = spark.readStream.schema(past.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/asked")
+        run_stream(_user_turns(arriving), index, HELD, past, f"{folder}/answers", f"{folder}/checkpoint", _measuring_generator).awaitTermination()
+
+    arrive(0)
+    run()
+    for number in range(1, WAVES):
+        arrive(number)
+    run()
     return read_answers(spark, f"{folder}/answers")
 
 
+def unmatched_questions(spark, sf_dir):
+    """Every user turn, and once more without its letters: what nothing matches has a null context."""
+    asked = questions(spark, sf_dir)
+    asked = asked.withColumn("silent", F.explode(F.array(F.lit(False), F.lit(True))))
+    asked = asked.withColumn("query", F.when(F.col("silent"), F.regexp_replace("query", r"[^ \t\n\r]", "")).otherwise(F.col("query")))
+    keys = [*ASKED, "silent"]
+    index = index_objects(documents(spark, sf_dir), ["doc_id"])
+    found = fetch_context(asked, find_matches(asked, index, keys, HELD), keys)
+    return found.select(*keys, F.array_join("context", "\n\n").alias("context"), F.round("certainty", 6).alias("certainty"), "prompt")
+
+
 QUERIES = {
     "retrieve_context": retrieve_context,
     "build_prompt": build_prompt,
@@ -111,6 +146,8 @@ QUERIES = {
     "append_turns": append_turns,
     "replay_history": replay_history,
     "stream_answers": stream_answers,
+    "stream_restarted": stream_restarted,
+    "unmatched_questions": unmatched_questions,
 }
 
 
@@ -128,6 +165,7 @@ appended AS (
 
 _AGAIN = _appended("(SELECT conv_id, turn AS seq, text AS question, 'Re: ' || text AS answer FROM conversations WHERE role = 'user')")
 _ANSWERED = "(SELECT conv_id, seq, query AS question, length(prompt) || ' characters' AS answer FROM prompts)"
+_STREAMED = f"WITH {sql.MATCHES}, {_appended(_ANSWERED)} SELECT conv_id, turn, role, text FROM appended"
 
 ORACLE = {
     "retrieve_context": f"""
@@ -140,5 +178,11 @@ ORACLE = {
     "append_turns": f"WITH {_AGAIN} SELECT conv_id, turn, role, text FROM appended",
     "replay_history": f"""
         WITH {_AGAIN} SELECT conv_id, turn, role, text FROM appended UNION ALL SELECT conv_id, turn, role, text FROM conversations""",
-    "stream_answers": f"WITH {sql.MATCHES}, {_appended(_ANSWERED)} SELECT conv_id, turn, role, text FROM appended",
+    "stream_answers": _STREAMED,
+    "stream_restarted": _STREAMED,
+    "unmatched_questions": f"""
+        WITH {sql.MATCHES}
+        SELECT conv_id, seq, false AS silent, rag_text AS context, round(certainty, 6) AS certainty, prompt FROM prompts
+        UNION ALL
+        SELECT conv_id, turn, true, NULL, NULL, NULL FROM conversations WHERE role = 'user'""",
 }

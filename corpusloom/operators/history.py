@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import numbered_rows
@@ -14,16 +14,20 @@ def next_turns(history: DataFrame, conv: str = "conv_id", turn: str = "turn") ->
     return history.groupBy(conv).agg((F.max(turn) + 1).alias("next_turn"))
 
 
-def new_turns(history: DataFrame, answered: DataFrame, conv: str = "conv_id", seq: str = "seq") -> DataFrame:
-    """The turns to append: for every row of ``answered (conv, seq, question, answer)`` the user's
-    turn and the assistant's, numbered on from the conversation's last turn in order of ``seq``."""
-    placed = numbered_rows(answered, [conv], seq, "_place").join(next_turns(history, conv), conv, "left")
-    first = F.coalesce(F.col("next_turn"), F.lit(0)) + (F.col("_place") - 1) * 2
+def turn_pairs(answered: DataFrame, first: Column, conv: str = "conv_id") -> DataFrame:
+    """The user's turn, numbered ``first``, and the assistant's of each ``question, answer``."""
     pair = F.array(
         F.struct(first.cast("bigint").alias("turn"), F.lit(USER).alias("role"), F.col("question").alias("text")),
         F.struct((first + 1).cast("bigint").alias("turn"), F.lit(ASSISTANT).alias("role"), F.col("answer").alias("text")),
     )
-    return placed.select(conv, F.explode(pair).alias("_turn")).select(conv, "_turn.turn", "_turn.role", "_turn.text")
+    return answered.select(conv, F.explode(pair).alias("_turn")).select(conv, "_turn.turn", "_turn.role", "_turn.text")
+
+
+def new_turns(history: DataFrame, answered: DataFrame, conv: str = "conv_id", seq: str = "seq") -> DataFrame:
+    """The turns to append: for every row of ``answered (conv, seq, question, answer)`` the user's
+    turn and the assistant's, numbered on from the conversation's last turn in order of ``seq``."""
+    placed = numbered_rows(answered, [conv], seq, "_place").join(next_turns(history, conv), conv, "left")
+    return turn_pairs(placed, F.coalesce(F.col("next_turn"), F.lit(0)) + (F.col("_place") - 1) * 2, conv)
 
 
 def replay(history: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:

@@ -47,3 +47,37 @@ def test_stream_equals_batch(spark, tmp_path):
     assert later[: len([r for r in expected if r[0] == 1])] == [r for r in expected if r[0] == 1]
     assert [r[:3] for r in later if r not in expected] == [(1, 5, "user"), (1, 6, "assistant")]
     assert run() == later
+
+
+def test_state_is_kept_by_conversation(spark, tmp_path):
+    """Batches with nulls, ties and a busy conversation; earlier answers are never read again."""
+    docs = spark.createDataFrame([(i, f"topic{i} " * 5) for i in range(4)], "doc_id long, text string")
+    index = index_objects(docs, ["doc_id"])
+    history = spark.createDataFrame([(1, 6, "user", "x"), (1, None, "user", "y"), (None, 3, "user", "z")], "conv_id long, turn long, role string, text string")
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    waves = [
+        [(5, i, "topic1") for i in range(300)] + [(1, None, "topic2"), (1, 4, "topic3"), (None, 0, "topic0")],
+        [(1, 0, "topic1"), (7, 3, "topic1"), (7, 3, "topic1")],
+        [(5, 9, None), (1, -3, "topic2")],
+    ]
+
+    def run():
+        asked = spark.readStream.schema(QUESTIONS).option("maxFilesPerTrigger", 1).json(source)
+        query = stream_answers(asked, index, KEYS, history, out, checkpoint, echo)
+        query.awaitTermination()
+        return query
+
+    for wave in waves[:2]:
+        spark.createDataFrame(wave, QUESTIONS).coalesce(1).write.mode("append").json(source)
+    run()
+    # The answers of earlier batches are out of reach: numbers come from the state alone.
+    kept = read_answers(spark, out).collect()
+    (tmp_path / "out").rename(tmp_path / "moved")
+    spark.createDataFrame(waves[2], QUESTIONS).coalesce(1).write.mode("append").json(source)
+    query = run()
+    last = read_answers(spark, out).collect()
+    turns = sorted((r.conv_id, r.turn, r.role) for r in [*kept, *last])
+    pairs = lambda conv, first, n: [(conv, first + i, "assistant" if i % 2 else "user") for i in range(2 * n)]
+    assert turns == sorted(pairs(1, 7, 4) + pairs(5, 0, 301) + pairs(7, 0, 2))
+    assert {r.text for r in last if r.turn == 601} == {None} and [r.text for r in kept if (r.conv_id, r.turn) == (1, 7)] == ["topic2"]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
