@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import sql
 from corpusloom.catalog.tables import as_of, daily_views, documents, hits, known_pages, search_topics, table
+from corpusloom.operators.postings import build_postings, document_frequencies, read_postings, search_postings, write_postings
 from corpusloom.operators.search import HITS_PER_TOPIC, hits_per_topic, keyword_search as search
 from corpusloom.plans.curate import cap_hits, curate, monthly_views, resolve_hits
 from corpusloom.session import work_folder
@@ -57,8 +58,21 @@ def _found(spark, sf_dir):
     return search(documents(spark, sf_dir), search_topics(spark, sf_dir), limit=HITS_PER_TOPIC)
 
 
+def _stored_postings(spark, sf_dir):
+    path = work_folder(spark, "postings")
+    write_postings(build_postings(documents(spark, sf_dir)), path)
+    return read_postings(spark, path)
+
+
 def keyword_search(spark, sf_dir):
-    return _found(spark, sf_dir).withColumn("rank", F.col("rank").cast("bigint"))
+    """The best documents of every topic, from a stored inverted index."""
+    found = search_postings(_stored_postings(spark, sf_dir), search_topics(spark, sf_dir), limit=HITS_PER_TOPIC)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def term_frequencies(spark, sf_dir):
+    """In how many documents each word occurs, from the index without its postings."""
+    return document_frequencies(_stored_postings(spark, sf_dir))
 
 
 def keyword_hit_counts(spark, sf_dir):
@@ -75,6 +89,7 @@ QUERIES = {
     "article_counts": article_counts,
     "keyword_search": keyword_search,
     "keyword_hit_counts": keyword_hit_counts,
+    "term_frequencies": term_frequencies,
 }
 
 # Fixed value: the error text.
@@ -94,6 +109,7 @@ ORACLE = {
     "failed_lists": _FAILED,
     "article_counts": f"WITH {sql.RESOLVED} SELECT topic, count(*) AS articles FROM articles GROUP BY topic",
     "keyword_search": f"WITH {sql.SEARCH} SELECT topic, rank, doc_id, hits FROM hits",
+    "term_frequencies": f"WITH {sql.SEARCH} SELECT term, count(*) AS docs FROM held GROUP BY term",
     "keyword_hit_counts": f"""
         WITH {sql.SEARCH} SELECT item_id AS topic, count(doc_id) AS hits FROM benchmark LEFT JOIN hits ON topic = item_id GROUP BY item_id""",
 }
