@@ -9,8 +9,12 @@ from corpusloom.catalog.tables import documents, table
 from corpusloom.functions.vectors import cosine, hashed_counts, model_embedder, unit_length
 from corpusloom.operators.cells import assign_cells, fit_cells, nearest_in_cells
 from corpusloom.operators.nearest import nearest, nearest_by_shard, order_by_certainty, rank_matches
+from corpusloom.operators.quantised import Quantiser, encode, fit_codewords, mean_centres, nearest_coded
+from corpusloom.session import work_folder
+from corpusloom.sinks.index import write_index
 
-CELLS, PROBES = 16, 11  # recall of the neighbours of at least 0.9
+PARTS, CODEWORDS = 32, 64
+PROBES, SHORT_LIST = 9, 64  # recall of the neighbours of at least 0.9
 KEYS = dict(asked_keys=["qid"], item_keys=["vec_id"], item_vector="embedding")
 
 
@@ -81,12 +85,21 @@ def sharded_topk_merge(spark, sf_dir):
     return order_by_certainty(_scored(matches, F.col("shard").cast("bigint").alias("shard")), "qid", "vec_id")
 
 
+def coded_index(spark, sf_dir):
+    """Embeddings by cell with their codes, as stored, and the quantiser. The centres are the labels'
+    means, the codewords parts of given vectors, so SQL can tell them too."""
+    rows = table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    quantiser = Quantiser(mean_centres(rows, "label"), fit_codewords(rows, "vec_id", PARTS, CODEWORDS, rounds=0))
+    path = work_folder(spark, "cells")
+    write_index(encode(rows.select("vec_id", "vector"), quantiser), path, compact=True, by="cell")
+    return spark.read.parquet(path).where("cell is not null"), quantiser
+
+
 def knn_ivf(spark, sf_dir):
-    """Approximate search: ``PROBES`` of ``CELLS`` cells."""
-    items = _items(spark, sf_dir)
-    model = fit_cells(items, CELLS, vector="embedding")
-    placed = assign_cells(items, model, vector="embedding").withColumnRenamed("embedding", "vector")
-    return _scored(nearest_in_cells(_asked(spark, sf_dir), placed, model, 5, PROBES, asked_keys=["qid"], item_keys=["vec_id"]))
+    """Approximate search: codes of the nearest cells, then a short list of vectors."""
+    index, quantiser = coded_index(spark, sf_dir)
+    found = nearest_coded(_asked(spark, sf_dir), index, quantiser, 6, probes=PROBES, short_list=SHORT_LIST, asked_keys=["qid"], item_keys=["vec_id"])
+    return _scored(_others(found, 5))
 
 
 def knn_ivf_all_cells(spark, sf_dir):
@@ -109,6 +122,7 @@ QUERIES = {
     "knn_ivf_all_cells": knn_ivf_all_cells,
 }
 
+_WIDTH = 64 // PARTS
 _SCORES = """
 v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, vec_id % 5 AS shard FROM embeddings),
 pairs AS (
@@ -139,4 +153,26 @@ ORACLE = {
           SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY qid, shard ORDER BY score DESC, vec_id) <= 1)"""
     + _top("by_shard", 3, "shard,"),
     "knn_ivf_all_cells": f"WITH {_SCORES}" + _top("pairs", 5),
+    "knn_ivf": f"""
+        WITH {_SCORES},
+        u AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+        xs AS (SELECT vec_id, label, unnest(u) AS x, unnest(range(len(u))) AS pos FROM u),
+        centres AS (SELECT label, list(x ORDER BY pos) AS c FROM (SELECT label, pos, avg(x) AS x FROM xs GROUP BY ALL) GROUP BY label),
+        toward AS (SELECT vec_id, label AS cell, list_cosine_similarity(u, c) AS near FROM (SELECT vec_id, u FROM u) CROSS JOIN centres),
+        cells AS (SELECT vec_id, cell FROM toward QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY near DESC, cell) = 1),
+        probed AS (SELECT vec_id AS qid, cell FROM toward QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY near DESC, cell) <= {PROBES}),
+        chosen AS (SELECT u, row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) AS code FROM u QUALIFY code <= {CODEWORDS}),
+        words AS (SELECT code, p, u[{_WIDTH} * p + 1 : {_WIDTH} * (p + 1)] AS w FROM chosen, range({PARTS}) AS r(p)),
+        pieces AS (SELECT vec_id, p, u[{_WIDTH} * p + 1 : {_WIDTH} * (p + 1)] AS x FROM u, range({PARTS}) AS r(p)),
+        met AS (SELECT vec_id, p, code, list_dot_product(x, w) AS dot, list_sum(list_transform(list_zip(x, w), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS gap FROM pieces JOIN words USING (p)),
+        codes AS (SELECT vec_id, p, code FROM met QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY gap, code) = 1),
+        approximate AS (
+          SELECT m.vec_id AS qid, c.vec_id, round(sum(m.dot), 9) AS score FROM codes c JOIN met m ON m.p = c.p AND m.code = c.code GROUP BY ALL),
+        listed AS (
+          SELECT qid, vec_id FROM approximate JOIN cells USING (vec_id) JOIN probed USING (qid, cell)
+          QUALIFY row_number() OVER (PARTITION BY qid ORDER BY approximate.score DESC, vec_id) <= {SHORT_LIST}),
+        best AS (
+          SELECT qid, vec_id, score FROM listed JOIN pairs USING (qid, vec_id)
+          QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) <= 6)"""
+    + _top("(SELECT * FROM best WHERE qid <> vec_id)", 5),
 }
