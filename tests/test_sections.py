@@ -53,6 +53,32 @@ def test_rows_and_arrays_agree_with_the_tree(spark):
     assert sorted((p, int(i)) for p, i in got) == expected
 
 
+def test_deep_outlines(spark):
+    """Thousands of levels, ignored sections that span many blocks, and sections without a level."""
+    rng = random.Random(9)
+    down = [(i, "See also" if i == 2500 else "x") for i in range(1, 3001)]
+    up = [(i, "notes" if i in (1500, 900) else "y") for i in range(3000, 0, -1)]
+    wild = [(rng.randrange(1, 3000), rng.choice(["See also", "a", "b", "c"])) for _ in range(2000)]
+    pages = {0: down + up, 1: wild, 2: [(1, "references")] + [(2, "z")] * 3000 + [(1, "back")]}
+    rows = [(p, i, level, title, "") for p, sections in pages.items() for i, (level, title) in enumerate(sections)]
+    df = spark.createDataFrame([*rows, (2, 3005, None, "no level", ""), (2, 3006, 9, None, "")], SCHEMA).repartition(6)
+    expected = []
+    for p, sections in pages.items():
+        skip = None
+        for i, (level, title) in enumerate(sections):
+            if skip is None or level <= skip:
+                skip = level if title in {"See also", "references", "notes"} else None
+                if skip is None:
+                    expected.append((p, i))
+    assert len(expected) > 1000
+    kept = keep_sections(df, block=128)
+    assert kept.columns == df.columns
+    assert sorted((r.page_id, r.ord) for r in kept.collect()) == sorted([*expected, (2, 3005), (2, 3006)])
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    small = keep_sections(df.where("level < 3"), block=128)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan.splitlines()) <= len(small.splitlines()) + 5
+
+
 def test_no_sections(spark):
     assert keep_sections(spark.createDataFrame([], SCHEMA)).collect() == []
 
