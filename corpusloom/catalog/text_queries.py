@@ -14,7 +14,7 @@ from corpusloom.operators.sections import explode_section_lines, keep_sections,
 from corpusloom.plans.curate import curate
 from corpusloom.plans.extract import page_texts, safe_articles
 from corpusloom.session import work_folder
-from corpusloom.sinks.articles import write_article_files, write_article_texts
+from corpusloom.sinks.articles import write_article_files, write_article_texts, write_named_files
 from corpusloom.sources.articles import read_article_files
 from corpusloom.sources.landed import daily_views_of_json
 
@@ -136,7 +136,24 @@ def read_text_files(spark, sf_dir):
     return files.groupBy("source").agg(F.sum(size).alias("chars"), F.sum(ends).cast("bigint").alias("line_ends"))
 
 
+def article_files(spark, sf_dir):
+    """Documents written as named files and read as articles: names with dots, underscores, accents
+    and percent signs, files of no bytes, of other line ends and of bytes that are no UTF-8."""
+    path = work_folder(spark, "named-files")
+    docs = documents(spark, sf_dir, "source")
+    kind, number = F.col("doc_id") % 5, F.col("doc_id").cast("string")
+    name = F.element_at(F.array(*[F.lit(x) for x in ODD_NAMES]), (F.col("doc_id") % len(ODD_NAMES) + 1).cast("int"))
+    data = F.when(kind == 1, F.concat(F.unhex(F.lit("FF")), F.encode("text", "UTF-8"))).when(kind == 3, F.lit(b""))
+    data = data.when(kind == 2, F.encode(F.replace("text", F.lit("\n"), F.lit("\r\n")), "UTF-8")).otherwise(F.encode("text", "UTF-8"))
+    folder = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit(". "), "source")).otherwise(F.col("source"))
+    write_named_files(docs.select(folder.alias("topic"), F.concat(name, number).alias("safe_title"), data.alias("content")), path)
+    return read_article_files(spark, path).select("topic", "file_name", "text", F.col("error").isNotNull().alias("refused"))
+
+
+ODD_NAMES = (".NET ", "_private ", "çok é%20 ", "plain ")
+
 QUERIES = {
+    "article_files": article_files,
     "chunk_documents": chunk_documents_64,
     "chunk_documents_default_size": chunk_documents_128,
     "chunk_counts": chunk_counts_64,
@@ -174,6 +191,12 @@ page_line_rows AS (
 page_contents AS (SELECT page_id, string_agg(line, chr(10) ORDER BY ord, pos) AS content FROM page_line_rows GROUP BY page_id)"""
 
 ORACLE = {
+    "article_files": """
+        SELECT replace(CASE WHEN doc_id % 7 = 0 THEN '. ' ELSE '' END || source, ' ', '') AS topic,
+          ['.NET ', '_private ', 'çok é%20 ', 'plain '][doc_id % 4 + 1] || doc_id || '.txt' AS file_name,
+          CASE WHEN doc_id % 5 IN (1, 3) THEN '' ELSE replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) END AS text,
+          doc_id % 5 = 1 AS refused
+        FROM documents""",
     "chunk_documents": f"WITH {sql.chunks()} SELECT doc_id, chunk_ix, chunk FROM chunks",
     "chunk_documents_default_size": f"WITH {sql.chunks(128)} SELECT doc_id, chunk_ix, chunk FROM chunks",
     "chunk_counts": f"""

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import topic_folder
+from corpusloom.sources.articles import store_of
+
 
 def write_ranked_lists(articles: DataFrame, path: str) -> None:
     """Ranked articles as JSON lines, one folder per topic, in the order of their ``place``, which is
@@ -31,3 +38,31 @@ def write_article_files(texts: DataFrame, path: str, content: str = "content", p
     readers that need files. ``write_article_texts`` has no such number of files."""
     files = texts.select("topic", F.col(content).alias("value"))
     files.write.mode("overwrite").partitionBy("topic").option("maxRecordsPerFile", per_file).text(path)
+
+
+def write_named_files(texts: DataFrame, root: str, content: str = "content") -> None:
+    """One file ``<root>/<folder>/<safe title>.txt`` per article of ``topic, safe_title, content``, as
+    UTF-8; the folder is the topic without spaces. Binary content is written as it is.
+
+    Tasks write the files on any store that pyarrow knows: each to a name of its own first, which is
+    then moved, so a task that runs again, or twice, leaves one whole file. Equal names overwrite
+    each other; ``safe_articles`` settles which article stays.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = store_of(root)
+        made = set()
+        for batch in batches:
+            for folder, name, data in zip(*(c.to_pylist() for c in batch.columns)):
+                place = f"{base.rstrip('/')}/{folder}"
+                if folder not in made:
+                    store.create_dir(place, recursive=True)
+                    made.add(folder)
+                draft = f"{place}/{name}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(draft, compression=None) as file:
+                    file.write(data)
+                store.move(draft, f"{place}/{name}.txt")
+            yield batch.select(["folder"])
+
+    data = F.coalesce(F.col(content).cast("binary"), F.lit(b"")).alias("data")
+    rows = texts.select(topic_folder(F.col("topic")).alias("folder"), "safe_title", data)
+    rows.mapInArrow(write, "folder string").write.format("noop").mode("overwrite").save()

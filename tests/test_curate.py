@@ -9,7 +9,7 @@ from corpusloom.plans.curate import cap_hits, curate, failed_pages, found_articl
 from corpusloom.plans.extract import article_texts, safe_articles
 from corpusloom.plans.jobs import curate_job, extract_job, index_job
 from corpusloom.plans.retrieval import ask
-from corpusloom.sinks.articles import write_article_files, write_failed_pages, write_ranked_lists
+from corpusloom.sinks.articles import write_article_files, write_failed_pages, write_named_files, write_ranked_lists
 from corpusloom.sources.articles import read_article_files, read_ranked_arrays, read_ranked_lists
 from corpusloom.sources.index import read_index
 from corpusloom.sources.landed import daily_views_of_json, read_hits, read_pages
@@ -186,17 +186,34 @@ def test_article_files(spark, tmp_path):
     ]:
         (tmp_path / folder).mkdir(parents=True, exist_ok=True)
         (tmp_path / folder / name).write_bytes(data)
-    got = sorted(tuple(r) for r in read_article_files(spark, str(tmp_path)).collect())
-    assert got == [("Art", "bad.txt", ""), ("Law", "a.txt", "çok\nline")]
     (tmp_path / "Law" / ".NET.txt").write_text("x")
-    with pytest.raises(ValueError, match="would not be read"):
-        read_article_files(spark, str(tmp_path))
+    (tmp_path / "_Odd").mkdir()
+    (tmp_path / "_Odd" / "_a 100%.txt").write_text("a\rb")
+    (tmp_path / "Art" / "folder.txt").mkdir()
+    read = read_article_files(spark, str(tmp_path)).collect()
+    assert sorted(r[:3] for r in read) == [
+        ("Art", "a.txt", ""), ("Art", "bad.txt", ""), ("Art", "folder.txt", ""), ("Law", ".NET.txt", "x"), ("Law", "a.txt", "çok\nline"), ("_Odd", "_a 100%.txt", "a\nb"),
+    ]
+    assert {r.file_name for r in read if r.error} == {"bad.txt", "folder.txt"}
+    (tmp_path / "none").mkdir()
+    assert read_article_files(spark, f"file:{tmp_path}/none").count() == 0
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        read_article_files(spark, str(tmp_path / "absent")).count()
     texts = spark.createDataFrame([("t", "x"), ("t", "y"), ("u", "z")], "topic string, content string")
     write_article_files(texts, str(tmp_path / "out"))
-    again = read_article_files(spark, str(tmp_path / "out")).select("topic", "text").collect()
+    again = read_article_files(spark, str(tmp_path / "out")).where("file_name like 'part-%'").select("topic", "text").collect()
     assert sorted(tuple(r) for r in again) == [("topic=t", "x\n"), ("topic=t", "y\n"), ("topic=u", "z\n")]
 
 
+def test_named_files(spark, tmp_path):
+    texts = spark.createDataFrame([("Big Law", ".a", "x"), ("Big Law", "b%", None), ("Art", "çok", "é" * 9)], "topic string, safe_title string, content string")
+    for _ in range(2):
+        write_named_files(texts, str(tmp_path))
+    found = {(r.topic, r.file_name): r.text for r in read_article_files(spark, str(tmp_path), tasks=2).collect()}
+    assert found == {("BigLaw", ".a.txt"): "x", ("BigLaw", "b%.txt"): "", ("Art", "çok.txt"): "é" * 9}
+    assert len(list(tmp_path.rglob("*"))) == 5
+
+
 def test_last_of_equal_safe_titles_stays(spark):
     articles = spark.createDataFrame([("t", 1, "a/b"), ("t", 2, "a:b"), ("u", 1, "a/b"), ("u", 2, "none")], "topic string, place int, title string")
     contents = spark.createDataFrame([("a/b", "first"), ("a:b", "second")], "title string, content string")
