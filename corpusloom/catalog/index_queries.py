@@ -9,6 +9,7 @@ from corpusloom.catalog.tables import documents, questions, table
 from corpusloom.functions.vectors import model_embedder
 from corpusloom.operators.shards import ask_every_shard, pose_question, shard_registry, shard_report
 from corpusloom.plans.indexing import index_objects, rejected
+from corpusloom.plans.reindex import build_index, update_index
 from corpusloom.session import work_folder
 from corpusloom.sinks.index import write_index
 from corpusloom.sources.index import read_index
@@ -47,6 +48,28 @@ def stored_shard(spark, sf_dir):
     return read_index(spark, path, [3]).select("doc_id", F.col("chunk_ix").cast("bigint").alias("chunk_ix"), "context")
 
 
+def _reindexed(spark, sf_dir):
+    """An index of an earlier state of the documents (some texts other, some documents absent, some
+    since gone) brought up to date. Gives the index's path and the report."""
+    docs, path = documents(spark, sf_dir), work_folder(spark, "index")
+    place = F.col("doc_id") % 10
+    other = F.when(place == 3, F.concat(F.lit("formerly "), "text")).otherwise(F.col("text"))
+    gone = docs.where(place == 7).select((-F.col("doc_id")).alias("doc_id"), "text")
+    earlier = docs.where(place != 5).withColumn("text", other).unionByName(gone)
+    build_index(earlier, path, ["doc_id"])
+    return path, update_index(spark, docs, path, ["doc_id"])
+
+
+def reindexed_rows(spark, sf_dir):
+    """The rows of an index after an update are those of an index built anew."""
+    rows = read_index(spark, _reindexed(spark, sf_dir)[0])
+    return rows.select("doc_id", F.col("chunk_ix").cast("bigint").alias("chunk_ix"), "context", F.col("shard").cast("bigint").alias("shard"), "digest")
+
+
+def reindex_report(spark, sf_dir):
+    return _reindexed(spark, sf_dir)[1]
+
+
 def _as_bigints(report):
     return report.select(*[F.col(c).cast("bigint").alias(c) for c in report.columns])
 
@@ -90,6 +113,8 @@ QUERIES = {
     "index_shard_report": index_shard_report,
     "stored_index_report": stored_index_report,
     "stored_shard": stored_shard,
+    "reindexed_rows": reindexed_rows,
+    "reindex_report": reindex_report,
     "rejected_chunks": rejected_chunks,
     "registry_shards": registry_shards,
     "posed_question": posed_question,
@@ -106,6 +131,13 @@ ORACLE = {
     "index_shard_report": _REPORT,
     "stored_index_report": _REPORT,
     "stored_shard": f"WITH {sql.chunks()} SELECT doc_id, chunk_ix, chunk AS context FROM chunks WHERE {_SHARD} = 3",
+    "reindexed_rows": f"WITH {sql.chunks()} SELECT doc_id, chunk_ix, chunk AS context, {_SHARD}::BIGINT AS shard, md5(text) AS digest FROM chunks JOIN documents USING (doc_id)",
+    "reindex_report": f"""
+        WITH n AS (SELECT doc_id, len({sql.words('text')}) AS words FROM documents),
+        states AS (
+          SELECT CASE WHEN words = 0 THEN 'empty' WHEN doc_id % 10 IN (3, 5) THEN 'embedded' ELSE 'kept' END AS state FROM n
+          UNION ALL SELECT 'removed' FROM n WHERE doc_id % 10 = 7 AND words > 0)
+        SELECT state, count(*) AS documents FROM states GROUP BY state""",
     "rejected_chunks": f"WITH {sql.chunks()} SELECT doc_id, chunk_ix, chunk AS context FROM chunks WHERE contains(chunk, 'ß')",
     "registry_shards": """
         SELECT s_name AS name, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) - 1 AS shard

@@ -19,17 +19,19 @@ def index_objects(
     overlap: int = CHUNK_OVERLAP,
     shards: int = DEFAULT_SHARDS,
     dim: int | None = None,
+    carry: list[str] = (),
     **chunk_options,
 ) -> DataFrame:
     """Chunks with their vector and shard: ``keys``, ``chunk_ix``, ``context``, ``vector``, ``shard``.
+    Columns to ``carry`` come after the keys and have no part in the shard.
 
     One narrow stage from scan to vector: the shard is a value of the row, so placing rows needs no
     shuffle. A chunk whose vector is missing or malformed goes to the reject shard.
     """
     embed = embed or hashed_counts()
     dim = dim or getattr(embed, "dim", None)
-    chunks = chunk_documents(docs, keys, text, size, overlap, **chunk_options)
-    embedded = chunks.select(*keys, "chunk_ix", F.col("chunk").alias("context"), embed(F.col("chunk")).alias("vector"))
+    chunks = chunk_documents(docs, [*keys, *carry], text, size, overlap, **chunk_options)
+    embedded = chunks.select(*keys, *carry, "chunk_ix", F.col("chunk").alias("context"), embed(F.col("chunk")).alias("vector"))
     shard = F.when(is_usable(F.col("vector"), dim), shard_of([*keys, "chunk_ix"], shards)).otherwise(REJECT_SHARD)
     return embedded.withColumn("shard", shard)
 

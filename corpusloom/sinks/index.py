@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_index(objects: DataFrame, path: str, replace: bool = True, compact: bool = False, by: str = "shard") -> None:
@@ -22,3 +22,10 @@ def replace_shards(objects: DataFrame, path: str) -> None:
     """Overwrite only the shards that ``objects`` holds."""
     writer = objects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("shard").parquet(path)
+
+
+def drop_shards(spark: SparkSession, path: str, shards: list[int]) -> None:
+    """Remove the folders of shards that have no row left."""
+    for shard in shards:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
