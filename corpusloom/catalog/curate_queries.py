@@ -8,7 +8,8 @@ from corpusloom.catalog import sql
 from corpusloom.catalog.tables import as_of, daily_views, documents, hits, known_pages, search_topics, table
 from corpusloom.operators.postings import build_postings, document_frequencies, read_postings, search_postings, write_postings
 from corpusloom.operators.search import HITS_PER_TOPIC, hits_per_topic, keyword_search as search
-from corpusloom.plans.curate import cap_hits, curate, monthly_views, resolve_hits
+from corpusloom.plans.curate import cap_hits, curate, monthly_views, resolve_hits, wanted_titles
+from corpusloom.plans.extract import unfetched_articles as without_page
 from corpusloom.session import work_folder
 from corpusloom.sinks.articles import write_failed_pages, write_ranked_lists
 from corpusloom.sources.articles import read_ranked_lists
@@ -25,8 +26,9 @@ def last_month_views(spark, sf_dir):
 
 
 def resolved_hits(spark, sf_dir):
-    views = monthly_views(daily_views(spark, sf_dir), as_of())
-    return resolve_hits(cap_hits(hits(spark, sf_dir)), known_pages(spark, sf_dir), views)
+    capped, pages = cap_hits(hits(spark, sf_dir)), known_pages(spark, sf_dir)
+    views = monthly_views(daily_views(spark, sf_dir), as_of(), wanted=wanted_titles(capped, pages))
+    return resolve_hits(capped, pages, views)
 
 
 def top_articles_per_topic(spark, sf_dir):
@@ -54,6 +56,13 @@ def article_counts(spark, sf_dir):
     return _curated(spark, sf_dir)[0].groupBy("topic").agg(F.count("*").alias("articles"))
 
 
+def unfetched_articles(spark, sf_dir):
+    """Listed articles that have no page when their texts are extracted: here those of even size."""
+    articles = _curated(spark, sf_dir)[0]
+    fetched = known_pages(spark, sf_dir).select(F.col("canonical").alias("title"))
+    return without_page(articles, fetched.where(F.regexp_extract("title", r"(\d+)$", 1).try_cast("int") % 2 == 1))
+
+
 def _found(spark, sf_dir):
     return search(documents(spark, sf_dir), search_topics(spark, sf_dir), limit=HITS_PER_TOPIC)
 
@@ -90,25 +99,32 @@ QUERIES = {
     "keyword_search": keyword_search,
     "keyword_hit_counts": keyword_hit_counts,
     "term_frequencies": term_frequencies,
+    "unfetched_articles": unfetched_articles,
 }
 
-# Fixed value: the error text.
+# The error texts.
 _FAILED = f"""
     WITH {sql.RESOLVED}
-    SELECT topic, title AS original_title, 'Page ''' || title || ''' does not exist according to wikipediaapi.' AS error
+    SELECT topic, title AS original_title,
+      CASE WHEN error IS NOT NULL THEN 'Error retrieving page for ''' || title || ''': ' || error
+           ELSE 'Page ''' || title || ''' does not exist according to wikipediaapi.' END AS error
     FROM resolved WHERE canonical IS NULL"""
 
 ORACLE = {
     "last_month_views": """
         SELECT l_partkey, sum(l_quantity)::BIGINT AS views FROM lineitem
         WHERE l_shipdate >= DATE '1998-06-01' AND l_shipdate < DATE '1998-07-01' GROUP BY l_partkey""",
-    "resolved_hits": f"WITH {sql.RESOLVED} SELECT topic, rank, title, pageid, canonical, views FROM resolved",
+    "resolved_hits": f"WITH {sql.RESOLVED} SELECT topic, rank, title, pageid, canonical, views, error FROM resolved",
     "top_articles_per_topic": f"WITH {sql.RESOLVED} SELECT topic, rank, title, pageid, views, place FROM articles",
     "failed_pages": _FAILED,
     "ranked_lists": f"WITH {sql.RESOLVED} SELECT topic, title, pageid, views, place FROM articles",
     "failed_lists": _FAILED,
     "article_counts": f"WITH {sql.RESOLVED} SELECT topic, count(*) AS articles FROM articles GROUP BY topic",
     "keyword_search": f"WITH {sql.SEARCH} SELECT topic, rank, doc_id, hits FROM hits",
+    "unfetched_articles": f"""
+        WITH {sql.RESOLVED}
+        SELECT topic, title AS original_title, 'Page ''' || title || ''' does not exist or could not be fetched.' AS error
+        FROM articles WHERE regexp_extract(title, '([0-9]+)$', 1)::INTEGER % 2 = 0""",
     "term_frequencies": f"WITH {sql.SEARCH} SELECT term, count(*) AS docs FROM held GROUP BY term",
     "keyword_hit_counts": f"""
         WITH {sql.SEARCH} SELECT item_id AS topic, count(doc_id) AS hits FROM benchmark LEFT JOIN hits ON topic = item_id GROUP BY item_id""",

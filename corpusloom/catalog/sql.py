@@ -81,20 +81,20 @@ prompts AS (
 PART_TITLE = "concat_ws(' ', p_name, p_type, p_size::VARCHAR)"
 CANONICAL = "upper(substr(title, 1, 1)) || substr(title, 2)"
 
-# Search hits capped per topic, with page and views of June 1998.
+# Search hits capped per topic, with page, error and views of June 1998.
 RESOLVED = f"""
-titled AS (SELECT p_partkey, p_type, {PART_TITLE} AS title FROM part),
+titled AS (SELECT p_partkey, p_type, p_size, {PART_TITLE} AS title FROM part),
 capped AS (
   SELECT p_type AS topic, p_partkey AS rank, title, p_partkey AS pageid FROM titled
   QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) <= 1000),
 known AS (
-  SELECT DISTINCT title, {CANONICAL} AS canonical FROM titled
-  WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= DATE '1998-06-01' AND l_shipdate < DATE '1998-07-01')),
+  SELECT DISTINCT title, CASE WHEN p_size >= 11 THEN {CANONICAL} END AS canonical, CASE WHEN p_size <= 5 THEN 'timed out' END AS error
+  FROM titled WHERE p_size <= 5 OR p_size >= 11),
 viewed AS (
   SELECT {CANONICAL} AS canonical, sum(l_quantity)::BIGINT AS views FROM lineitem JOIN titled ON l_partkey = p_partkey
   WHERE l_shipdate >= DATE '1998-06-01' AND l_shipdate < DATE '1998-07-01' GROUP BY ALL),
 resolved AS (
-  SELECT topic, rank, title, pageid, canonical, coalesce(views, 0)::BIGINT AS views
+  SELECT topic, rank, title, pageid, canonical, coalesce(views, 0)::BIGINT AS views, error
   FROM capped LEFT JOIN known USING (title) LEFT JOIN viewed USING (canonical)),
 articles AS (
   SELECT topic, rank, canonical AS title, pageid, views, row_number() OVER (PARTITION BY topic ORDER BY views DESC, rank)::INTEGER AS place

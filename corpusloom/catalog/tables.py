@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.dates import in_last_month
 from corpusloom.functions.text import split_words
 from corpusloom.session import spread
 
@@ -46,12 +45,17 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SMALLEST_WITH_PAGE, LARGEST_TIMED_OUT = 11, 5  # sizes run from 1 to 50
+
+
 def known_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles of parts shipped in the last complete month, with the page title they lead to."""
-    part = table(spark, sf_dir, "part").select("p_partkey", _part_title().alias("title"))
-    shipped = table(spark, sf_dir, "lineitem").where(in_last_month(F.col("l_shipdate"), as_of()))
-    titles = part.join(shipped, part.p_partkey == shipped.l_partkey, "left_semi").select("title").distinct()
-    return titles.select("title", _canonical(F.col("title")).alias("canonical"))
+    """Titles of parts with the page title they lead to. The smaller parts' lookups fail: the
+    smallest with an error, others have no page. The size is a part of the title, so all parts of
+    one title fare alike."""
+    part = table(spark, sf_dir, "part").select(_part_title().alias("title"), "p_size").distinct()
+    error = F.when(F.col("p_size") <= LARGEST_TIMED_OUT, F.lit("timed out"))
+    canonical = F.when(F.col("p_size") >= SMALLEST_WITH_PAGE, _canonical(F.col("title")))
+    return part.select("title", canonical.alias("canonical"), error.alias("error")).where("canonical is not null or error is not null")
 
 
 def daily_views(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,8 +27,10 @@ IGNORED_SECTIONS = (
     "citations",
     "bibliography",
 )
-# Error text of a hit that has no page.
+# Error texts of a hit that has no page, of one whose lookup failed, and of a listed article without page.
 MISSING_PAGE_ERROR = "Page '%s' does not exist according to wikipediaapi."
+RETRIEVAL_ERROR = "Error retrieving page for '%s': %s"
+UNFETCHED_ERROR = "Page '%s' does not exist or could not be fetched."
 # ------------------------------------------------------------------------------------------------
 
 
@@ -81,6 +83,15 @@ def missing_page_error(title: Column) -> Column:
     return F.format_string(MISSING_PAGE_ERROR, title)
 
 
+def retrieval_error(title: Column, error: Column) -> Column:
+    """Null where there was no error."""
+    return F.when(error.isNotNull(), F.format_string(RETRIEVAL_ERROR, title, error))
+
+
+def unfetched_error(title: Column) -> Column:
+    return F.format_string(UNFETCHED_ERROR, title)
+
+
 def trailing_number(name: Column) -> Column:
     """The number at the end of a name, all of its digits; null where there is none."""
     digits = F.regexp_extract(name, r"(\d+)$", 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import clean_file_name
+from corpusloom.functions.text import clean_file_name, unfetched_error
 from corpusloom.operators.sections import page_content, page_lines
 
 
@@ -15,10 +15,17 @@ def page_texts(pages: DataFrame, title: Column, summary: Column, sections: Colum
 
 
 def article_texts(articles: DataFrame, contents: DataFrame) -> DataFrame:
-    """Content of every listed article that has a page: ``topic, place, title, content``."""
+    """Content of every listed article that has a page: ``topic, place, title, content``. The others
+    are given by ``unfetched_articles``."""
     return articles.join(contents, "title").select("topic", "place", "title", "content")
 
 
+def unfetched_articles(articles: DataFrame, pages: DataFrame) -> DataFrame:
+    """Listed articles without a page among ``pages (title)``: ``topic, original_title, error``."""
+    missing = articles.join(pages.select("title"), "title", "left_anti")
+    return missing.select("topic", F.col("title").alias("original_title"), unfetched_error(F.col("title")).alias("error"))
+
+
 def safe_articles(texts: DataFrame, order: str = "place") -> DataFrame:
     """One text per topic and safe title; of titles that clean to the same name the last one
     in the order of the topic's list stays.

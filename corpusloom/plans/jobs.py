@@ -17,8 +17,9 @@ from corpusloom.plans.curate import (
     monthly_views,
     most_viewed,
     resolve_hits,
+    wanted_titles,
 )
-from corpusloom.plans.extract import article_texts, safe_articles
+from corpusloom.plans.extract import article_texts, safe_articles, unfetched_articles
 from corpusloom.plans.indexing import index_objects
 from corpusloom.session import spread, work_folder
 from corpusloom.sinks.articles import write_article_texts, write_failed_pages, write_ranked_lists
@@ -40,12 +41,15 @@ def curate_job(
 ) -> None:
     """Ranked articles under ``<out>/articles`` and failed pages under ``<out>/failed``.
 
-    The resolved hits, at most ``limit`` per topic, are stored in between, so that the views are
-    read and summed once for both.
+    The capped hits, at most ``limit`` per topic, are stored first, as they tell which views are
+    wanted, and so are the resolved ones, so that views are read and summed once for both outputs.
     """
     spark = hits.sparkSession
+    capped = work_folder(spark, "capped")
+    cap_hits(hits, limit).write.parquet(capped)
+    capped = spark.read.parquet(capped)
     path = work_folder(spark, "resolved")
-    resolve_hits(cap_hits(hits, limit), pages, monthly_views(daily, as_of)).write.parquet(path)
+    resolve_hits(capped, pages, monthly_views(daily, as_of, wanted=wanted_titles(capped, pages))).write.parquet(path)
     resolved = spark.read.parquet(path)
     write_ranked_lists(most_viewed(found_articles(resolved), keep), f"{out}/articles")
     write_failed_pages(failed_pages(resolved), f"{out}/failed")
@@ -60,9 +64,12 @@ def page_lines_by_row(pages: DataFrame, sections: DataFrame) -> DataFrame:
     return heads.unionByName(explode_section_lines(keep_sections(sections)))
 
 
-def extract_job(articles: DataFrame, pages: DataFrame, sections: DataFrame, out: str) -> None:
-    """Texts of the listed articles ``(topic, place, title)``, as ``read_ranked_lists`` gives them, as a table in folders per topic. Only
-    the listed pages' sections are looked at."""
+def extract_job(articles: DataFrame, pages: DataFrame, sections: DataFrame, out: str, failed: str | None = None) -> None:
+    """Texts of the listed articles ``(topic, place, title)``, as ``read_ranked_lists`` gives them, as a
+    table in folders per topic. Only the listed pages' sections are looked at. Articles without a page
+    are written to ``failed``, if that is given, with an error text."""
+    if failed:
+        write_failed_pages(unfetched_articles(articles, pages), failed)
     listed = pages.join(articles.select("title"), "title", "left_semi")
     their_sections = sections.join(listed.select("page_id"), "page_id", "left_semi")
     contents = assemble_content(page_lines_by_row(listed, their_sections)).join(listed.select("page_id", "title"), "page_id")

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.search import DEFAULT_TOPICS, hits_per_topic, keyword_search
-from corpusloom.plans.curate import cap_hits, curate, failed_pages, found_articles, monthly_views, most_viewed, resolve_hits
-from corpusloom.plans.extract import article_texts, safe_articles
+from corpusloom.plans.curate import cap_hits, curate, failed_pages, found_articles, monthly_views, most_viewed, resolve_hits, wanted_titles
+from corpusloom.plans.extract import article_texts, safe_articles, unfetched_articles
 from corpusloom.plans.jobs import curate_job, extract_job, index_job
 from corpusloom.plans.retrieval import ask
 from corpusloom.sinks.articles import write_article_files, write_failed_pages, write_named_files, write_ranked_lists
@@ -266,3 +266,31 @@ def test_more_than_the_default_window_limit_is_cut_before_the_shuffle(spark):
     articles = spark.range(5000).repartition(4).selectExpr("'t' AS topic", "id AS rank", "'x' AS title", "id AS pageid", "id AS views")
     plan = most_viewed(articles, 1001)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_failed_lookups_and_unfetched_articles(spark, tmp_path):
+    hits, pages, daily = small(spark)
+    pages = pages.withColumn("error", F.lit(None).cast("string")).unionByName(
+        spark.createDataFrame([("missing", None, "timed out")], "title string, canonical string, error string")
+    )
+    articles, failed = curate(hits.unionByName(spark.createDataFrame([("Law", 9, "gone", 1)], HITS)), pages, daily, as_of())
+    assert articles.count() == 5
+    assert {r.original_title: r.error for r in failed.collect()} == {
+        "missing": "Error retrieving page for 'missing': timed out",
+        "gone": "Page 'gone' does not exist according to wikipediaapi.",
+    }
+    missing = unfetched_articles(articles, spark.createDataFrame([("Court",), ("Judge",)], "title string"))
+    assert [tuple(r) for r in missing.collect()] == [("Law", "Quiet", "Page 'Quiet' does not exist or could not be fetched.")]
+
+
+def test_only_wanted_views_are_summed(spark, tmp_path):
+    hits, pages, daily = small(spark)
+    daily = daily.unionByName(spark.createDataFrame([(f"Other {i}", 7) for i in range(500)], "title string, views long").withColumn("day", F.to_date(F.lit("2024-02-05"))))
+    daily.write.parquet(str(tmp_path / "daily"))
+    daily = spark.read.parquet(str(tmp_path / "daily"))
+    views = monthly_views(daily, as_of(), wanted=wanted_titles(hits, pages))
+    assert {tuple(r) for r in views.collect()} == {("Court", 5), ("Judge", 5)}
+    plan = views._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # The semi-join stands below the sum, right above the scan of the month.
+    place = {what: next(i for i, line in enumerate(plan) if what in line) for what in ("sum(", "Join LeftSemi", "day#")}
+    assert place["sum("] < place["Join LeftSemi"] < place["day#"]
