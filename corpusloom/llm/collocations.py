@@ -167,13 +167,14 @@ class _Shard:
         return Automaton.build(words, columns, np.ones(len(at), np.int64)), [names[i] for i in ids[starts:]]
 
 
-def _range_starts(docs: DataFrame, n_ranges: int) -> list[tuple[str, tuple[bytes, ...]]]:
+def _range_starts(docs: DataFrame, n_rows: int, n_ranges: int) -> list[tuple[str, tuple[bytes, ...]]]:
     """Windows that cut the sorted windows of all languages into ranges of like size."""
     if n_ranges < 2:
         return []
     long = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))
     piece = F.substr("text", (F.pmod(F.xxhash64("text"), long) + 1).cast("int"), F.lit(SAMPLE_CHARS))
-    rows = docs.select("lang", piece.alias("text"), F.xxhash64("text", "lang").alias("at")).orderBy("at").limit(SAMPLE_ROWS).collect()
+    # About SAMPLE_ROWS rows, whatever the number of tasks.
+    rows = docs.where(F.rand(0) < SAMPLE_ROWS / n_rows).select("lang", piece.alias("text")).collect()
     found = []
     for row in rows:
         tokens = [t for part in _tokens(row.text.encode("utf-8", "replace")) for t in part]
@@ -284,8 +285,8 @@ def phrase_counts(docs: DataFrame, least: int, range_bytes: int = RANGE_BYTES, b
     or more in the pieces of a language, and, as phrase "", the number of its words."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     docs = docs.select(lang, F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    starts = _range_starts(docs, min(MOST_RANGES, -(-size // range_bytes)))
+    n_rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text").cast("bigint"))).first()
+    starts = _range_starts(docs, n_rows, min(MOST_RANGES, -(-(size or 0) // range_bytes)))
     automata = shard_automata(docs, starts, block_words)
     dealt = automata.repartitionById(len(starts) + 1, F.col("range")).sortWithinPartitions("range", "lang")
     found = dealt.mapInArrow(_union(least), "lang string, n_words int, phrase string, f bigint")
