@@ -19,9 +19,9 @@ from corpusloom.llm.store import stored
 from corpusloom.operators.ranking import top_per_group
 
 LONGEST = 5  # words of a phrase
-BLOCK_WORDS = 1 << 21  # words a task turns into automata at a time
+BLOCK_WORDS = 1 << 20  # words a task turns into automata at a time
 SLICE_BYTES = 1 << 20  # text cut into words at a time
-RANGE_BYTES = 16 << 20  # text per prefix range, about
+RANGE_BYTES = 8 << 20  # text per prefix range, about
 MOST_RANGES = 1 << 16
 SAMPLE_ROWS, SAMPLE_CHARS = 4096, 512  # the sample that places the ranges; it has no part in any count
 SALTS = 64
@@ -49,7 +49,8 @@ def _order(columns: list[np.ndarray], n_words: int) -> np.ndarray:
     for i in range(0, len(columns), per):
         key = np.zeros(len(columns[0]), np.int64)
         for column in columns[i : i + per]:
-            key = (key << bits) | column
+            key <<= bits
+            key |= column
         keys.append(key)
     return np.lexsort(keys[::-1])
 
@@ -88,7 +89,7 @@ class Automaton:
         """The paths from ``a`` to ``b``, with their own words only."""
         columns = [c[a:b] for c in self.columns]
         used = np.unique(np.concatenate([[0], *columns]))
-        return Automaton([self.words[i - 1] for i in used[1:]], [np.searchsorted(used, c) for c in columns], self.weights[a:b])
+        return Automaton([self.words[i - 1] for i in used[1:]], [np.searchsorted(used, c).astype(np.int32) for c in columns], self.weights[a:b])
 
     def place(self, window: tuple[bytes, ...]) -> int:
         """How many paths come before the window."""
@@ -127,14 +128,14 @@ class Automaton:
             (n,) = struct.unpack_from("<Q", data, at)
             parts.append(data[at + 8 : at + 8 + n])
             at += 8 + n
-        array = lambda head, body: np.frombuffer(body, f"<u{struct.unpack('<QB', head)[1]}").astype(np.int64)
-        labels = [array(parts[i], parts[i + 1]) for i in range(1, 1 + 3 * LONGEST, 3)]
+        array = lambda head, body: np.frombuffer(body, f"<u{struct.unpack('<QB', head)[1]}")
+        labels = [array(parts[i], parts[i + 1]).astype(np.int32) for i in range(1, 1 + 3 * LONGEST, 3)]
         opens = [np.unpackbits(np.frombuffer(parts[i + 2], np.uint8), count=len(labels[k])) for k, i in enumerate(range(1, 1 + 3 * LONGEST, 3)) if k]
         columns, state = [labels[-1]], np.arange(len(labels[-1]))
         for depth in range(LONGEST - 2, -1, -1):
             state = (np.cumsum(opens[depth], dtype=np.int64) - 1)[state]
             columns.insert(0, labels[depth][state])
-        return cls(parts[0].split(b" ") if parts[0] else [], columns, array(parts[-2], parts[-1]))
+        return cls(parts[0].split(b" ") if parts[0] else [], columns, array(parts[-2], parts[-1]).astype(np.int64))
 
 
 class _Shard:
@@ -155,11 +156,11 @@ class _Shard:
         ids = np.concatenate(self.ids)
         names = list(self.vocabulary)
         words = sorted(names[1:])
-        rank = np.zeros(len(names), np.int64)
+        rank = np.zeros(len(names), np.int32)
         places = {w: i + 1 for i, w in enumerate(words)}
-        rank[1:] = np.fromiter((places[w] for w in names[1:]), np.int64, len(words))
+        rank[1:] = np.fromiter((places[w] for w in names[1:]), np.int32, len(words))
         starts = len(ids) if last else max(0, len(ids) - LONGEST + 1)
-        labels = np.concatenate([rank[ids], np.zeros(LONGEST, np.int64)])
+        labels = np.concatenate([rank[ids], np.zeros(LONGEST, np.int32)])
         at = np.flatnonzero(labels[:starts])
         columns = [labels[at]]
         for k in range(1, LONGEST):
@@ -216,10 +217,10 @@ def shard_automata(docs: DataFrame, starts: list, block_words: int = BLOCK_WORDS
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.binary()))], names=names)
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).view(pa.binary()).to_pylist()):
-                if lang not in shards:
+            for lang, text in zip(batch.column(0), batch.column(1).view(pa.binary())):
+                if (lang := lang.as_py()) not in shards:
                     shards[lang] = _Shard()
-                for tokens in _tokens(text + b"\n"):
+                for tokens in _tokens(text.as_py() + b"\n"):
                     shards[lang].add(tokens)
                     if sum(s.size for s in shards.values()) >= block_words:
                         yield from flush(False)
@@ -243,7 +244,7 @@ def _union(least: int, most_windows: int = 2 * BLOCK_WORDS):
             vocabulary = {w: 0 for a in held for w in a.words}
             words = sorted(vocabulary)
             vocabulary.update((w, i + 1) for i, w in enumerate(words))
-            maps = [np.array([0, *(vocabulary[w] for w in a.words)], np.int64) for a in held]
+            maps = [np.array([0, *(vocabulary[w] for w in a.words)], np.int32) for a in held]
             columns = [np.concatenate([m[a.columns[k]] for m, a in zip(maps, held)]) for k in range(LONGEST)]
             return Automaton.build(words, columns, np.concatenate([a.weights for a in held]))
 
