@@ -80,15 +80,16 @@ def _fragile_model():
     def encode(texts):
         if any("ß" in text for text in texts):
             raise ValueError("unknown letter")
-        return [[float(len(text)), 1.0] for text in texts]
+        return [[float(len(text)), 1.0, 0.0][: 3 if "ç" in text else 2] for text in texts]
 
     return encode
 
 
 def rejected_chunks(spark, sf_dir):
-    """Chunks whose embedding failed; the others of their batch are kept."""
-    objects = index_objects(documents(spark, sf_dir), ["doc_id"], embed=model_embedder(_fragile_model), dim=2)
-    return rejected(objects).select("doc_id", F.col("chunk_ix").cast("bigint").alias("chunk_ix"), "context")
+    """Chunks whose embedding failed, with what the model raised, or gave a vector of the wrong length;
+    the others of their batch are kept."""
+    objects = index_objects(documents(spark, sf_dir), ["doc_id"], embed=model_embedder(_fragile_model, dim=2))
+    return rejected(objects).select("doc_id", F.col("chunk_ix").cast("bigint").alias("chunk_ix"), "context", "error")
 
 
 def registry_shards(spark, sf_dir):
@@ -138,7 +139,11 @@ ORACLE = {
           SELECT CASE WHEN words = 0 THEN 'empty' WHEN doc_id % 10 IN (3, 5) THEN 'embedded' ELSE 'kept' END AS state FROM n
           UNION ALL SELECT 'removed' FROM n WHERE doc_id % 10 = 7 AND words > 0)
         SELECT state, count(*) AS documents FROM states GROUP BY state""",
-    "rejected_chunks": f"WITH {sql.chunks()} SELECT doc_id, chunk_ix, chunk AS context FROM chunks WHERE contains(chunk, 'ß')",
+    "rejected_chunks": f"""
+        WITH {sql.chunks()}
+        SELECT doc_id, chunk_ix, chunk AS context,
+          CASE WHEN contains(chunk, 'ß') THEN 'ValueError: unknown letter' ELSE 'vector of 3 values where 2 finite ones, not all of them 0, are needed' END AS error
+        FROM chunks WHERE contains(chunk, 'ß') OR contains(chunk, 'ç')""",
     "registry_shards": """
         SELECT s_name AS name, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) - 1 AS shard
         FROM supplier WHERE s_name <> 'Supplier#000000007'""",

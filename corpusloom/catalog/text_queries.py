@@ -9,7 +9,7 @@ from corpusloom.catalog.tables import as_of, daily_views, documents, hits, known
 from corpusloom.functions.dates import last_month_range
 from corpusloom.functions.text import clean_file_name, comparable, split_sentences, topic_file_stem, topic_folder, url_title
 from corpusloom.functions.views import views_of_json
-from corpusloom.operators.chunking import chunk_counts, chunk_documents, empty_documents, tokenizer_hooks
+from corpusloom.operators.chunking import chunk_counts, chunk_documents, empty_documents, refused_chunks, tokenizer_hooks
 from corpusloom.operators.sections import explode_section_lines, keep_sections, page_content, page_lines
 from corpusloom.plans.curate import curate
 from corpusloom.plans.extract import page_texts, safe_articles
@@ -37,22 +37,36 @@ def documents_without_chunks(spark, sf_dir):
 
 
 class CharacterTokenizer:
-    """Stand-in for a user's subword tokenizer: one token per character."""
+    """Stand-in for a user's subword tokenizer, one token per character, that fails on some texts
+    and on some windows."""
 
     def encode(self, text):
+        if "ß" in text:
+            raise ValueError("unknown letter")
         return [ord(c) for c in text]
 
     def decode(self, ids):
+        if ord("ç") in ids:
+            raise KeyError(ord("ç"))
         return "".join(map(chr, ids))
 
 
-def subword_chunks(spark, sf_dir):
+def _subwords():
     tokenize, detokenize = tokenizer_hooks(CharacterTokenizer)
-    docs = documents(spark, sf_dir)
-    chunks = chunk_documents(docs, ["doc_id"], size=512, overlap=64, tokenize=tokenize, detokenize=detokenize)
+    return dict(size=512, overlap=64, tokenize=tokenize, detokenize=detokenize)
+
+
+def subword_chunks(spark, sf_dir):
+    chunks = chunk_documents(documents(spark, sf_dir), ["doc_id"], **_subwords())
     return chunks.withColumn("chunk_ix", F.col("chunk_ix").cast("bigint"))
 
 
+def refused_subwords(spark, sf_dir):
+    """Texts and windows that the tokenizer failed on, with what it raised."""
+    refused = refused_chunks(documents(spark, sf_dir), ["doc_id"], **_subwords())
+    return refused.withColumn("chunk_ix", F.col("chunk_ix").cast("bigint"))
+
+
 def split_sentences_all(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return docs.select("doc_id", F.posexplode(split_sentences(F.col("text"))).alias("sentence_ix", "sentence")).withColumn(
@@ -159,6 +173,7 @@ QUERIES = {
     "chunk_counts": chunk_counts_64,
     "documents_without_chunks": documents_without_chunks,
     "subword_chunks": subword_chunks,
+    "refused_subwords": refused_subwords,
     "split_sentences": split_sentences_all,
     "safe_titles": safe_titles,
     "month_ranges": month_ranges,
@@ -190,6 +205,12 @@ page_line_rows AS (
   SELECT page_id, ord, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM page_line_lists),
 page_contents AS (SELECT page_id, string_agg(line, chr(10) ORDER BY ord, pos) AS content FROM page_line_rows GROUP BY page_id)"""
 
+_SUBWORDS = """
+        WITH windows AS (
+          SELECT doc_id, i AS chunk_ix, substr(text, i * 448 + 1, 512) AS chunk
+          FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(greatest(length(text) - 512, 0) / 448.0) AS BIGINT) + 1)) AS i
+                FROM documents WHERE length(text) > 0 AND NOT contains(text, 'ß')))"""
+
 ORACLE = {
     "article_files": """
         SELECT replace(CASE WHEN doc_id % 7 = 0 THEN '. ' ELSE '' END || source, ' ', '') AS topic,
@@ -203,10 +224,10 @@ ORACLE = {
         WITH t AS (SELECT doc_id, len({sql.words('text')})::BIGINT AS n_tokens FROM documents)
         SELECT doc_id, n_tokens, CASE WHEN n_tokens = 0 THEN 0 ELSE CAST(ceil(greatest(n_tokens - 64, 0) / 44.0) AS BIGINT) + 1 END AS n_chunks FROM t""",
     "documents_without_chunks": f"SELECT doc_id FROM documents WHERE len({sql.words('text')}) = 0",
-    "subword_chunks": """
-        SELECT doc_id, i AS chunk_ix, substr(text, i * 448 + 1, 512) AS chunk
-        FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(greatest(length(text) - 512, 0) / 448.0) AS BIGINT) + 1)) AS i
-              FROM documents WHERE length(text) > 0)""",
+    "subword_chunks": f"{_SUBWORDS} SELECT * FROM windows WHERE NOT contains(chunk, 'ç')",
+    "refused_subwords": f"""{_SUBWORDS}
+        SELECT doc_id, chunk_ix, 'KeyError: 231' AS error FROM windows WHERE contains(chunk, 'ç')
+        UNION ALL SELECT doc_id, NULL, 'ValueError: unknown letter' FROM documents WHERE contains(text, 'ß')""",
     "split_sentences": f"""
         WITH s AS (SELECT doc_id, {sql.sentences('text')} AS ss FROM documents)
         SELECT doc_id, unnest(range(0, len(ss))) AS sentence_ix, unnest(ss) AS sentence FROM s""",

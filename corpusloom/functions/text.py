@@ -101,3 +101,8 @@ def trailing_number(name: Column) -> Column:
 def shard_of_name(name: Column) -> Column:
     """Zero-based shard of a registry name whose numbering starts at one."""
     return trailing_number(name) - 1
+
+
+def error_text(error: Exception) -> str:
+    """What a user's hook raised, for the row it raised it on."""
+    return f"{type(error).__name__}: {error}"

@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.text import error_text
+
 DEFAULT_DIM = 256
 VECTOR_TYPE = T.ArrayType(T.FloatType())
 
@@ -53,40 +55,46 @@ def hashed_counts(dim: int = DEFAULT_DIM) -> Embedder:
     return embed
 
 
-def model_embedder(make_model: Callable[[], Callable[[list[str]], object]], batch: int = 100) -> Embedder:
+def model_embedder(make_model: Callable[[], Callable[[list[str]], object]], batch: int = 100, dim: int | None = None) -> Embedder:
     """Embedder around a user's model.
 
     ``make_model`` runs once per Python worker and returns a function from a list of texts to a
-    list of vectors. A batch that fails is tried text by text, and a text that still fails gets a
-    null vector, which the index build hands out as a reject.
+    list of vectors, of length ``dim`` where that is given. A batch that fails is tried text by text,
+    and a text that still fails gets a null vector. As ``checked`` the embedder gives a struct of the
+    vector and the ``error`` raised, which the index build hands out with the reject.
     """
 
-    @F.pandas_udf(VECTOR_TYPE)
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("vector array<float>, error string")
+    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = make_model()
 
         def one(text):
             try:
-                return np.asarray(model([text])[0], dtype=np.float32)
-            except Exception:
-                return None
+                return np.asarray(model([text])[0], dtype=np.float32), None
+            except Exception as e:
+                return None, error_text(e)
 
         for series in texts:
-            known = series[series.notna()]
-            vectors = pd.Series([None] * len(series), index=series.index, dtype=object)
+            values = series.tolist()
+            known = [i for i, text in enumerate(values) if text is not None]
+            rows: list[tuple] = [(None, None)] * len(values)
             for start in range(0, len(known), batch):
-                part = known.iloc[start : start + batch]
+                part = known[start : start + batch]
                 try:
-                    encoded = [np.asarray(v, dtype=np.float32) for v in model(part.tolist())]
+                    encoded = [(np.asarray(v, dtype=np.float32), None) for v in model([values[i] for i in part])]
                     if len(encoded) != len(part):
                         raise ValueError("one vector per text expected")
                 except Exception:
-                    encoded = [one(text) for text in part]
-                for at, vector in zip(part.index, encoded):
-                    vectors.at[at] = vector
-            yield vectors
+                    encoded = [one(values[i]) for i in part]
+                for i, row in zip(part, encoded):
+                    rows[i] = row
+            yield pd.DataFrame({name: pd.Series([r[i] for r in rows], dtype=object) for i, name in enumerate(("vector", "error"))})
+
+    def embed(text: Column) -> Column:
+        return encode(text)["vector"]
 
-    return encode
+    embed.checked, embed.dim = encode, dim
+    return embed
 
 
 def squared_norm(vector: Column) -> Column:

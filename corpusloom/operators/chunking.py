@@ -7,9 +7,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from corpusloom.functions.text import split_words
+from corpusloom.functions.text import error_text, split_words
 
 # --- fixed values -------------------------------------------------------------------------------
 DEFAULT_CHUNK_SIZE = 128
@@ -67,15 +66,50 @@ def chunk_documents(
     A narrow job: every document is cut where it lies, with no shuffle. The tokens are computed in
     a projection of their own, so that the windows slice one array and never tokenise again. Word
     windows are joined as they are sliced; a ``detokenize`` of one's own, which may run in Python,
-    gets the sliced tokens as rows. A window it cannot decode (null) is left out, as is a document
-    without tokens; ask ``empty_documents`` for the latter.
+    gets the sliced tokens as rows. Texts and windows that a hook fails on are left out, as are
+    documents without tokens; ask ``refused_chunks`` and ``empty_documents`` for these.
     """
+    return chunked(docs, keys, text, size, overlap, tokenize, detokenize, limit).where("error is null").drop("error")
+
+
+def refused_chunks(docs: DataFrame, keys: list[str], text: str = "text", **options) -> DataFrame:
+    """What ``chunk_documents`` leaves out because a hook failed: ``keys``, ``chunk_ix``, ``error``. Without
+    ``chunk_ix`` the whole text could not be encoded, with it one window could not be decoded."""
+    return chunked(docs, keys, text, **options).where("error is not null").drop("chunk")
+
+
+def chunked(
+    docs: DataFrame,
+    keys: list[str],
+    text: str = "text",
+    size: int = DEFAULT_CHUNK_SIZE,
+    overlap: int = CHUNK_OVERLAP,
+    tokenize: Callable[[Column], Column] = split_words,
+    detokenize: Callable[[Column], Column] | None = None,
+    limit: int = DEFAULT_TOKEN_LIMIT,
+) -> DataFrame:
+    """Windows and refusals in one pass: ``keys``, ``chunk_ix``, ``chunk``, ``error``."""
     size, step = window_shape(size, overlap, min(limit, getattr(tokenize, "token_limit", limit)))
-    tokens = docs.select(*keys, tokenize(F.col(text)).alias("_tokens"))
+    nothing = F.lit(None).cast("string")
     if detokenize is None:
-        return tokens.select(*keys, F.posexplode(token_windows(F.col("_tokens"), size, step, join_words)).alias("chunk_ix", "chunk"))
-    windows = tokens.select(*keys, F.posexplode(token_windows(F.col("_tokens"), size, step)).alias("chunk_ix", "_window"))
-    return windows.select(*keys, "chunk_ix", detokenize(F.col("_window")).alias("chunk")).where("chunk is not null")
+        tokens = docs.select(*keys, tokenize(F.col(text)).alias("_tokens"))
+        windows = token_windows(F.col("_tokens"), size, step, join_words)
+        return tokens.select(*keys, F.posexplode(windows).alias("chunk_ix", "chunk")).withColumn("error", nothing)
+    if hasattr(tokenize, "checked"):
+        tokens = docs.select(*keys, tokenize.checked(F.col(text)).alias("_t")).select(*keys, F.col("_t.ids").alias("_tokens"), "_t.error")
+    else:
+        tokens = docs.select(*keys, tokenize(F.col(text)).alias("_tokens"), nothing.alias("error"))
+    # A refused text goes on as one row without tokens.
+    refused = F.array(F.lit(None).cast(tokens.schema["_tokens"].dataType))
+    each = F.when(F.col("error").isNotNull(), refused).otherwise(token_windows(F.col("_tokens"), size, step))
+    windows = tokens.select(*keys, "error", F.posexplode(each).alias("chunk_ix", "_window"))
+    windows = windows.withColumn("chunk_ix", F.when(F.col("error").isNull(), F.col("chunk_ix")))
+    if hasattr(detokenize, "checked"):
+        decoded = windows.withColumn("_d", detokenize.checked(F.col("_window")))
+        return decoded.select(*keys, "chunk_ix", F.col("_d.text").alias("chunk"), F.coalesce("error", "_d.error").alias("error"))
+    decoded = windows.withColumn("chunk", detokenize(F.col("_window")))
+    failed = F.when(F.col("chunk").isNull(), F.lit("not decoded"))
+    return decoded.select(*keys, "chunk_ix", "chunk", F.coalesce("error", failed).alias("error"))
 
 
 def chunk_counts(
@@ -101,28 +135,39 @@ def empty_documents(docs: DataFrame, keys: list[str], text: str = "text", tokeni
 def tokenizer_hooks(make_tokenizer: Callable[[], object]):
     """``tokenize`` and ``detokenize`` columns around a user's subword tokenizer.
 
-    ``make_tokenizer`` runs once per Python worker and returns an object with ``encode(text)`` to a
-    list of ids and ``decode(ids)``; its ``model_max_length``, if any, bounds the windows. A text that cannot be encoded gives no ids; a window that
-    cannot be decoded gives null.
+    ``make_tokenizer`` runs once per Python worker, and once on the driver for the longest window its
+    model takes (``model_max_length``, if it has that). It returns an object with ``encode(text)`` to a
+    list of ids and ``decode(ids)``. Each of the two columns also comes as ``checked``, a struct of
+    the value and of the ``error`` that the tokenizer raised, if it did. A null text has no tokens.
     """
 
-    def attempt(call, value, fallback):
-        try:
-            return call(value)
-        except Exception:
-            return fallback
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def attempts(call, values, empty):
+        found, errors = [], []
+        for value in values:
+            try:
+                found.append(empty if value is None else call(value))
+                errors.append(None)
+            except Exception as e:
+                found.append(empty)
+                errors.append(error_text(e))
+        return found, errors
+
+    @F.pandas_udf("ids array<int>, error string")
+    def encode_checked(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tokenizer = make_tokenizer()
         for series in texts:
-            yield series.map(lambda t: [] if t is None else list(attempt(tokenizer.encode, t, [])))
+            ids, errors = attempts(lambda t: list(tokenizer.encode(t)), series, [])
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "error": pd.Series(errors, dtype=object)})
 
-    @F.pandas_udf(T.StringType())
-    def decode(windows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("text string, error string")
+    def decode_checked(windows: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tokenizer = make_tokenizer()
         for series in windows:
-            yield series.map(lambda ids: attempt(tokenizer.decode, [int(i) for i in ids], None))
+            texts, errors = attempts(lambda ids: tokenizer.decode([int(i) for i in ids]), series, None)
+            yield pd.DataFrame({"text": pd.Series(texts, dtype=object), "error": pd.Series(errors, dtype=object)})
 
+    encode = lambda text: encode_checked(text)["ids"]
+    decode = lambda window: decode_checked(window)["text"]
+    encode.checked, decode.checked = encode_checked, decode_checked
     encode.token_limit = token_limit(make_tokenizer())
     return encode, decode

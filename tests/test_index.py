@@ -2,10 +2,12 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import hashed_counts, model_embedder
 from corpusloom.operators.cells import assign_cells, fit_cells, nearest_in_cells
+from corpusloom.operators.chunking import tokenizer_hooks
 from corpusloom.operators.shards import ask_every_shard, registry, shard_registry, shard_report
 from corpusloom.plans.indexing import accepted, index_objects, rejected
 from corpusloom.plans.jobs import FILE_KEYS, index_job
@@ -50,11 +52,40 @@ def test_rejects_are_stored_apart(spark, tmp_path):
     write_index(objects, path)
     good, bad = read_index(spark, path), read_rejects(spark, path)
     assert good.count() + bad.count() == index_objects(docs(spark), ["doc_id"]).count()
+    errors = {r["error"] for r in bad.collect()}
+    assert "ValueError: " in errors and errors <= {"ValueError: ", "vector of 1 values where 2 finite ones, not all of them 0, are needed"}
+    assert {r["error"] for r in good.collect()} == {None}
     words = [set(r["context"].split()) for r in bad.collect()]
     assert words and all(w & {"word3", "word4"} for w in words)
     assert not any({"word3", "word4"} & set(r["context"].split()) for r in good.collect())
 
 
+def failing_tokenizer():
+    class Adapter:
+        def encode(self, text):
+            if "word1" in text.split():
+                raise ValueError("no such word")
+            return [ord(c) for c in text]
+
+        def decode(self, ids):
+            return "".join(map(chr, ids)) if ids[0] != ord("w") else 1 / 0
+
+    return Adapter()
+
+
+def test_refused_texts_are_indexed_as_rejects(spark, tmp_path):
+    tokenize, detokenize = tokenizer_hooks(failing_tokenizer)
+    few = spark.createDataFrame([(1, "word1 and"), (2, "word2 and"), (3, "and word3")], "doc_id long, text string")
+    seen = Observation()
+    objects = index_objects(few, ["doc_id"], tokenize=tokenize, detokenize=detokenize, observation=seen)
+    write_index(objects, str(tmp_path / "index"))
+    assert seen.get == {"indexed": 1, "refused": 2}
+    refused = {(r.doc_id, r.chunk_ix, r.error) for r in read_rejects(spark, str(tmp_path / "index")).collect()}
+    assert refused == {(1, None, "ValueError: no such word"), (2, 0, "ZeroDivisionError: division by zero")}
+    with pytest.raises(ValueError, match="give dim"):
+        index_objects(few, ["doc_id"], embed=model_embedder(odd_model))
+
+
 def test_writing_again(spark, tmp_path):
     path = str(tmp_path / "index")
     first = index_objects(docs(spark), ["doc_id"]).cache()

@@ -11,7 +11,7 @@ from corpusloom.functions import text as T
 from corpusloom.functions.dates import in_last_month, last_month_range
 from corpusloom.functions.prompts import build_prompt
 from corpusloom.functions.views import views_of_json
-from corpusloom.operators.chunking import chunk_counts, chunk_documents, empty_documents, token_limit, tokenizer_hooks, window_shape
+from corpusloom.operators.chunking import chunk_counts, chunk_documents, empty_documents, refused_chunks, token_limit, tokenizer_hooks, window_shape
 
 
 def column(spark, values, make, kind="string"):
@@ -142,12 +142,12 @@ def wordlevel_tokenizer():
     class Adapter:
         def encode(self, text):
             if text == "broken":
-                raise ValueError
+                raise RuntimeError("cannot encode")
             return inner.encode(text).ids
 
         def decode(self, ids):
             if 99 in ids:
-                raise ValueError
+                raise ValueError("bad id")
             return inner.decode(ids, skip_special_tokens=False)
 
     return Adapter()
@@ -161,3 +161,10 @@ def test_subword_tokenizer_hook(spark):
     got = sorted(tuple(r) for r in chunk_documents(docs, ["n"], detokenize=detokenize, **options).collect())
     assert got == [(0, 0, "w1 w2 w3"), (0, 1, "w3 w4 w5"), (1, 0, "w1 [UNK] w2"), (3, 1, "w2 w3")]
     assert {r["n"]: r["n_chunks"] for r in chunk_counts(docs, ["n"], **options).collect()} == {0: 2, 1: 1, 2: 0, 3: 2}
+    refused = sorted(tuple(r) for r in refused_chunks(docs, ["n"], detokenize=detokenize, **options).collect())
+    assert refused == [(2, None, "RuntimeError: cannot encode"), (3, 0, "ValueError: bad id")]
+    # A decoder of one's own that gives null is reported too.
+    nulls = chunk_documents(docs, ["n"], detokenize=lambda w: F.lit(None).cast("string"), **options)
+    assert nulls.count() == 0
+    refused = refused_chunks(docs, ["n"], detokenize=lambda w: F.lit(None).cast("string"), **options).collect()
+    assert [r.error for r in refused if r.n == 0] == ["not decoded"] * 2
