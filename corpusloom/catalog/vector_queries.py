@@ -9,6 +9,7 @@ from corpusloom.catalog.tables import documents, table
 from corpusloom.functions.vectors import cosine, hashed_counts, model_embedder, unit_length
 from corpusloom.operators.cells import assign_cells, fit_cells, nearest_in_cells
 from corpusloom.operators.nearest import nearest, nearest_by_shard, order_by_certainty, rank_matches
+from corpusloom.operators.pruned import cell_radii, nearest_pruned, place_in_cells
 from corpusloom.operators.quantised import Quantiser, encode, fit_codewords, mean_centres, nearest_coded
 from corpusloom.session import work_folder
 from corpusloom.sinks.index import write_index
@@ -102,6 +103,17 @@ def knn_ivf(spark, sf_dir):
     return _scored(_others(found, 5))
 
 
+def knn_pruned(spark, sf_dir):
+    """Exact search of stored cells, of which those out of reach are not read."""
+    items = _items(spark, sf_dir).withColumnRenamed("embedding", "vector")
+    centres = mean_centres(table(spark, sf_dir, "embeddings"), "label", "embedding")
+    path = work_folder(spark, "cells")
+    write_index(place_in_cells(items.select("vec_id", "vector"), centres), path, compact=True, by="cell")
+    placed = spark.read.parquet(path)
+    found = nearest_pruned(_asked(spark, sf_dir), placed, centres, cell_radii(placed, centres), 11, asked_keys=["qid"], item_keys=["vec_id"])
+    return _scored(_others(found, 10))
+
+
 def knn_ivf_all_cells(spark, sf_dir):
     """The same with every cell probed, which is exact."""
     items = _items(spark, sf_dir)
@@ -119,6 +131,7 @@ QUERIES = {
     "knn_topk_grid": knn_topk_grid,
     "sharded_topk_merge": sharded_topk_merge,
     "knn_ivf": knn_ivf,
+    "knn_pruned": knn_pruned,
     "knn_ivf_all_cells": knn_ivf_all_cells,
 }
 
@@ -148,6 +161,7 @@ ORACLE = {
     "knn_top1": f"WITH {_SCORES}" + _top("(SELECT * FROM pairs WHERE qid <> vec_id)", 1),
     "knn_topk": f"WITH {_SCORES}" + _top("(SELECT * FROM pairs WHERE qid <> vec_id)", 10),
     "knn_topk_grid": f"WITH {_SCORES}" + _top("(SELECT * FROM pairs WHERE qid <> vec_id)", 10),
+    "knn_pruned": f"WITH {_SCORES}" + _top("(SELECT * FROM pairs WHERE qid <> vec_id)", 10),
     "sharded_topk_merge": f"""
         WITH {_SCORES}, by_shard AS (
           SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY qid, shard ORDER BY score DESC, vec_id) <= 1)"""

@@ -11,6 +11,8 @@ from corpusloom.functions.text import WHITESPACE
 from corpusloom.functions.vectors import cosine, hashed_counts, is_usable, model_embedder, unit_length
 from corpusloom.operators import nearest as N
 from corpusloom.operators.cells import assign_cells, cells_to_probe, fit_cells, nearest_in_cells
+from corpusloom.operators.nearest import nearest
+from corpusloom.operators.pruned import cell_radii, nearest_pruned, place_in_cells
 from corpusloom.operators.quantised import Quantiser, encode, fit_codewords, mean_centres, nearest_coded
 from corpusloom.sinks.index import write_index
 
@@ -258,3 +260,36 @@ def test_codes_are_scanned_without_vectors(spark, tmp_path):
     assert "vector" not in codes
     with pytest.raises(ValueError, match="equal parts"):
         fit_codewords(things, "id", 5, 4)
+
+
+def test_cells_out_of_reach_are_not_read(spark, tmp_path):
+    """Clustered items, stored by cell: exact results although far cells' files cannot even be read."""
+    rng = np.random.default_rng(11)
+    centres = np.linalg.qr(rng.normal(size=(8, 8)))[0][:6]
+    vectors = np.concatenate([c + rng.normal(scale=0.05, size=(40, 8)) for c in centres]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(900, None), (901, [0.0] * 8), (902, [1.0])]
+    items = spark.createDataFrame(rows, "id long, vector array<float>").repartition(4)
+    path = tmp_path / "cells"
+    write_index(place_in_cells(items, centres), str(path), compact=True, by="cell")
+    placed = spark.read.parquet(str(path))
+    radii = cell_radii(placed, centres).cache()
+    assert sorted((r.cell, r["items"]) for r in radii.collect()) == [(c, 40) for c in range(6)]
+    asked = items.where("id % 40 < 3 and id < 120 or id >= 900").select(F.col("id").alias("qid"), "vector")
+    keys = dict(asked_keys=["qid"], item_keys=["id"])
+    expected = sorted(tuple(r) for r in nearest(asked, items, 7, asked_keys=["qid"], item_keys=["id"]).select("qid", "match_rank", "id").collect())
+    assert len(expected) == 9 * 7
+    for cell in (3, 4, 5):
+        for file in (path / f"cell={cell}").glob("*.parquet"):
+            file.write_bytes(b"not parquet")
+    got = nearest_pruned(asked, placed, centres, radii, 7, **keys).select("qid", "match_rank", "id")
+    assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+@pytest.mark.parametrize("k", [1, 5, 60])
+def test_pruned_search_is_exact(spark, k):
+    things, asked, _ = coded_things(spark)
+    centres = mean_centres(things, "label")
+    placed = place_in_cells(things, centres).cache()
+    keys = dict(asked_keys=["qid"], item_keys=["id"])
+    rows = lambda df: sorted(tuple(r) for r in df.select("qid", "match_rank", "id").collect())
+    assert rows(nearest_pruned(asked, placed, centres, cell_radii(placed, centres), k, **keys)) == rows(nearest(asked, things, k, dim=12, **keys))
