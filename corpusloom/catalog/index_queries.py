@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import sql
 from corpusloom.catalog.tables import documents, questions, table
 from corpusloom.functions.vectors import model_embedder
-from corpusloom.operators.shards import ask_every_shard, pose_question, shard_registry, shard_report
+from corpusloom.operators.shards import DEFAULT_SHARDS, ask_every_shard, pose_question, rendezvous_shard, shard_registry, shard_report
 from corpusloom.plans.indexing import index_objects, rejected
-from corpusloom.plans.reindex import build_index, update_index
+from corpusloom.plans.reindex import add_shard, build_index, update_index
 from corpusloom.session import work_folder
 from corpusloom.sinks.index import write_index
 from corpusloom.sources.index import read_index
@@ -70,6 +70,17 @@ def reindex_report(spark, sf_dir):
     return _reindexed(spark, sf_dir)[1]
 
 
+def grown_shards(spark, sf_dir):
+    """Shards of the chunks of an index before and after it was given a sixth one."""
+    path, keys = work_folder(spark, "index"), ["doc_id", "chunk_ix"]
+    write_index(index_objects(documents(spark, sf_dir), ["doc_id"], place=rendezvous_shard), path)
+    before = work_folder(spark, "placed")
+    read_index(spark, path).select(*keys, F.col("shard").cast("bigint").alias("before")).write.parquet(before)
+    add_shard(spark, path, ["doc_id"], DEFAULT_SHARDS)
+    after = read_index(spark, path).select(*keys, F.col("shard").cast("bigint").alias("after"))
+    return spark.read.parquet(before).join(after, keys).withColumn("chunk_ix", F.col("chunk_ix").cast("bigint"))
+
+
 def _as_bigints(report):
     return report.select(*[F.col(c).cast("bigint").alias(c) for c in report.columns])
 
@@ -116,6 +127,7 @@ QUERIES = {
     "stored_shard": stored_shard,
     "reindexed_rows": reindexed_rows,
     "reindex_report": reindex_report,
+    "grown_shards": grown_shards,
     "rejected_chunks": rejected_chunks,
     "registry_shards": registry_shards,
     "posed_question": posed_question,
@@ -127,7 +139,15 @@ _REPORT = f"""
     WITH {sql.chunks()}, n AS (SELECT {_SHARD}::BIGINT AS shard, count(*) AS objects FROM chunks GROUP BY ALL)
     SELECT shard, objects, objects // 100 AS full_batches, objects % 100 AS remainder, CAST(ceil(objects / 100.0) AS BIGINT) AS batches FROM n"""
 
+
+
+def _rendezvous(shards: int) -> str:
+    weights = ", ".join(f"{{'w': md5('{s}/' || concat_ws('/', doc_id, chunk_ix)), 's': -{s}}}" for s in range(shards))
+    return f"-(list_max([{weights}]).s)::BIGINT"
+
+
 ORACLE = {
+    "grown_shards": f"WITH {sql.chunks()} SELECT doc_id, chunk_ix, {_rendezvous(5)} AS before, {_rendezvous(6)} AS after FROM chunks",
     "index_rows": f"WITH {sql.chunks()} SELECT doc_id, chunk_ix, chunk AS context, {_SHARD}::BIGINT AS shard, 256::BIGINT AS dim FROM chunks",
     "index_shard_report": _REPORT,
     "stored_index_report": _REPORT,

@@ -31,6 +31,17 @@ def shard_of(keys: list[str], shards: int = DEFAULT_SHARDS) -> Column:
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(shards)).cast("int")
 
 
+def rendezvous_shard(keys: list[str], shards: int = DEFAULT_SHARDS) -> Column:
+    """Shard of highest weight for the row's key, a weight being the digest of key and shard.
+
+    Another shard takes only the rows for which its weight is the highest, about one in
+    ``shards + 1``, and every other row stays where it is. Ties go to the lower shard.
+    """
+    key = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    weight = lambda s: F.struct(F.md5(F.concat(F.lit(f"{s}/"), key)).alias("weight"), F.lit(-s).alias("shard"))
+    return (-F.greatest(*[weight(s) for s in range(shards)])["shard"] if shards > 1 else F.lit(0)).cast("int")
+
+
 def registry(spark: SparkSession, services: list[dict]) -> DataFrame:
     """Service entries under the fixed schema: extra keys are ignored, missing ones are null."""
     rows = [tuple(str(s[f]) if s.get(f) is not None else None for f in REGISTRY_SCHEMA.names) for s in services]

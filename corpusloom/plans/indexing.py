@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import Embedder, hashed_counts, is_usable
@@ -23,10 +25,12 @@ def index_objects(
     dim: int | None = None,
     carry: list[str] = (),
     observation: Observation | None = None,
+    place: Callable[[list[str], int], Column] = shard_of,
     **chunk_options,
 ) -> DataFrame:
     """Chunks with their vector and shard: ``keys``, ``chunk_ix``, ``context``, ``vector``, ``shard``, ``error``.
-    Columns to ``carry`` come after the keys and have no part in the shard.
+    Columns to ``carry`` come after the keys and have no part in the shard. ``place`` gives the shard of
+    a key: ``shard_of``, or ``rendezvous_shard`` for an index that may grow.
 
     One narrow stage from scan to vector: the shard is a value of the row, so placing rows needs no
     shuffle. What a hook fails on goes to the reject shard with the ``error``: a text that cannot be
@@ -47,7 +51,7 @@ def index_objects(
     else:
         embedded = chunks.select(*names, embed(F.col("context")).alias("vector"))
     good = F.col("error").isNull() & is_usable(F.col("vector"), dim)
-    shard = F.when(good, shard_of([*keys, "chunk_ix"], shards)).otherwise(REJECT_SHARD)
+    shard = F.when(good, place([*keys, "chunk_ix"], shards)).otherwise(REJECT_SHARD)
     malformed = F.format_string(MALFORMED, F.coalesce(F.size("vector"), F.lit(-1)), F.lit(dim))
     error = F.when(~good, F.coalesce("error", malformed)).alias("error")
     objects = embedded.select(*names[:-1], "vector", shard.alias("shard"), error)

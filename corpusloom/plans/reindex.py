@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.shards import REJECT_SHARD, rendezvous_shard
 from corpusloom.plans.indexing import index_objects
 from corpusloom.session import work_folder
 from corpusloom.sinks.index import drop_shards, replace_shards, write_index
@@ -81,3 +82,20 @@ def update_index(spark: SparkSession, docs: DataFrame, path: str, keys: list[str
     n_changed = changed.agg(F.count("*").alias("n"))
     empty = embedded.join(F.broadcast(n_changed)).select(F.lit(EMPTY).alias("state"), (F.col("n") - F.col("documents")).alias("documents"))
     return counted.unionByName(embedded).unionByName(empty).where("documents > 0")
+
+
+def add_shard(spark: SparkSession, path: str, keys: list[str], shards: int) -> int:
+    """Give an index of ``shards`` shards, placed by ``rendezvous_shard``, one more; returns how many rows
+    moved. Only the rows that the new shard takes change their place: which they are is told from
+    the keys alone, nothing is embedded, and no row is shuffled. The shards they leave are written again.
+    """
+    old = spark.read.parquet(path)
+    placed = F.when(F.col("shard") != REJECT_SHARD, rendezvous_shard([*keys, "chunk_ix"], shards + 1)).otherwise(F.col("shard"))
+    moved = old.select("shard", placed.alias("place")).where("shard <> place").groupBy("shard").agg(F.count("*").alias("n"))
+    leaving = {r["shard"]: r["n"] for r in moved.collect()}
+    if leaving:
+        rows = old.where(F.col("shard").isin(list(leaving)))
+        left = {r["place"] for r in rows.select(placed.alias("place")).distinct().collect()}
+        replace_shards(rows.withColumn("shard", placed.cast("int")), path)
+        drop_shards(spark, path, sorted(set(leaving) - left))
+    return sum(leaving.values())

@@ -5,8 +5,10 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import model_embedder
+from corpusloom.operators.shards import rendezvous_shard
 from corpusloom.plans.indexing import index_objects
-from corpusloom.plans.reindex import build_index, digested, update_index
+from corpusloom.plans.reindex import add_shard, build_index, digested, update_index
+from corpusloom.sinks.index import write_index
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DOCS = "doc_id long, text string"
@@ -66,3 +68,18 @@ def test_only_touched_shards_are_written(spark, tmp_path):
     assert set(files()) == set(before) - {f"shard={place}"}
     update_index(spark, docs, path, ["doc_id"], shards=9).collect()
     assert spark.read.parquet(path).count() == 30
+
+
+def test_a_new_shard_takes_only_its_share(spark, tmp_path):
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(600)] + [(None, "x")], DOCS)
+    write_index(index_objects(docs, ["doc_id"], shards=4, place=rendezvous_shard), path)
+    before = {(r.doc_id, r.chunk_ix): r.shard for r in spark.read.parquet(path).collect()}
+    assert set(before.values()) == {0, 1, 2, 3}
+    moved = add_shard(spark, path, ["doc_id"], 4)
+    rows = spark.read.parquet(path)
+    after = {(r.doc_id, r.chunk_ix): r.shard for r in rows.collect()}
+    changed = {k for k in before if before[k] != after[k]}
+    assert rows.count() == 601 and len(changed) == moved and {after[k] for k in changed} == {4}
+    assert 80 < moved < 160
+    assert add_shard(spark, path, ["doc_id"], 4) == 0
