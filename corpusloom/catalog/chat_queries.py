@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import sql
 from corpusloom.catalog.tables import documents, questions, table
-from corpusloom.operators.history import new_turns, replay
+from corpusloom.operators.history import new_turns, next_turns, replay, replay_buckets
 from corpusloom.plans.indexing import index_objects
 from corpusloom.plans.retrieval import fetch_context, find_matches, generate_answers
 from corpusloom.session import work_folder
-from corpusloom.sinks.history import append_history
+from corpusloom.sinks.history import append_bucketed, append_history, compact_history, history_table
 from corpusloom.sinks.index import write_index
 from corpusloom.sources.index import read_index
 from corpusloom.streaming.answers import read_answers, stream_answers as run_stream
@@ -84,6 +84,21 @@ def replay_history(spark, sf_dir):
     return replay(spark.read.parquet(path))
 
 
+def replay_bucketed(spark, sf_dir):
+    """History and appended turns from a bucketed table after its compaction, each with the place it
+    is replayed at in its conversation, and with the conversation's next free turn."""
+    folder = work_folder(spark, "history")
+    past = table(spark, sf_dir, "conversations")
+    append_bucketed(past, f"{folder}/first", HISTORY_BUCKETS)
+    append_bucketed(append_turns(spark, sf_dir), f"{folder}/first", HISTORY_BUCKETS)
+    compact_history(spark, f"{folder}/first", f"{folder}/second", HISTORY_BUCKETS)
+    stored = spark.table(history_table(spark, f"{folder}/second", HISTORY_BUCKETS))
+    return replay_buckets(stored).withColumn("place", F.col("place").cast("bigint")).join(next_turns(stored), "conv_id")
+
+
+HISTORY_BUCKETS = 8
+
+
 def _user_turns(turns):
     return turns.where("role = 'user'").select("conv_id", F.col("turn").alias("seq"), F.col("text").alias("query"))
 
@@ -145,6 +160,7 @@ QUERIES = {
     "generated_answers": generated_answers,
     "append_turns": append_turns,
     "replay_history": replay_history,
+    "replay_bucketed": replay_bucketed,
     "stream_answers": stream_answers,
     "stream_restarted": stream_restarted,
     "unmatched_questions": unmatched_questions,
@@ -178,6 +194,9 @@ ORACLE = {
     "append_turns": f"WITH {_AGAIN} SELECT conv_id, turn, role, text FROM appended",
     "replay_history": f"""
         WITH {_AGAIN} SELECT conv_id, turn, role, text FROM appended UNION ALL SELECT conv_id, turn, role, text FROM conversations""",
+    "replay_bucketed": f"""
+        WITH {_AGAIN}, a AS (SELECT conv_id, turn, role, text FROM appended UNION ALL SELECT conv_id, turn, role, text FROM conversations)
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place, max(turn) OVER (PARTITION BY conv_id) + 1 AS next_turn FROM a""",
     "stream_answers": _STREAMED,
     "stream_restarted": _STREAMED,
     "unmatched_questions": f"""

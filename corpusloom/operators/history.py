@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import numbered_rows
@@ -33,3 +33,10 @@ def new_turns(history: DataFrame, answered: DataFrame, conv: str = "conv_id", se
 def replay(history: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """History in order, by a range-partitioned sort."""
     return history.orderBy(conv, turn)
+
+
+def replay_buckets(history: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """The turns of each conversation together and in order, with their ``place`` from 1, from a table
+    bucketed by conversation. The ranking asks for a conversation's rows in one task, which the
+    buckets give already, so nothing is shuffled; over other tables it is right too, with a shuffle."""
+    return history.withColumn("place", F.row_number().over(Window.partitionBy(conv).orderBy(turn)))
