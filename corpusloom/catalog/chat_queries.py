@@ -8,7 +8,7 @@ from corpusloom.catalog import sql
 from corpusloom.catalog.tables import documents, questions, table
 from corpusloom.operators.history import new_turns, next_turns, replay, replay_buckets
 from corpusloom.plans.indexing import index_objects
-from corpusloom.plans.retrieval import fetch_context, find_matches, generate_answers
+from corpusloom.plans.retrieval import ask, fetch_context, find_matches, generate_answers
 from corpusloom.session import work_folder
 from corpusloom.sinks.history import append_bucketed, append_history, compact_history, history_table
 from corpusloom.sinks.index import write_index
@@ -36,6 +36,15 @@ def retrieve_context(spark, sf_dir):
     )
 
 
+def asked_once(spark, sf_dir):
+    """Two questions asked one by one: the first user turn, and one that nothing can match."""
+    index = index_objects(documents(spark, sf_dir), ["doc_id"])
+    first = questions(spark, sf_dir).orderBy(*ASKED).first()["query"]
+    rows = [(question, *(ask(index, HELD, question)[c] for c in ("rag_text", "certainty", "distance"))) for question in (first, " ")]
+    found = spark.createDataFrame(rows, "question string, rag_text array<string>, certainty double, distance double")
+    return found.select("question", F.array_join("rag_text", "\n\n").alias("context"), F.round("certainty", 6).alias("certainty"), F.round("distance", 6).alias("distance"))
+
+
 def _prompts(spark, sf_dir):
     return fetch_context(questions(spark, sf_dir), _matches(spark, sf_dir), ASKED)
 
@@ -164,6 +173,7 @@ QUERIES = {
     "stream_answers": stream_answers,
     "stream_restarted": stream_restarted,
     "unmatched_questions": unmatched_questions,
+    "asked_once": asked_once,
 }
 
 
@@ -199,6 +209,10 @@ ORACLE = {
         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place, max(turn) OVER (PARTITION BY conv_id) + 1 AS next_turn FROM a""",
     "stream_answers": _STREAMED,
     "stream_restarted": _STREAMED,
+    "asked_once": f"""
+        WITH {sql.MATCHES}
+        (SELECT query AS question, rag_text AS context, round(certainty, 6) AS certainty, round(distance, 6) AS distance FROM prompts ORDER BY conv_id, seq LIMIT 1)
+        UNION ALL SELECT ' ', NULL, NULL, NULL""",
     "unmatched_questions": f"""
         WITH {sql.MATCHES}
         SELECT conv_id, seq, false AS silent, rag_text AS context, round(certainty, 6) AS certainty, prompt FROM prompts

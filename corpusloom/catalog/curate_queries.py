@@ -11,8 +11,8 @@ from corpusloom.operators.search import HITS_PER_TOPIC, hits_per_topic, keyword_
 from corpusloom.plans.curate import cap_hits, curate, monthly_views, resolve_hits, wanted_titles
 from corpusloom.plans.extract import unfetched_articles as without_page
 from corpusloom.session import work_folder
-from corpusloom.sinks.articles import write_failed_pages, write_ranked_lists
-from corpusloom.sources.articles import read_ranked_lists
+from corpusloom.sinks.articles import write_failed_pages, write_ranked_arrays, write_ranked_lists
+from corpusloom.sources.articles import read_ranked_arrays, read_ranked_lists
 
 
 def _curated(spark, sf_dir):
@@ -46,6 +46,13 @@ def ranked_lists(spark, sf_dir):
     return read_ranked_lists(spark, path)
 
 
+def ranked_arrays(spark, sf_dir):
+    """The ranked articles as one JSON array per topic, written and read back."""
+    path = work_folder(spark, "ranked-arrays")
+    write_ranked_arrays(_curated(spark, sf_dir)[0], path)
+    return read_ranked_arrays(spark, path)
+
+
 def failed_lists(spark, sf_dir):
     path = work_folder(spark, "failed")
     write_failed_pages(_curated(spark, sf_dir)[1], path)
@@ -94,6 +101,7 @@ QUERIES = {
     "top_articles_per_topic": top_articles_per_topic,
     "failed_pages": failed_pages,
     "ranked_lists": ranked_lists,
+    "ranked_arrays": ranked_arrays,
     "failed_lists": failed_lists,
     "article_counts": article_counts,
     "keyword_search": keyword_search,
@@ -118,6 +126,7 @@ ORACLE = {
     "top_articles_per_topic": f"WITH {sql.RESOLVED} SELECT topic, rank, title, pageid, views, place FROM articles",
     "failed_pages": _FAILED,
     "ranked_lists": f"WITH {sql.RESOLVED} SELECT topic, title, pageid, views, place FROM articles",
+    "ranked_arrays": f"WITH {sql.RESOLVED} SELECT topic, place, title, pageid, views FROM articles",
     "failed_lists": _FAILED,
     "article_counts": f"WITH {sql.RESOLVED} SELECT topic, count(*) AS articles FROM articles GROUP BY topic",
     "keyword_search": f"WITH {sql.SEARCH} SELECT topic, rank, doc_id, hits FROM hits",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import sql
 from corpusloom.catalog.tables import documents, questions, table
 from corpusloom.functions.vectors import model_embedder
-from corpusloom.operators.shards import DEFAULT_SHARDS, ask_every_shard, pose_question, rendezvous_shard, shard_registry, shard_report
+from corpusloom.operators.shards import DEFAULT_SHARDS, ask_every_shard, pose_question, registry, rendezvous_shard, shard_registry, shard_report
 from corpusloom.plans.indexing import index_objects, rejected
 from corpusloom.plans.reindex import add_shard, build_index, update_index
 from corpusloom.session import work_folder
@@ -109,6 +109,13 @@ def registry_shards(spark, sf_dir):
     return shard_registry(names, gateway="Supplier#000000007")
 
 
+def registry_rows(spark, sf_dir):
+    """The registry of a service per nation, from entries that have a key too many and lack another."""
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()
+    services = [{"name": n.n_name, "ip": None if n.n_nationkey % 5 == 0 else f"10.0.0.{n.n_nationkey}", "port": 8000 + n.n_nationkey, "protocol": "http"} for n in nations]
+    return registry(spark, services)
+
+
 def posed_question(spark, sf_dir):
     """The registry's shards with one question put to all of them."""
     names = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.lit(None).cast("int").alias("query"))
@@ -130,6 +137,7 @@ QUERIES = {
     "grown_shards": grown_shards,
     "rejected_chunks": rejected_chunks,
     "registry_shards": registry_shards,
+    "registry_rows": registry_rows,
     "posed_question": posed_question,
     "question_shards": question_shards,
 }
@@ -167,6 +175,9 @@ ORACLE = {
     "registry_shards": """
         SELECT s_name AS name, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) - 1 AS shard
         FROM supplier WHERE s_name <> 'Supplier#000000007'""",
+    "registry_rows": """
+        SELECT n_name AS name, CASE WHEN n_nationkey % 5 <> 0 THEN '10.0.0.' || n_nationkey END AS ip, (8000 + n_nationkey)::VARCHAR AS port, NULL::VARCHAR AS query
+        FROM nation""",
     "posed_question": """
         SELECT s_name AS name, 'What is the capital of France?' AS query, CAST(regexp_extract(s_name, '([0-9]+)$', 1) AS BIGINT) - 1 AS shard
         FROM supplier""",

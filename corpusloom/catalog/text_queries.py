@@ -32,8 +32,16 @@ def chunk_counts_64(spark, sf_dir):
     return counts.select("doc_id", F.col("n_tokens").cast("bigint").alias("n_tokens"), F.col("n_chunks").cast("bigint").alias("n_chunks"))
 
 
+def limited_chunks(spark, sf_dir):
+    """Windows of the size asked for, cut down to the longest that a tokenizer takes."""
+    chunks = chunk_documents(documents(spark, sf_dir), ["doc_id"], size=100_000, overlap=20, limit=256)
+    return chunks.withColumn("chunk_ix", F.col("chunk_ix").cast("bigint"))
+
+
 def documents_without_chunks(spark, sf_dir):
-    return empty_documents(documents(spark, sf_dir), ["doc_id"])
+    """Documents of white space only, as every ninth is made here."""
+    blank = F.when(F.col("doc_id") % 9 == 0, F.regexp_replace("text", r"\S", " ")).otherwise(F.col("text"))
+    return empty_documents(documents(spark, sf_dir).withColumn("text", blank), ["doc_id"])
 
 
 class CharacterTokenizer:
@@ -171,6 +179,7 @@ QUERIES = {
     "chunk_documents": chunk_documents_64,
     "chunk_documents_default_size": chunk_documents_128,
     "chunk_counts": chunk_counts_64,
+    "limited_chunks": limited_chunks,
     "documents_without_chunks": documents_without_chunks,
     "subword_chunks": subword_chunks,
     "refused_subwords": refused_subwords,
@@ -223,7 +232,8 @@ ORACLE = {
     "chunk_counts": f"""
         WITH t AS (SELECT doc_id, len({sql.words('text')})::BIGINT AS n_tokens FROM documents)
         SELECT doc_id, n_tokens, CASE WHEN n_tokens = 0 THEN 0 ELSE CAST(ceil(greatest(n_tokens - 64, 0) / 44.0) AS BIGINT) + 1 END AS n_chunks FROM t""",
-    "documents_without_chunks": f"SELECT doc_id FROM documents WHERE len({sql.words('text')}) = 0",
+    "limited_chunks": f"WITH {sql.chunks(256)} SELECT doc_id, chunk_ix, chunk FROM chunks",
+    "documents_without_chunks": f"SELECT doc_id FROM documents WHERE doc_id % 9 = 0 OR len({sql.words('text')}) = 0",
     "subword_chunks": f"{_SUBWORDS} SELECT * FROM windows WHERE NOT contains(chunk, 'ç')",
     "refused_subwords": f"""{_SUBWORDS}
         SELECT doc_id, chunk_ix, 'KeyError: 231' AS error FROM windows WHERE contains(chunk, 'ç')

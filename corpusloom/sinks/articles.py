@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import topic_folder
-from corpusloom.sources.articles import store_of
+from corpusloom.functions.text import topic_file_stem, topic_folder
+from corpusloom.sources.articles import FILE_SUFFIX, RANKED_FILE_SUFFIX, store_of
 
 
 def write_ranked_lists(articles: DataFrame, path: str) -> None:
@@ -40,7 +40,17 @@ def write_article_files(texts: DataFrame, path: str, content: str = "content", p
     files.write.mode("overwrite").partitionBy("topic").option("maxRecordsPerFile", per_file).text(path)
 
 
-def write_named_files(texts: DataFrame, root: str, content: str = "content") -> None:
+def write_ranked_arrays(articles: DataFrame, path: str) -> None:
+    """Ranked articles as one JSON array per topic, in a file ``<topic>_articles.json`` under ``path``, in
+    the order of their ``place``. A list is as long as the curation keeps articles, so it fits a row."""
+    entry = F.struct("place", F.struct("title", "pageid", "views").alias("entry"))
+    lists = articles.groupBy("topic").agg(F.sort_array(F.collect_list(entry)).alias("list"))
+    text = F.to_json(F.transform("list", lambda e: e["entry"]), {"ignoreNullFields": "false"})
+    name = F.concat(topic_file_stem(F.col("topic")), F.lit(RANKED_FILE_SUFFIX.removesuffix(".json")))
+    write_named_files(lists.select(F.lit("").alias("topic"), name.alias("safe_title"), text.alias("content")), path, suffix=".json")
+
+
+def write_named_files(texts: DataFrame, root: str, content: str = "content", suffix: str = FILE_SUFFIX) -> None:
     """One file ``<root>/<folder>/<safe title>.txt`` per article of ``topic, safe_title, content``, as
     UTF-8; the folder is the topic without spaces. Binary content is written as it is.
 
@@ -53,14 +63,14 @@ def write_named_files(texts: DataFrame, root: str, content: str = "content") ->
         made = set()
         for batch in batches:
             for folder, name, data in zip(*(c.to_pylist() for c in batch.columns)):
-                place = f"{base.rstrip('/')}/{folder}"
+                place = f"{base.rstrip('/')}/{folder}".rstrip("/")
                 if folder not in made:
                     store.create_dir(place, recursive=True)
                     made.add(folder)
                 draft = f"{place}/{name}.{uuid.uuid4().hex}.part"
                 with store.open_output_stream(draft, compression=None) as file:
                     file.write(data)
-                store.move(draft, f"{place}/{name}.txt")
+                store.move(draft, f"{place}/{name}{suffix}")
             yield batch.select(["folder"])
 
     data = F.coalesce(F.col(content).cast("binary"), F.lit(b"")).alias("data")
