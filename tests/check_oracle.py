@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -53,9 +54,10 @@ if __name__ == "__main__":
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(queries())
+    shared = tempfile.TemporaryDirectory(prefix="check-oracle-")  # intermediate tables go with the run
     session = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.checkpoint.dir": shared.name, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
