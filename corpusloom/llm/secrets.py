@@ -13,6 +13,7 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 LEAST_VALUE = 6
+BLOCK = 256  # matches folded at a time
 
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
@@ -24,12 +25,12 @@ MIXED_BITS = 3.6
 # A word, also of camel case and with a short number, a short number, or up to three characters.
 # Everything is possessive, so that no string of many segments is tried in many ways.
 SHORT = "As|At|By|Db|Do|Id|If|In|Io|Ip|Is|It|My|No|Of|On|Or|To|Ui|Up"
-SEGMENT = rf"(?>(?:(?:(?:{SHORT})(?![a-z])|[A-Z]*+[a-z]{{2,}}+)*+[A-Z]*+|[A-Za-z])\d{{0,4}}+(?![A-Za-z0-9])|\d{{1,8}}+(?![A-Za-z0-9])|[A-Za-z0-9]{{1,3}}+(?![A-Za-z0-9]))"
-# Strings that are no secrets: numbers, UUIDs, placeholders, and identifiers and paths, all of whose
-# segments are words or short.
+PLACEHOLDER = r"(?i:[a-z0-9]*?(?:example|sample|dummy|placeholder|changeme|xxxx)[a-z0-9]*+)"
+SEGMENT = rf"(?>(?:(?:(?:{SHORT})(?![a-z])|[A-Z]*+[a-z]{{2,}}+)*+[A-Z]*+|[A-Za-z])\d{{0,4}}+(?![A-Za-z0-9])|\d{{1,8}}+(?![A-Za-z0-9])|[A-Za-z0-9]{{1,3}}+(?![A-Za-z0-9])|{PLACEHOLDER})"
+# Strings that are no secrets: numbers, UUIDs, and identifiers and paths, all of whose segments are
+# words, short or placeholders. One segment that is none of these makes the whole a candidate.
 ALLOWED = (
     r"^[0-9_/=+-]+$|^(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$"
-    r"|(?i:example|sample|dummy|placeholder|changeme|xxxx)"
     rf"|^[_/=+-]*+{SEGMENT}(?:[_/=+-]++{SEGMENT})*+[_/=+-]*+$"
 )
 
@@ -46,8 +47,16 @@ def _spans(text: Column, pattern: str, kind: int, passes) -> Column:
     walk = lambda acc, x: F.struct(
         (start(acc, x) + x["n"]).alias("at"), F.when(x["ok"], F.concat(acc["spans"], span(acc, x))).otherwise(acc["spans"]).alias("spans")
     )
-    spans = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("spans")), walk, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    # A fold copies its array at every step, so it runs over blocks: first over each block's length,
+    # then from each block's start.
+    blocks = lambda all_: F.transform(F.sequence(F.lit(0), F.ceil(F.size(all_) / BLOCK).cast("int") - 1), lambda b: F.slice(all_, b * BLOCK + 1, BLOCK))
+    length = lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + x["n"])
+    ends = lambda cut: F.aggregate(cut, F.array(F.lit(0)), lambda acc, block: F.concat(acc, F.array(F.element_at(acc, -1) + length(block))))
+    spans_of = lambda at, block: F.aggregate(block, F.struct(at.alias("at"), none.alias("spans")), walk, lambda acc: acc["spans"])
+    whole = lambda cut: F.flatten(F.zip_with(F.slice(ends(cut), F.lit(1), F.size(cut)), cut, spans_of))
+    # Within a transform over one element each value is computed once and not wherever it is named.
+    once = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))
+    return F.when(text.rlike(pattern), once(steps, lambda all_: once(blocks(all_), whole))).otherwise(none)
 
 
 def _highest_entropy(candidate: Column) -> Column:
