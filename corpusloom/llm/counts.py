@@ -23,9 +23,15 @@ def write_token_files(encoded: DataFrame, end: int, block_tokens: int = BLOCK_TO
     Every task writes one file: the ids of its documents, each followed by ``end``, cut into blocks
     of ``block_tokens`` wherever that falls. The files are rows ``file, block, tokens``; the list is
     ``file, doc_no, doc_id``. The scan does not need it.
+
+    Defined results: null ids are a document of no tokens. An id that is null, that equals ``end`` or
+    that does not fit ``dtype`` would be read as something else, so it is an error.
     """
     kind = "is_block boolean, file int, no bigint, doc_id bigint, tokens binary"
     names = [f.split()[0] for f in kind.split(", ")]
+    least, most = np.iinfo(dtype).min, np.iinfo(dtype).max
+    if not least <= end <= most:
+        raise ValueError(f"the end of document {end} does not fit {dtype}")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, block, doc, rest = TaskContext.get().partitionId(), 0, 0, np.zeros(0, dtype)
@@ -37,8 +43,16 @@ def write_token_files(encoded: DataFrame, end: int, block_tokens: int = BLOCK_TO
 
         for batch in batches:
             ids = batch.column(1)
-            flat, offsets = ids.flatten().to_numpy(zero_copy_only=False), np.asarray(ids.offsets).astype(np.int64)
-            rest = np.concatenate([rest, np.insert(flat, offsets[1:] - offsets[0], end).astype(dtype)])
+            # Offsets from the lengths: the values of null lists are not in the flattened ids.
+            flat = ids.flatten()
+            offsets = np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            if flat.null_count:
+                raise ValueError("null token id")
+            flat = flat.to_numpy(zero_copy_only=False)
+            bad = (flat == end) | (flat < least) | (flat > most)
+            if bad.any():
+                raise ValueError(f"token id {flat[bad][0]} is the end of document or does not fit {dtype}")
+            rest = np.concatenate([rest, np.insert(flat.astype(np.int64), offsets[1:], end).astype(dtype)])
             n = len(rest) // block_tokens
             for k in range(n):
                 yield rows(True, [block + k], pa.nulls(1, pa.int64()), [rest[k * block_tokens : (k + 1) * block_tokens].tobytes()])
