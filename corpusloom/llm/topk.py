@@ -33,17 +33,13 @@ def _exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _select(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column of the k best of each row; columns are in order of id, so ties go to the left."""
-    n, m = scores.shape
     rows, columns = [], []
-    for r in range(n):
+    for r in range(len(scores)):
         line = scores[r]
-        fit = ids != own[r]
-        if m > 4 * k + 4:
-            # At most one column, the query's own, does not count.
-            floor = np.partition(line, m - k - 1)[m - k - 1]
-            at = np.flatnonzero(fit & (line >= floor))
-        else:
-            at = np.flatnonzero(fit)
+        at = np.flatnonzero(ids != own[r])
+        if len(at) > 4 * k + 4:
+            floor = np.partition(line[at], len(at) - k)[len(at) - k]
+            at = at[line[at] >= floor]
         best = at[np.argsort(-line[at].astype(np.float64) if np.abs(line[at]).max(initial=0) < 1 << 53 else np.array([-int(x) for x in line[at]], object), kind="stable")[:k]]
         rows.append(np.full(len(best), r))
         columns.append(best)
@@ -59,12 +55,10 @@ def _tile(k: int):
             candidates = candidates.sort_by("vec_id")
             a = _matrix(queries["vector"].combine_chunks())
             b = _matrix(candidates["vector"].combine_chunks())
-            ids, first = np.unique(candidates["vec_id"].to_numpy(), return_index=True)
+            ids = candidates["vec_id"].to_numpy()
             asked = queries["vec_id"].to_numpy()
             for x in range(0, len(a), STEP):
                 scores = _exact_scores(a[x : x + STEP], b)
-                if len(ids) < scores.shape[1]:
-                    scores = np.maximum.reduceat(scores, first, axis=1)
                 row, column = _select(scores, ids, asked[x : x + STEP], k)
                 out["query_id"].append(asked[x : x + STEP][row])
                 out["vec_id"].append(ids[column])
@@ -89,16 +83,18 @@ def top_k(
     query are merged ``FAN_IN`` at a time, so no task holds more than ``FAN_IN * k`` of one query.
 
     Defined results: vectors that are null, empty or hold a null or non-finite component take no
-    part, nor do rows without id; vectors are only compared with those of their own length; a
-    repeated id counts once per query, with its best score; scores are clipped to the long range.
+    part, nor do rows without id; vectors are only compared with those of their own length; rows of
+    one id are candidates each, as often as they are there, but none of them for the query of that
+    id; a query that is there more than once is asked once, of several vectors of one id the lowest;
+    scores are clipped to the long range.
     """
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     usable = F.col(id_).isNotNull() & (F.size(vector) > 0) & F.forall(F.col(vector), lambda x: F.coalesce(fine(x.cast("double")), F.lit(False)))
     # floor() of a double is a long, which is too small for the largest floats; those stay doubles.
     scaled = lambda x: F.when(F.abs(x) < float(1 << 50), F.floor(F.lit(64.0) * x).cast("double")).otherwise(F.lit(64.0) * x)
     whole = F.transform(F.col(vector), lambda x: scaled(x.cast("double")))
-    pick = lambda df: df.where(usable).select(F.col(id_).cast("bigint").alias("vec_id"), whole.alias("vector")).distinct()
-    rows, queries = stored(pick(rows), "candidates"), stored(pick(queries), "queries")
+    pick = lambda df: df.where(usable).select(F.col(id_).cast("bigint").alias("vec_id"), whole.alias("vector"))
+    rows, queries = stored(pick(rows), "candidates"), stored(pick(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
     n_rows, n_queries = rows.count(), queries.count()
     shards, blocks = max(1, -(-n_rows // tile_rows)), max(1, -(-n_queries // tile_rows))
     spread = rows.sparkSession.sparkContext.defaultParallelism

@@ -40,10 +40,12 @@ def test_top_k(spark):
     vectors = {i: rng.integers(-3, 4, 4) / 8 for i in range(60)}
     rows = [(i, [float(x) for x in v]) for i, v in vectors.items()]
     bad = [(100, None), (120, []), (140, [1.0, None, 0.0, 0.0]), (160, [float("nan")] * 4), (None, [1.0] * 4), (180, [float("inf")] * 4)]
-    df = spark.createDataFrame([*rows, rows[0], *bad], "vec_id long, embedding array<float>")
+    twice = [rows[0], (7, rows[8][1]), rows[7]]
+    df = spark.createDataFrame([(*r, "c", 1.0) for r in [*rows, *twice, *bad]], "vec_id long, embedding array<float>, vector string, score double")
     expected = []
     for q in (0, 20, 40):
-        scores = sorted((-int(np.floor(64 * vectors[q]) @ np.floor(64 * v)), i) for i, v in vectors.items() if i != q)
+        held = [*vectors.items(), (0, vectors[0]), (7, vectors[8]), (7, vectors[7])]
+        scores = sorted((-int(np.floor(64 * vectors[q]) @ np.floor(64 * v)), i) for i, v in held if i != q)
         expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:5], 1)]
     for tile in (7, 1000):
         got = top_k(df, df.where("vec_id % 20 = 0"), 5, tile_rows=tile)
@@ -52,6 +54,8 @@ def test_top_k(spark):
     got = {r.vec_id: r.score for r in top_k(few, few.where("vec_id = 0"), 5).collect()}
     assert got == {1: 2**63 - 1, 2: min(2**63 - 1, int(64 * float(np.float32(1e30))) * int(64 * float(np.float32(3e4))))}
     assert top_k(df.where("false"), df.where("false"), 5).count() == 0
+    again = spark.createDataFrame([(5, [1.0]), (5, [1.0]), (5, [2.0]), (6, [0.5]), (0, [1.0]), (0, [1.0])], "vec_id long, embedding array<float>")
+    assert [(r.vec_id, r.score) for r in top_k(again, again.where("vec_id = 0"), 5).orderBy("rank").collect()] == [(5, 8192), (5, 4096), (5, 4096), (6, 2048)]
 
 
 def test_suffix_automaton_holds_all_substrings():
@@ -127,6 +131,16 @@ def test_token_counts(spark):
     assert scan_separators(table.where("false"), 9).count() == 0
 
 
+@pytest.mark.parametrize("bad", [99, 65536, -1, None])
+def test_token_ids_that_files_cannot_hold(spark, bad):
+    docs = spark.createDataFrame([(1, [1, 2]), (2, [3, bad]), (3, None)], "doc_id long, ids array<int>")
+    with pytest.raises(Exception, match="token id"):
+        write_token_files(docs, 99)
+    files, written = write_token_files(docs.where("doc_id <> 2").repartition(1), 99)
+    found = scan_separators(files, 99).join(written, ["file", "doc_no"]).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in found) == [(1, 2), (3, 0)]
+
+
 def test_shards(spark):
     df = frame(spark, EDGE + [prose(i, 5) for i in range(150)]).withColumn("slot", F.lit("own"))
     for shards, bucket in ((16, 4), (3, 1000)):
@@ -202,6 +216,15 @@ def test_secrets(spark):
     assert all((got[4 + k].b, got[4 + k].s) == ("", "") for k in range(len(EDGE)))
 
 
+def test_many_matches_in_one_text(spark):
+    """Spans take time in proportion to the matches: a text of 64,000 is one of them."""
+    n = 64_000
+    text = "é token=abcdef1 " * n
+    (row,) = find_secrets(frame(spark, [text]).limit(1)).select("base").collect()
+    assert len(row.base) == n
+    assert [tuple(s) for s in row.base[:2]] == [(2, 0, 15), (18, 0, 31)] and tuple(row.base[-1]) == (16 * (n - 1) + 2, 0, 16 * (n - 1) + 15)
+
+
 def test_random_tokens_are_secrets_and_identifiers_are_not(spark):
     import base64
     import string
@@ -212,9 +235,10 @@ def test_random_tokens_are_secrets_and_identifiers_are_not(spark):
     shapes = {p: (lambda p=p: p + some(base62, 36)) for p in ("ghp_", "sk_live_", "glpat-", "npm_", "sk-", "xoxb-123456789012-")}
     shapes |= {f"base64 {n}": (lambda n=n: base64.b64encode(rng.randbytes(n)).decode()) for n in (30, 48, 96)}
     shapes |= {"base62": lambda: some(base62, 20), "lower": lambda: some(lower, 32), "lower 20": lambda: some(lower, 20)}
+    shapes |= {"path": lambda: "/srv/sample/" + some(base62, 36), "dummy": lambda: "dummy_" + some(base62, 36), "examples": lambda: "a/examples/" + some(base62, 36)}
     tokens = [(shape, make()) for shape, make in shapes.items() for _ in range(200)]
     names = ["user_profile_image_2x_small", "/usr/local/lib/python3/dist-packages/numpy", "getHTTPResponseCodeAsString", "AbstractBeanFactory-v2-2024", "MAX_RETRY_COUNT_PER_USER"]
-    names += ["a-" * 20000, "zzz" * 7000, "ab_" * 7000 + "q1w2e3", "550E8400-e29b-41d4-a716-446655440000", "2024-01-31-12-00-00-000", "XXXXXXXXXXXXab12cd34ef56"]
+    names += ["a-" * 20000, "zzz" * 7000, "ab_" * 7000 + "q1w2e3", "550E8400-e29b-41d4-a716-446655440000", "2024-01-31-12-00-00-000", "XXXXXXXXXXXXab12cd34ef56", "Q7IOSFODNN7EXAMPLEKEY9Z", "/etc/changeme123/sample_dummy_values"]
     rows = find_secrets(frame(spark, [t for _, t in tokens] + names)).select("doc_id", F.size("spans").alias("n")).collect()
     found = {r.doc_id for r in rows if r.n}
     for shape in shapes:
