@@ -22,12 +22,16 @@ PERCENT = 75
 BANDS, ROWS = 40, 5
 SMALL = 16  # members up to which a bucket's pairs are listed outright
 HAND = 4
+EARLY = 4  # bands whose large buckets are linked first
 TILE = 1 << 14
 SPACE = b" \t\n\x0b\x0c\r"
 PLANES = 4  # bits kept of every place of a signature
 UNION_STEP, UNION_STEPS = 32, 64
-SLACK = 4.0  # standard deviations by which an estimate may be too low
-SKETCH = pa.struct([("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("planes", pa.list_(pa.int64()))])
+SLACK = 6.0  # standard deviations by which an estimate may be too low
+TALLIES, MOST_TALLY = 256, 127
+SKETCH = pa.struct(
+    [("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("planes", pa.list_(pa.int64())), ("tallies", pa.list_(pa.int8()))]
+)
 
 
 @cache
@@ -92,16 +96,18 @@ def _tiles(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def sketcher(size: int, bands: int, rows: int):
-    """Column function: size of the shingle set, its digest, the hashes of its bands, and ``PLANES``
-    bits of every place of the signature, plane by plane in words of 64 bits."""
+    """Column function: size of the shingle set, its digest, the hashes of its bands, ``PLANES`` bits of
+    every place of the signature, plane by plane in words of 64 bits, and ``tallies``, how many shingles
+    fall into each of ``TALLIES`` classes; null for a set with more than ``MOST_TALLY`` in one."""
 
     def sketch(texts: pa.Array) -> pa.Array:
-        counts, keys, hashes, bits = [], [], [], []
+        counts, keys, hashes, bits, tallies = [], [], [], [], []
         seed = mix(np.arange(1, bands + 1, dtype=U))
         for data, offsets, _ in chunks(texts):
             elements, bounds = shingle_sets(data, offsets, size)
             sizes = np.diff(bounds)
             counts.append(sizes)
+            tallies += _tallies(elements, bounds)
             keys += [hashlib.blake2b(elements[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds[:-1], bounds[1:])]
             for a, b in _tiles(bounds):
                 lo, hi = bounds[a], bounds[b]
@@ -127,9 +133,24 @@ def sketcher(size: int, bands: int, rows: int):
             pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * width), pa.array(values))
             for width, values in ((bands, flat), (PLANES * _words(bands * rows), plane_words))
         ]
-        return pa.StructArray.from_arrays([pa.array(n), pa.array(keys, pa.binary()), *lists], fields=list(SKETCH))
+        classes = pa.array(tallies, pa.list_(pa.int8()))
+        return pa.StructArray.from_arrays([pa.array(n), pa.array(keys, pa.binary()), *lists, classes], fields=list(SKETCH))
 
-    return F.arrow_udf(sketch, "n_shingles long, set_key binary, bands array<bigint>, planes array<bigint>")
+    return F.arrow_udf(sketch, "n_shingles long, set_key binary, bands array<bigint>, planes array<bigint>, tallies array<tinyint>")
+
+
+def _tallies(elements: np.ndarray, bounds: np.ndarray) -> list:
+    kind = (elements >> U(17)) % U(TALLIES)
+    counts = (np.bincount(kind[a:b].astype(np.int64), minlength=TALLIES) for a, b in zip(bounds[:-1], bounds[1:]))
+    return [c.astype(np.int8) if c.max() <= MOST_TALLY else None for c in counts]
+
+
+def _can_be_alike(x: str, y: str, percent: int) -> Column:
+    """Whether the tallies leave room for the least similarity. Two sets share no more shingles than the
+    lower of their numbers in every class, so this rules out no link; it is open where a set has no tallies."""
+    shared = F.aggregate(F.zip_with(f"{x}.tallies", f"{y}.tallies", lambda a, b: F.least(a, b)), F.lit(0), lambda s, v: s + v.cast("int"))
+    either = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
+    return F.coalesce((100 + percent) * shared >= percent * either, F.lit(True))
 
 
 def _words(places: int) -> int:
@@ -162,7 +183,9 @@ def _may_be_alike(x: str, y: str, places: int, percent: int) -> Column:
             either = either.bitwiseOR(plane)
         differing = differing + F.bit_count(either)
     sizes = 100 * F.least(f"{x}.n_shingles", f"{y}.n_shingles") >= percent * F.greatest(f"{x}.n_shingles", f"{y}.n_shingles")
-    return sizes & (differing <= F.get(most, F.least(union, F.lit(UNION_STEPS - 1))))
+    close = sizes & (differing <= F.get(most, F.least(union, F.lit(UNION_STEPS - 1))))
+    # The second test costs more, so it only meets pairs that pass the first.
+    return F.when(close, _can_be_alike(x, y, percent)).otherwise(F.lit(False))
 
 
 def word_shingles(text: str, size: int) -> set:
@@ -199,7 +222,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, p
     named = named.select("set_key", F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_key"))
     found = texts.join(named, "_key").where(same(F.col("doc_id"), F.col("_id")))
-    found = stored(found.groupBy("set_key").agg(F.min("text").alias("text")), "texts")
+    found = found.groupBy("set_key").agg(F.min("text").alias("text"))
     left = found.select(F.col("set_key").alias("a"), F.col("text").alias("text_a"))
     right = found.select(F.col("set_key").alias("b"), F.col("text").alias("text_b"))
     check = _confirmer(size, percent)
@@ -219,33 +242,38 @@ def _ends(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _star_pairs(large: DataFrame, percent: int, places: int) -> DataFrame:
+def _mixed(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows ``band, x`` of large buckets that hold several components, with the ``component`` of each
+    and the bucket's largest, ``top``. Components only grow, so a bucket that is left out once never
+    comes back, and each round looks at what the last has left."""
+    placed = large.select("band", "x").join(labels, F.col("x.set_key") == F.col("node"), "left")
+    placed = stored(placed.select("band", "x", F.coalesce("component", "x.set_key").alias("component")), "placed_members")
+    parts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
+    return stored(placed.join(largest.where("parts > 1").select("band", F.col("top.component").alias("top")), "band"), "mixed")
+
+
+def _star_pairs(members: DataFrame, percent: int, places: int) -> DataFrame:
     """In a large bucket each member with the bucket's first and with the first of a hand of about
     ``HAND``, dealt anew in every bucket, which joins most members of a large group whichever of
     them are alike."""
     hand = F.pmod(F.xxhash64("band", "x.set_key"), F.floor(F.col("members") / HAND))
-    dealt = large.select("band", "x", hand.alias("hand"))
+    dealt = members.select("band", "x", hand.alias("hand"))
     stars = [dealt.join(dealt.groupBy(*by).agg(F.min("x").alias("y")), by).select("x", "y") for by in (["band"], ["band", "hand"])]
     return _ends(stars[0].unionByName(stars[1]).where(_may_be_alike("x", "y", places, percent)))
 
 
-def _open_pairs(large: DataFrame, labels: DataFrame, tried: DataFrame, count: int, percent: int, places: int):
+def _open_pairs(mixed: DataFrame, tried: DataFrame, count: int, percent: int, places: int):
     """Pairs of large buckets that are still in different components, and the members they start from.
 
     Every such pair has an end outside the bucket's largest component. So ``count`` more of the
-    members outside it are held against all members of other components, until none is left. A
-    pair comes up in one of its buckets only, and only if the signatures may be alike.
+    members outside it are held against all members of other components, until none is left; only
+    pairs whose signatures may be alike come out.
     """
-    placed = large.join(labels, F.col("x.set_key") == F.col("node"), "left")
-    placed = placed.select("band", "x", F.coalesce("component", "x.set_key").alias("component"))
-    parts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    mixed = placed.join(largest.where("parts > 1").select("band", F.col("top.component").alias("top")), "band")
     outside = mixed.where("component <> top").withColumn("set_key", F.col("x.set_key")).join(tried, ["band", "set_key"], "left_anti")
     pivots = stored(top_per_group(outside, ["band"], [F.col("set_key")], count), "pivots")
     ends = pivots.select(F.col("band").alias("_band"), F.col("x").alias("y"), F.col("component").alias("_other"))
-    here = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("_band")
-    pairs = mixed.join(ends, F.col("band") == F.col("_band")).where((F.col("component") != F.col("_other")) & _may_be_alike("x", "y", places, percent) & here)
+    pairs = mixed.join(ends, F.col("band") == F.col("_band")).where((F.col("component") != F.col("_other")) & _may_be_alike("x", "y", places, percent))
     return _ends(pairs), pivots.select("band", "set_key")
 
 
@@ -257,9 +285,10 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands:
 
     Documents with equal shingle sets are one node. Bands of the signatures bring nodes together;
     each pair is confirmed on the full sets (``100 * both >= percent * either``) and the confirmed
-    links are grouped. Buckets of up to ``SMALL`` nodes list their pairs. Larger ones link every
-    node with their first, and go on with the pairs that are not yet in one component until none
-    is left, so no link is lost to a large group and its pairs are not all listed.
+    links are grouped. Buckets of up to ``SMALL`` nodes list their pairs. Larger ones, of a few bands,
+    link every node with their first; then all go on with the pairs that are not yet in one
+    component until none is left, so no link is lost to a large group and its pairs are not all
+    listed. A bound from ``tallies`` rules out most pairs that are not alike before texts are fetched.
 
     Defined results: a null or blank text has no shingles, is linked with nothing and is its own
     component; fewer words than ``size`` make one shingle; repeated rows stay, each with the result
@@ -267,28 +296,30 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands:
     What can be missed: two sets just at the threshold share no band with a probability of
     ``(1 - 0.75**5)**40``, 2 in 100,000, and less the more alike they are; in large buckets, a link
     on which alone a component hangs, whose signatures agree ``SLACK`` standard deviations less
-    than expected, 3 in 100,000.
+    than expected, under 1 in a million.
     """
     sketch = sketcher(size, bands, rows)(F.col("text"))
     rows_ = docs.select("doc_id", F.xxhash64("text").alias("text_key"), sketch.alias("s"))
     sets = stored(rows_.select("doc_id", "text_key", "s.*"), "sets")
     full = sets.where("n_shingles > 0")
     firsts = full.groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("min_id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "planes")]
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("min_id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "planes", "tallies")]
     )
     nodes = stored(firsts, "nodes")
-    banded = nodes.select("set_key", "n_shingles", F.explode("bands").alias("band"))
+    banded = nodes.select("set_key", "n_shingles", F.posexplode("bands").alias("slot", "band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     buckets = stored(banded.join(shared, "band"), "buckets")
-    large = buckets.where(F.col("members") > SMALL).join(nodes.select("set_key", "bands", "planes"), "set_key")
-    large = stored(large.select("band", "members", F.struct("set_key", "n_shingles", "bands", "planes").alias("x")), "large")
+    large = buckets.where(F.col("members") > SMALL).join(nodes.select("set_key", "planes", "tallies"), "set_key")
+    large = stored(large.select("slot", "band", "members", F.struct("set_key", "n_shingles", "planes", "tallies").alias("x")), "large")
     places = bands * rows
-    first = _small_pairs(buckets).unionByName(_star_pairs(large, percent, places))
+    # A few bands join most of a large group; what they leave apart is looked at in all bands.
+    first = _small_pairs(buckets).unionByName(_star_pairs(large.where(F.col("slot") < EARLY), percent, places))
     links = _confirmed(_pairs(first, percent), nodes, docs, size, percent)
     labels = components(links)
     tried, count = large.select("band", F.col("x.set_key").alias("set_key")).where("false"), SMALL
     while True:
-        pairs, pivots = _open_pairs(large, labels, tried, count, percent, places)
+        large = _mixed(large, labels)
+        pairs, pivots = _open_pairs(large, tried, count, percent, places)
         if pivots.isEmpty():
             break
         links = links.unionByName(_confirmed(_pairs(pairs, percent), nodes, docs, size, percent))
