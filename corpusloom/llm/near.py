@@ -250,7 +250,7 @@ def _mixed(large: DataFrame, labels: DataFrame) -> DataFrame:
     placed = stored(placed.select("band", "x", F.coalesce("component", "x.set_key").alias("component")), "placed_members")
     parts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
     largest = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    return stored(placed.join(largest.where("parts > 1").select("band", F.col("top.component").alias("top")), "band"), "mixed")
+    return placed.join(largest.where("parts > 1").select("band", F.col("top.component").alias("top")), "band")
 
 
 def _star_pairs(members: DataFrame, percent: int, places: int) -> DataFrame:
