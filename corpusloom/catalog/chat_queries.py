@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import sql
-from corpusloom.catalog.tables import documents, questions, table
+from corpusloom.catalog.tables import arriving, documents, questions, table
 from corpusloom.operators.history import new_turns, next_turns, replay, replay_buckets
 from corpusloom.plans.indexing import index_objects
 from corpusloom.plans.retrieval import ask, fetch_context, find_matches, generate_answers
@@ -120,9 +120,8 @@ def _stored_index(spark, sf_dir, folder):
 def stream_answers(spark, sf_dir):
     """User turns read as a stream and answered from a stored index."""
     folder, past = work_folder(spark, "stream"), table(spark, sf_dir, "conversations")
-    arriving = spark.readStream.schema(past.schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
     index = _stored_index(spark, sf_dir, folder)
-    run_stream(_user_turns(arriving), index, HELD, past, f"{folder}/answers", f"{folder}/checkpoint", _measuring_generator).awaitTermination()
+    run_stream(_user_turns(arriving(spark, sf_dir, "conversations")), index, HELD, past, f"{folder}/answers", f"{folder}/checkpoint", _measuring_generator).awaitTermination()
     return read_answers(spark, f"{folder}/answers")
 
 
@@ -141,8 +140,8 @@ def stream_restarted(spark, sf_dir):
         past.where(wave == number).coalesce(1).write.mode("append").parquet(f"{folder}/asked")
 
     def run():
-        arriving = spark.readStream.schema(past.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/asked")
-        run_stream(_user_turns(arriving), index, HELD, past, f"{folder}/answers", f"{folder}/checkpoint", _measuring_generator).awaitTermination()
+        waves = spark.readStream.schema(past.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/asked")
+        run_stream(_user_turns(waves), index, HELD, past, f"{folder}/answers", f"{folder}/checkpoint", _measuring_generator).awaitTermination()
 
     arrive(0)
     run()

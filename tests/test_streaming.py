@@ -2,6 +2,7 @@ import sys
 
 from pyspark import cloudpickle
 
+from corpusloom.catalog.tables import arriving
 from corpusloom.plans.indexing import index_objects
 from corpusloom.streaming.answers import answer_batch, read_answers, stream_answers
 
@@ -81,3 +82,16 @@ def test_state_is_kept_by_conversation(spark, tmp_path):
     assert turns == sorted(pairs(1, 7, 4) + pairs(5, 0, 301) + pairs(7, 0, 2))
     assert {r.text for r in last if r.turn == 601} == {None} and [r.text for r in kept if (r.conv_id, r.turn) == (1, 7)] == ["topic2"]
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+
+
+def test_tables_of_files_and_of_folders_arrive(spark, tmp_path):
+    """A table that is a folder of files is streamed like one that is a single file."""
+    rows = spark.createDataFrame([(i, 0, "user", f"t{i}") for i in range(6)], "conv_id long, turn long, role string, text string")
+    rows.repartition(3).write.parquet(str(tmp_path / "folder/conversations.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "made"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "made").glob("*.parquet")).rename(tmp_path / "file/conversations.parquet")
+    for kind in ("file", "folder"):
+        stream = arriving(spark, str(tmp_path / kind), "conversations").writeStream.format("memory").queryName(f"arrived_{kind}")
+        stream.trigger(availableNow=True).start().awaitTermination()
+        assert spark.table(f"arrived_{kind}").count() == 6
