@@ -16,7 +16,8 @@ from corpusloom.sinks.index import write_index
 
 PARTS, CODEWORDS = 32, 64
 PROBES, SHORT_LIST = 9, 64  # recall of the neighbours of at least 0.9
-KEYS = dict(asked_keys=["qid"], item_keys=["vec_id"], item_vector="embedding")
+# The vectors lie in a few small files.
+KEYS = dict(asked_keys=["qid"], item_keys=["vec_id"], item_vector="embedding", deal=True)
 
 
 def _asked(spark, sf_dir):
@@ -110,7 +111,7 @@ def knn_pruned(spark, sf_dir):
     path = work_folder(spark, "cells")
     write_index(place_in_cells(items.select("vec_id", "vector"), centres), path, compact=True, by="cell")
     placed = spark.read.parquet(path)
-    found = nearest_pruned(_asked(spark, sf_dir), placed, centres, cell_radii(placed, centres), 11, asked_keys=["qid"], item_keys=["vec_id"])
+    found = nearest_pruned(_asked(spark, sf_dir), placed, centres, cell_radii(placed, centres), 11, asked_keys=["qid"], item_keys=["vec_id"], deal=True)
     return _scored(_others(found, 10))
 
 
@@ -119,7 +120,7 @@ def knn_ivf_all_cells(spark, sf_dir):
     items = _items(spark, sf_dir)
     model = fit_cells(items, 16, vector="embedding")
     placed = assign_cells(items, model, vector="embedding").withColumnRenamed("embedding", "vector")
-    return _scored(nearest_in_cells(_asked(spark, sf_dir), placed, model, 5, 16, asked_keys=["qid"], item_keys=["vec_id"]))
+    return _scored(nearest_in_cells(_asked(spark, sf_dir), placed, model, 5, 16, asked_keys=["qid"], item_keys=["vec_id"], deal=True))
 
 
 QUERIES = {

@@ -24,13 +24,19 @@ from corpusloom.operators.ranking import top_per_group
 
 BROADCAST_BYTES = 64 << 20
 CELL_BYTES = 128 << 20
+# The grid sends an item to each of its columns and a question to each of its rows. There are so many of
+# them at most, unless cells of CELL_BYTES or of CELL_PAIRS ask for more.
+GRID_COPIES = 16
+CELL_PAIRS = 4_000_000_000
 # Rows that the tasks may hand on before the search is seeded with floors from a part of the items.
 UNSEEDED_ROWS = 10_000_000
 SEED_SHARE = 64
+FEW_QUESTIONS = 100  # that are looked at before any item is read
 # Scores are compared at this many decimals, so that copies of a vector tie wherever they are
 # scored; the lowest key wins a tie.
 SCORE_DECIMALS = 12
-PRODUCT_CELLS = 4_000_000
+PRODUCT_CELLS = 1_000_000  # a product that stays in the cache
+STEP_ROWS = 2_048  # items that are held against the questions at once
 EXACT_PAIRS = 8_192
 TIES_PER_PLACE = 16
 
@@ -74,9 +80,13 @@ class Vectors:
         rows = np.flatnonzero((sizes == dim) & (sizes > 0))
         flat = (column if len(rows) == len(column) else column.take(pa.array(rows))).flatten()
         stored = flat.to_numpy(zero_copy_only=False).reshape(len(rows), dim)
-        norms = _row_dots(stored, stored)
+        norms = np.concatenate([np.empty(0)] + [_row_dots(part, part) for part in np.split(stored, range(EXACT_PAIRS, len(stored), EXACT_PAIRS))])
         with np.errstate(divide="ignore", invalid="ignore"):
-            unit = (stored / np.sqrt(norms)[:, None]).astype(np.float32)
+            unit = np.empty(stored.shape, dtype=np.float32)
+            # By parts, as each part is in double precision for a moment.
+            for at in range(0, len(rows), EXACT_PAIRS):
+                part = slice(at, at + EXACT_PAIRS)
+                unit[part] = stored[part] / np.sqrt(norms[part])[:, None]
         all_of = Vectors(stored, norms, unit, rows, place[rows])
         good = np.isfinite(norms) & (norms > 0)
         return all_of if good.all() else all_of.take(np.flatnonzero(good))
@@ -119,18 +129,25 @@ def _best_of_tile(asked: Vectors, items: Vectors, part: np.ndarray, floor: np.nd
     rules out what is too far off by more than its rounding error; what is left is scored exactly."""
     slack = (asked.unit.shape[1] + 8) * 2.0**-23
 
-    def candidates(items: Vectors):
+    def candidates(items: Vectors, known: bool):
         near = asked.unit[part] @ items.unit.T
-        bar = floor - slack
-        if near.shape[1] > k:
+        bar = (floor - slack).astype(np.float32)
+        live = np.flatnonzero(near.max(axis=1) >= bar)
+        if len(live) < len(near):
+            # Most questions have a floor that nothing here reaches.
+            near, bar = near[live], bar[live]
+        if near.shape[1] > k and not (known and np.isfinite(bar).all()):
             kth = near.max(axis=1) if k == 1 else np.partition(near, near.shape[1] - k, axis=1)[:, -k]
-            bar = np.maximum(bar, kth - 2 * slack)
-        return np.nonzero(near >= bar.astype(np.float32)[:, None])
+            bar = np.maximum(bar, kth - np.float32(2 * slack))
+        at = np.flatnonzero(near >= bar[:, None])
+        return live[at // near.shape[1]], at % near.shape[1]
 
-    row, col = candidates(items)
+    row, col = candidates(items, True)
+    if len(row) > TIES_PER_PLACE * k * len(part):
+        row, col = candidates(items, False)
     if len(row) > TIES_PER_PLACE * k * len(part):
         items = _without_spare_copies(items, k)
-        row, col = candidates(items)
+        row, col = candidates(items, False)
     row = part[row]
     value = _scores(asked, items, row, col)
     order = np.lexsort((items.place[col], -value, row))
@@ -170,13 +187,39 @@ def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search
             floors[int(g)][owner[group == g]] = score[group == g]
 
     by_key = [(key, "ascending") for key in spec.item_keys]
-    by_rank = [("_group", "ascending"), ("_asked", "ascending"), ("score", "descending"), *by_key]
-    best: pa.Table | None = None
-
-    for batch in batches:
-        found_columns = pa.Table.from_batches([batch]).select([*spec.item_keys, *spec.carry])
+    # The best pairs so far as question, row of ``held``, score and group; ``held`` has the keys and carried
+    # columns of each item once, however many questions it is among the best of.
+    best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+    held: pa.Table | None = None
+    pending: list[tuple] = []
+
+    def cut():
+        """The best of what was found before and since, and the floors that follow from it."""
+        nonlocal best, held
+        pairs, tables, rows = [best], [] if held is None else [held], 0 if held is None else held.num_rows
+        for found, table in pending:
+            pairs.append((found[0], found[1] + rows, *found[2:]))
+            tables.append(table)
+            rows += table.num_rows
+        pending.clear()
+        who, item, value, state = (np.concatenate(part) for part in zip(*pairs))
+        used, item = np.unique(item, return_inverse=True)
+        held = pa.concat_tables(tables).take(pa.array(used)).combine_chunks()
+        place = np.empty(len(used), dtype=np.int64)
+        place[pc.sort_indices(held, sort_keys=by_key).to_numpy()] = np.arange(len(used))
+        order = np.lexsort((place[item], -value, who, state))
+        position = _position_in_run(state[order], who[order])
+        kept = order[position < spec.k]
+        best = (who[kept], item[kept], value[kept], state[kept])
+        last = order[position == spec.k - 1]
+        for group in np.unique(state[last]):
+            mine = last[state[last] == group]
+            floors[int(group)][who[mine]] = np.maximum(floors[int(group)][who[mine]], value[mine])
+
+    for batch in (b.slice(start, STEP_ROWS) for b in batches for start in range(0, len(b), STEP_ROWS)):
+        columns = pa.Table.from_batches([batch]).select([*spec.item_keys, *spec.carry])
         place = np.empty(len(batch), dtype=np.int64)
-        place[pc.sort_indices(found_columns, sort_keys=by_key).to_numpy()] = np.arange(len(batch))
+        place[pc.sort_indices(columns, sort_keys=by_key).to_numpy()] = np.arange(len(batch))
         items = Vectors.of(batch.column("_vector"), place, asked.stored.shape[1])
         groups = batch.column(spec.group).to_numpy()[items.rows] if spec.group else np.zeros(len(items.rows), dtype=np.int64)
         found = []
@@ -195,25 +238,24 @@ def _search(batches: Iterable[pa.RecordBatch], questions: pa.Table, spec: Search
         if not found:
             continue
         who, which, value, state = (np.concatenate(part) for part in zip(*found))
-        fresh = found_columns.take(pa.array(which))
-        for name, column in (("_group", state), ("_asked", who), ("score", value)):
-            fresh = fresh.append_column(name, pa.array(column))
-        best = (fresh if best is None else pa.concat_tables([best, fresh])).sort_by(by_rank)
-        place = _position_in_run(best["_group"].to_numpy(), best["_asked"].to_numpy())
-        best = best.filter(pa.array(place < spec.k)).combine_chunks()
-        last = place[place < spec.k] == spec.k - 1
-        state, who, value = (best[c].to_numpy()[last] for c in ("_group", "_asked", "score"))
-        for group in np.unique(state):
-            floors[int(group)][who[state == group]] = value[state == group]
-
-    if best is None:
+        used, which = np.unique(which, return_inverse=True)
+        pending.append(((who, which, value, state), columns.take(pa.array(used))))
+        # Sorting costs as much as there is, so it waits until there is half as much again.
+        if 2 * sum(len(pairs[0]) for pairs, _ in pending) >= len(best[0]):
+            cut()
+
+    if pending:
+        cut()
+    if held is None:
         return None
-    owners = questions.select(list(spec.asked_keys)).take(pa.array(asked.rows)).take(best["_asked"])
+    who, item, value, state = best
+    owners = questions.select(list(spec.asked_keys)).take(pa.array(asked.rows)).take(pa.array(who))
     columns = {key: owners[key] for key in spec.asked_keys}
     if spec.per_group:
-        columns[spec.group] = best["_group"]
-    columns |= {name: best[name] for name in (*spec.item_keys, *spec.carry, "score")}
-    return pa.table(columns)
+        columns[spec.group] = pa.array(state)
+    winners = held.take(pa.array(item))
+    columns |= {name: winners[name] for name in (*spec.item_keys, *spec.carry)}
+    return pa.table(columns | {"score": pa.array(value)})
 
 
 def _output_schema(asked: DataFrame, items: DataFrame, spec: Search) -> T.StructType:
@@ -231,14 +273,19 @@ def _vector_bytes(asked: DataFrame, dim: int | None) -> int:
     return 8 * max(dim or 1, 1) + 64
 
 
-def _scan(asked: DataFrame, items: DataFrame, spec: Search, schema: T.StructType) -> DataFrame:
+def _scan(asked: DataFrame, items: DataFrame, spec: Search, schema: T.StructType, deal: bool = False) -> DataFrame:
     """The items searched in place, with all questions sent to every task."""
     table = asked.toArrow()
     if "_probes" in table.column_names:
         # Items stored by cell are then read only where some question looks.
         cells = {cell for probed in table["_probes"].to_pylist() for cell in probed or ()}
         items = items.where(F.col(spec.group).isin(sorted(cells)))
-    shared = asked.sparkSession.sparkContext.broadcast(table)
+    context = asked.sparkSession.sparkContext
+    shared = context.broadcast(table)
+    if deal:
+        items = items.repartition(context.defaultParallelism, *spec.item_keys)
+        if "_probes" in table.column_names:
+            items = items.sortWithinPartitions(spec.group)  # a step then meets the questions of few cells
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _search(batches, shared.value, spec)
@@ -248,6 +295,22 @@ def _scan(asked: DataFrame, items: DataFrame, spec: Search, schema: T.StructType
     return items.mapInArrow(scan, schema)
 
 
+def _grid_shape(item_bytes: int, asked_bytes: int, pairs: int, cell_bytes: int) -> tuple[int, int]:
+    """Rows and columns of the grid. Cells hold ``cell_bytes`` of each side as long as no more than
+    ``GRID_COPIES`` of anything are sent for it, and ``CELL_BYTES`` beyond; so what is sent grows with the
+    input until cells of that size or of ``CELL_PAIRS`` need more."""
+    parts = lambda size, most: max(1, -(-size // most))
+    side = lambda size: max(parts(size, max(cell_bytes, CELL_BYTES)), min(parts(size, cell_bytes), GRID_COPIES))
+    rows, columns = side(item_bytes), side(asked_bytes)
+    wanted = parts(pairs, CELL_PAIRS)
+    if rows * columns < wanted:
+        # Of all grids with that many cells, the one that sends the fewest bytes.
+        rows = max(rows, round((wanted * item_bytes / asked_bytes) ** 0.5))
+        columns = max(columns, parts(wanted, rows))
+        rows = max(rows, parts(wanted, columns))
+    return rows, columns
+
+
 def _grid(asked: DataFrame, items: DataFrame, spec: Search, schema: T.StructType, rows: int, columns: int) -> DataFrame:
     """Every item in one row of a grid, every question in one column, both spread by their keys."""
     item_side = items.withColumn("_row", F.pmod(F.xxhash64(*spec.item_keys), F.lit(rows))).withColumn(
@@ -294,6 +357,7 @@ def nearest_candidates(
     broadcast_bytes: int = BROADCAST_BYTES,
     cell_bytes: int = CELL_BYTES,
     unseeded_rows: int = UNSEEDED_ROWS,
+    deal: bool = False,
 ) -> DataFrame:
     """A superset of the k best items per question, exact once ranked: k rows per question and task.
 
@@ -305,7 +369,8 @@ def nearest_candidates(
     The questions are counted first. Up to ``broadcast_bytes`` they travel to the items, which are
     scanned in place without a shuffle. Beyond it the two sides are laid out as a grid: every item
     goes to one row of the grid, every question to one column, and each grid cell is one task of
-    bounded size on both sides.
+    bounded size on both sides. ``deal`` spreads items that lie in a few files evenly over the cores
+    before a scan; a grid spreads them anyhow.
 
     Many questions times many tasks are many rows to hand on. Past ``unseeded_rows`` a part of the
     items, told by a hash of their keys, is searched first. The k-th best score found there is one
@@ -316,14 +381,16 @@ def nearest_candidates(
     items = items.select(*item_keys, *carry, F.col(item_vector).alias("_vector"), *([group] if group else []))
     schema = _output_schema(asked, items, spec)
     questions = asked.count()
+    if questions <= FEW_QUESTIONS and not len(Vectors.of(asked.select("_vector").toArrow()["_vector"], np.arange(questions)).rows):
+        return asked.sparkSession.createDataFrame([], schema)  # nothing has a direction to search in
     row_bytes = _vector_bytes(asked, dim)
 
     if questions * row_bytes <= broadcast_bytes:
         tasks = asked.sparkSession.sparkContext.defaultParallelism
-        search = partial(_scan, spec=spec, schema=schema)
+        search = partial(_scan, spec=spec, schema=schema, deal=deal)
     else:
-        columns = -(-questions * row_bytes // cell_bytes)
-        tasks = max(1, -(-items.count() * row_bytes // cell_bytes))
+        n_items = max(1, items.count())
+        tasks, columns = _grid_shape(n_items * row_bytes, questions * row_bytes, n_items * questions, cell_bytes)
         search = partial(_grid, spec=spec, schema=schema, rows=tasks, columns=columns)
     if questions * k * tasks > unseeded_rows:
         part = items.where(F.pmod(F.xxhash64(*item_keys), F.lit(SEED_SHARE)) == 0)

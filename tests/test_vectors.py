@@ -293,3 +293,37 @@ def test_pruned_search_is_exact(spark, k):
     keys = dict(asked_keys=["qid"], item_keys=["id"])
     rows = lambda df: sorted(tuple(r) for r in df.select("qid", "match_rank", "id").collect())
     assert rows(nearest_pruned(asked, placed, centres, cell_radii(placed, centres), k, **keys)) == rows(nearest(asked, things, k, dim=12, **keys))
+
+
+def test_the_grid_sends_no_more_copies_as_it_grows():
+    """Cells of 64 KB ask for 902 rows and columns at 1 GB; cells stay bounded in bytes and in pairs."""
+    for n in (10_256, 102_560, 615_360):
+        rows, columns = N._grid_shape(n * 576, n * 576, n * n, 64 << 10)
+        assert max(rows, columns) <= N.GRID_COPIES and n * n / (rows * columns) <= N.CELL_PAIRS
+    rows, columns = N._grid_shape(40 << 30, 1 << 30, 10**13, N.CELL_BYTES)
+    assert rows >= 320 and columns >= 8 and rows * columns >= 10**13 / N.CELL_PAIRS
+    assert N._grid_shape(100, 100, 10, 1) == (16, 16)
+
+
+@pytest.mark.parametrize("step, cells", [(3, 50), (1, 7), (64, 100_000)])
+def test_steps_and_tiles_give_the_same_result(monkeypatch, step, cells):
+    """Many copies and a floor that rises step by step, by group and over all, against brute force."""
+    monkeypatch.setattr(N, "STEP_ROWS", step)
+    monkeypatch.setattr(N, "PRODUCT_CELLS", cells)
+    items = random_items(150, 4, 3, whole=True)
+    batch = N.pa.RecordBatch.from_pydict({"id": [i for i, _, _ in items], "shard": [s for *_, s in items], "_vector": N.pa.array([v for _, v, _ in items], N.pa.list_(N.pa.float32()))})
+    questions = N.pa.table({"qid": list(range(40)), "_vector": N.pa.array([v for _, v, _ in items[:40]], N.pa.list_(N.pa.float32()))})
+    for k, by in ((1, True), (3, True), (5, False)):
+        spec = N.Search(k, ("qid",), ("id",), (), "shard" if by else None, by)
+        found = {}
+        for r in N._search([batch.slice(0, 70), batch.slice(70)], questions, spec).to_pylist():
+            found.setdefault((r["qid"], r["shard"] if by else None), []).append((r["id"], round(r["score"], 9)))
+        found = {key: sorted(rows, key=lambda r: (-r[1], r[0])) for key, rows in found.items()}
+        assert found == brute_force([(i, v) for i, v, _ in items[:40]], items, k, by)
+
+
+def test_questions_without_direction_read_no_item(spark):
+    questions = spark.createDataFrame([(0, [0.0, 0.0]), (1, None)], "qid long, vector array<float>")
+    things = spark.createDataFrame(random_items(10, 2, 1), SCHEMA)
+    found = N.nearest_candidates(questions, things, 1, asked_keys=["qid"], item_keys=["id"])
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 0
