@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom.functions.text import split_words
 from corpusloom.operators.ranking import top_per_group
@@ -11,6 +16,7 @@ from corpusloom.operators.search import DEFAULT_SEARCH_LIMIT
 
 BLOCK_DOCS = 512
 BUCKETS = 16
+SLICE_BLOCKS = 256
 SEED_BLOCKS = 8
 MOST_TERMS = 1000  # that are named to the scan
 
@@ -21,8 +27,8 @@ def build_postings(docs: DataFrame, doc_key: str = "doc_id", text: str = "text",
     Documents are dealt into blocks of about ``block_docs`` by a hash of their key, the same blocks
     for every term. A row has the ``postings`` (key and number of occurrences) of one term in one
     block in order of key, how many there are and the ``most`` occurrences in one of them. The
-    texts are shuffled once, to their block; counting within a document and gathering within a
-    block both happen there. So a row is bounded by its block, however frequent the term.
+    texts are shuffled once, to their block, and counted there a block at a time. So a row is bounded
+    by its block, however frequent the term.
 
     Defined results: null texts have no terms; rows of one key count as one document; rows without
     key take no part.
@@ -30,23 +36,56 @@ def build_postings(docs: DataFrame, doc_key: str = "doc_id", text: str = "text",
     keyed = docs.where(F.col(doc_key).isNotNull()).select(doc_key, F.col(text).alias("_text"))
     blocks = max(1, -(-keyed.count() // block_docs))
     block = F.pmod(F.xxhash64(doc_key), F.lit(blocks)).alias("block")
-    dealt = keyed.select(doc_key, block, "_text").repartition("block")
-    words = dealt.select("block", doc_key, F.explode(split_words(F.lower("_text"))).alias("term"))
-    counted = words.groupBy("block", doc_key, "term").agg(F.count("*").alias("n"))
-    entry = F.struct(F.col(doc_key), "n")
-    rows = counted.groupBy("block", "term").agg(
-        F.sort_array(F.collect_list(entry)).alias("postings"), F.count("*").alias("n_docs"), F.max("n").alias("most")
-    )
+    # Sorted as plain texts, and split into words only then.
+    dealt = keyed.select(doc_key, block, "_text").repartition("block").sortWithinPartitions("block")
+    words = dealt.select("block", doc_key, split_words(F.lower("_text")).alias("_words"))
+    entry = T.StructType([keyed.schema[doc_key], T.StructField("n", T.LongType())])
+    schema = T.StructType([
+        T.StructField("block", T.LongType()),
+        T.StructField("term", T.StringType()),
+        T.StructField("postings", T.ArrayType(entry)),
+        T.StructField("n_docs", T.LongType()),
+        T.StructField("most", T.LongType()),
+    ])
+    nothing = to_arrow_schema(schema).empty_table()
+
+    def count(table: pa.Table) -> pa.Table:
+        lists = table["_words"].combine_chunks()
+        words = lists.flatten().dictionary_encode()
+        if not len(words):
+            return nothing
+        keys = table[doc_key].combine_chunks().dictionary_encode()
+        order = pc.sort_indices(keys.dictionary).to_numpy()
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        document = place[keys.indices.to_numpy()][pc.list_parent_indices(lists).to_numpy()]
+        pairs, n = np.unique(words.indices.to_numpy().astype(np.int64) * len(order) + document, return_counts=True)
+        term, document = np.divmod(pairs, len(order))
+        starts = np.flatnonzero(np.diff(term, prepend=-1))
+        entries = [keys.dictionary.take(pa.array(order[document])), pa.array(n)]
+        offsets = pa.array(np.append(starts, len(term)).astype(np.int32))
+        columns = [
+            pa.array(np.full(len(starts), table["block"][0].as_py())),
+            words.dictionary.take(pa.array(term[starts])),
+            pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(entries, names=[doc_key, "n"])),
+            pa.array(np.diff(offsets.to_numpy()).astype(np.int64)),
+            pa.array(np.maximum.reduceat(n, starts)),
+        ]
+        return pa.table(columns, names=schema.names).cast(nothing.schema)
+
+    rows = words.groupBy("block").applyInArrow(count, schema)
     return rows.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
 
 
 def write_postings(postings: DataFrame, path: str) -> None:
     """Postings as parquet, a folder per bucket of terms and the rows of a file in order of term.
 
-    The rows are placed by range, so the postings of a frequent term are spread over files, and
-    a term's files and row groups are found by their bounds.
+    A file holds the terms of a bucket for a slice of the blocks, so the postings of a frequent term are
+    spread over files, and its row groups are found by their bounds. Placed by value, not by range, as a
+    range would have every text counted once more for its bounds.
     """
-    placed = postings.repartitionByRange("bucket", "term", "block").sortWithinPartitions("bucket", "term", "block")
+    slices = F.floor(F.col("block") / SLICE_BLOCKS)
+    placed = postings.repartition("bucket", slices).sortWithinPartitions("bucket", "term", "block")
     placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 

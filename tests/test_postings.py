@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.postings import build_postings, document_frequencies, read_postings, search_postings, write_postings
+from corpusloom.operators import search
 from corpusloom.operators.search import keyword_search
 
 
@@ -53,9 +54,34 @@ def test_only_wanted_postings_are_read(spark, corpus, tmp_path):
     assert all("PartitionFilters: []" not in line and "PushedFilters: []" not in line for line in scans)
 
 
+def test_a_block_is_counted_in_its_task(spark, corpus):
+    """Only texts move to build the index; words are neither sorted nor shuffled, nor read twice to be placed."""
+    docs, _, path = corpus
+    built = build_postings(docs, block_docs=20, buckets=4)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    given = docs._jdf.queryExecution().executedPlan().toString()
+    assert "explode(" not in plan and plan.count("Exchange") == given.count("Exchange") + 1
+    keys = docs.where("doc_id is not null").select(F.concat(F.lit("é"), F.col("doc_id").cast("string")).alias("name"), F.col("text"))
+    named = build_postings(keys, doc_key="name", block_docs=20, buckets=4).select("term", F.explode("postings").alias("p"))
+    named = {(r.term, r.p["name"]): r.p["n"] for r in named.collect()}
+    rows = read_postings(spark, path).select("term", F.explode("postings").alias("p")).collect()
+    assert named == {(r.term, f"é{r.p['doc_id']}"): r.p["n"] for r in rows}
+
+
 def test_nothing_to_find(spark, corpus, tmp_path):
     docs, topics, path = corpus
     assert search_postings(read_postings(spark, path), topics.where("false"), buckets=4).count() == 0
     write_postings(build_postings(docs.where("false"), block_docs=20, buckets=4), str(tmp_path / "none"))
     none = spark.read.schema(read_postings(spark, path).schema).parquet(str(tmp_path / "none"))
     assert search_postings(none, topics, buckets=4).count() == 0
+
+
+def test_few_topics_move_no_texts_or_maps_by_term(spark, corpus, monkeypatch):
+    """Neither words nor a document's counts are shuffled by term; many topics give the same rows."""
+    docs, topics, _ = corpus
+    found = keyword_search(docs, topics, limit=30)
+    expected = sorted(tuple(r) for r in found.collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert expected and "SortMergeJoin" not in plan
+    monkeypatch.setattr(search, "BROADCAST_TERMS", 5)
+    assert sorted(tuple(r) for r in keyword_search(docs, topics, limit=30).collect()) == expected
