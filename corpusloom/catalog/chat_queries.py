@@ -40,7 +40,8 @@ def asked_once(spark, sf_dir):
     """Two questions asked one by one: the first user turn, and one that nothing can match."""
     index = index_objects(documents(spark, sf_dir), ["doc_id"])
     first = questions(spark, sf_dir).orderBy(*ASKED).first()["query"]
-    rows = [(question, *(ask(index, HELD, question)[c] for c in ("rag_text", "certainty", "distance"))) for question in (first, " ")]
+    answers = [(question, ask(index, HELD, question)) for question in (first, " ")]
+    rows = [(question, *(answer[c] for c in ("rag_text", "certainty", "distance"))) for question, answer in answers]
     found = spark.createDataFrame(rows, "question string, rag_text array<string>, certainty double, distance double")
     return found.select("question", F.array_join("rag_text", "\n\n").alias("context"), F.round("certainty", 6).alias("certainty"), F.round("distance", 6).alias("distance"))
 

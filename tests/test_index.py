@@ -195,3 +195,14 @@ def test_spread_leaves_wide_scans_alone(spark):
     assert spread(wide, "id") is wide
     assert spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert build_session().conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_each_question_is_asked_once(spark, monkeypatch, tmp_path):
+    """One search a question, however many of the answer's columns are wanted."""
+    from corpusloom.catalog import chat_queries
+
+    asked = []
+    ask = lambda index, keys, question: asked.append(question) or {"rag_text": None, "certainty": None, "distance": None}
+    monkeypatch.setattr(chat_queries, "ask", ask)
+    assert chat_queries.asked_once(spark, "/root/testdata/sf0.001").count() == 2
+    assert len(asked) == 2 and asked[1] == " "
