@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,8 @@ from corpusloom.operators.ranking import top_per_group
 MOST_CODEWORDS = 256  # a code is one byte
 SAMPLE_PER_CODEWORD = 64
 APPROXIMATE_DECIMALS = 9
-PRODUCT_CELLS = 4_000_000
+PRODUCT_CELLS = 1_000_000  # a product that stays in the cache
+STEP_ROWS = 2_048  # codes that are held against the questions at once
 
 
 @dataclass(frozen=True)
@@ -127,39 +129,80 @@ def _short_list(batches: Iterable[pa.RecordBatch], asked: pa.Table, quantiser: Q
     probed = np.zeros((len(unit), len(quantiser.centres)), bool)
     np.put_along_axis(probed, near, True, axis=1)
     by_key = [(k, "ascending") for k in item_keys]
-    best: pa.Table | None = None
-    for batch in batches:
+    words = quantiser.codewords.astype(np.float32)
+    parts, dim = np.arange(len(words)), quantiser.dim
+    single, floor = unit.astype(np.float32), np.full(len(unit), -np.inf)
+    # The best pairs so far as question, row of ``held`` and product; ``held`` has each of their items once.
+    best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    held: pa.Table | None = None
+    pending: list[tuple] = []
+
+    def cut():
+        """The best of what was found before and since, and the floors that follow from it."""
+        nonlocal best, held
+        pairs, tables_, rows_ = [best], [] if held is None else [held], 0 if held is None else held.num_rows
+        for found, table in pending:
+            pairs.append((found[0], found[1] + rows_, found[2]))
+            tables_.append(table)
+            rows_ += table.num_rows
+        pending.clear()
+        who, item, value = (np.concatenate(x) for x in zip(*pairs))
+        used, item = np.unique(item, return_inverse=True)
+        held = pa.concat_tables(tables_).take(pa.array(used)).combine_chunks()
+        place = np.empty(len(used), np.int64)
+        place[pc.sort_indices(held, sort_keys=by_key).to_numpy()] = np.arange(len(used))
+        order = np.lexsort((place[item], -value, who))
+        owner = who[order]
+        position = np.arange(len(owner)) - np.searchsorted(owner, owner, "left")
+        kept, last = order[position < size], order[position == size - 1]
+        best = (who[kept], item[kept], value[kept])
+        floor[who[last]] = value[last]
+
+    for batch in (b.slice(start, STEP_ROWS) for b in batches for start in range(0, len(b), STEP_ROWS)):
         batch = pa.Table.from_batches([batch])
         batch = batch.filter(batch["codes"].is_valid()).sort_by(by_key)
         if not batch.num_rows or not len(unit):
             continue
         codes = np.frombuffer(b"".join(batch["codes"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
         cells = batch["cell"].to_numpy()
+        # The sum of table entries is the product with the codewords in a row. In single precision it rules
+        # out what is too far off by more than its rounding error; the tables give what is left.
+        coded = words[parts, codes].reshape(len(codes), dim)
+        slack = (dim + 8) * 2.0**-23 * max(1.0, float(np.sqrt((coded**2).sum(axis=1).max()))) + 10.0**-APPROXIMATE_DECIMALS
         found = []
         step = max(1, PRODUCT_CELLS // batch.num_rows)
         for a in range(0, len(unit), step):
-            score = np.zeros((len(unit[a : a + step]), batch.num_rows))
-            for p in range(codes.shape[1]):
-                score += tables[p, a : a + step][:, codes[:, p]]
-            score = np.round(score, APPROXIMATE_DECIMALS)
-            score[~probed[a : a + step][:, cells]] = -np.inf
-            top = np.argsort(-score, axis=1, kind="stable")[:, :size]
-            who = np.repeat(np.arange(len(score)), top.shape[1])
-            which, value = top.ravel(), np.take_along_axis(score, top, axis=1).ravel()
-            kept = np.isfinite(value)
-            found.append((who[kept] + a, which[kept], value[kept]))
+            near = single[a : a + step] @ coded.T
+            bar = (floor[a : a + step] - slack).astype(np.float32)
+            live = np.flatnonzero(near.max(axis=1) >= bar)
+            if len(live) < len(near):
+                near, bar = near[live], bar[live]
+            unknown = np.flatnonzero(~np.isfinite(bar))
+            if len(unknown) and near.shape[1] > size:
+                met = np.where(probed[a + live[unknown]][:, cells], near[unknown], np.float32(-np.inf))
+                bar[unknown] = np.partition(met, met.shape[1] - size, axis=1)[:, -size] - np.float32(2 * slack)
+            at = np.flatnonzero(near >= bar[:, None])
+            who, which = a + live[at // near.shape[1]], at % near.shape[1]
+            mine = probed[who, cells[which]]
+            who, which = who[mine], which[mine]
+            value = np.zeros(len(who))
+            for p in parts:
+                value += tables[p, who, codes[which, p]]
+            found.append((who, which, np.round(value, APPROXIMATE_DECIMALS)))
         who, which, value = (np.concatenate(x) for x in zip(*found))
-        fresh = batch.select([*item_keys, "cell"]).take(pa.array(which))
-        fresh = fresh.append_column("_asked", pa.array(who)).append_column("approximate", pa.array(value))
-        best = fresh if best is None else pa.concat_tables([best, fresh])
-        best = best.sort_by([("_asked", "ascending"), ("approximate", "descending"), *by_key]).combine_chunks()
-        owner = best["_asked"].to_numpy()
-        first = np.searchsorted(owner, owner, "left")
-        best = best.filter(pa.array(np.arange(len(owner)) - first < size)).combine_chunks()
-    if best is None:
+        used, which = np.unique(which, return_inverse=True)
+        pending.append(((who, which, value), batch.select([*item_keys, "cell"]).take(pa.array(used))))
+        # Sorting costs as much as there is, so it waits until there is half as much again.
+        if 2 * sum(len(pairs[0]) for pairs, _ in pending) >= len(best[0]):
+            cut()
+    if pending:
+        cut()
+    if held is None:
         return None
-    owners = asked.select(asked_keys).take(pa.array(rows)).take(best["_asked"])
-    return pa.table({**{k: owners[k] for k in asked_keys}, **{c: best[c] for c in [*item_keys, "cell", "approximate"]}})
+    who, item, value = best
+    owners = asked.select(asked_keys).take(pa.array(rows)).take(pa.array(who))
+    winners = held.take(pa.array(item))
+    return pa.table({**{k: owners[k] for k in asked_keys}, **{c: winners[c] for c in [*item_keys, "cell"]}, "approximate": pa.array(value)})
 
 
 def nearest_coded(

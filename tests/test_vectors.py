@@ -10,6 +10,7 @@ from corpusloom.catalog import vector_queries
 from corpusloom.functions.text import WHITESPACE
 from corpusloom.functions.vectors import cosine, hashed_counts, is_usable, model_embedder, unit_length
 from corpusloom.operators import nearest as N
+from corpusloom.operators import quantised as Q
 from corpusloom.operators.cells import assign_cells, cells_to_probe, fit_cells, nearest_in_cells
 from corpusloom.operators.nearest import nearest
 from corpusloom.operators.pruned import cell_radii, nearest_pruned, place_in_cells
@@ -327,3 +328,25 @@ def test_questions_without_direction_read_no_item(spark):
     things = spark.createDataFrame(random_items(10, 2, 1), SCHEMA)
     found = N.nearest_candidates(questions, things, 1, asked_keys=["qid"], item_keys=["id"])
     assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 0
+
+
+@pytest.mark.parametrize("step, cells, size", [(5, 40, 4), (64, 10_000, 7), (2_048, 9, 3)])
+def test_short_list_equals_the_sum_of_table_entries(monkeypatch, step, cells, size):
+    """Steps, tiles and floors against all sums, with many equal codes and cells left out."""
+    monkeypatch.setattr(Q, "STEP_ROWS", step)
+    monkeypatch.setattr(Q, "PRODUCT_CELLS", cells)
+    rng = np.random.default_rng(2)
+    unit = rng.normal(size=(90, 8))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    quantiser = Quantiser(unit[:3], np.ascontiguousarray(unit[:5].reshape(5, 4, 2).transpose(1, 0, 2)))
+    codes, cell = quantiser.codes(unit), quantiser.cells(unit)
+    columns = {"id": list(range(90)), "cell": N.pa.array(cell, N.pa.int32()), "codes": [None if i == 8 else c.tobytes() for i, c in enumerate(codes)]}
+    batch = N.pa.RecordBatch.from_pydict(columns)
+    asked = N.pa.table({"qid": list(range(30)), "_vector": N.pa.array([list(u) for u in unit[:30]])})
+    found = Q._short_list([batch.slice(0, 50), batch.slice(50)], asked, quantiser, (["qid"], ["id"]), 2, size).to_pylist()
+    tables = quantiser.tables(Q._units(asked["_vector"].combine_chunks(), 8)[0])
+    for q in range(30):
+        probed = np.argsort(-(quantiser.centres @ unit[q]), kind="stable")[:2]
+        sums = [(-round(float(sum(tables[p, q, codes[i, p]] for p in range(4))), 9), i) for i in range(90) if i != 8 and cell[i] in probed]
+        got = sorted((-r["approximate"], r["id"]) for r in found if r["qid"] == q)
+        assert [i for _, i in got] == [i for _, i in sorted(sums)[:size]]
