@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.batches import byte_slices
 from corpusloom.functions.text import error_text, split_words
 
 # --- fixed values -------------------------------------------------------------------------------
@@ -17,6 +19,8 @@ CHUNK_OVERLAP = 20
 DEFAULT_TOKEN_LIMIT = 8192
 # ------------------------------------------------------------------------------------------------
 
+DECODED_WINDOWS = 256  # whose texts are handed on at once
+
 
 def window_shape(size: int, overlap: int, limit: int = DEFAULT_TOKEN_LIMIT) -> tuple[int, int]:
     """Size after the tokenizer's limit, and step. The windows must move forward."""
@@ -152,19 +156,29 @@ def tokenizer_hooks(make_tokenizer: Callable[[], object]):
                 errors.append(error_text(e))
         return found, errors
 
-    @F.pandas_udf("ids array<int>, error string")
-    def encode_checked(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tokenizer = make_tokenizer()
-        for series in texts:
-            ids, errors = attempts(lambda t: list(tokenizer.encode(t)), series, [])
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "error": pd.Series(errors, dtype=object)})
+    nothing = pa.array([], pa.int32())
 
-    @F.pandas_udf("text string, error string")
-    def decode_checked(windows: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("ids array<int>, error string")
+    def encode_checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenizer = make_tokenizer()
+        encode = lambda text: pa.array(list(tokenizer.encode(text)), pa.int32())
+        # Ids are handed on for a MiB of texts at a time, four bytes each and not as Python's numbers.
+        for part in (part for texts in batches for part in byte_slices(texts)):
+            ids, errors = attempts(encode, part.to_pylist(), nothing)
+            starts = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+            lists = pa.ListArray.from_arrays(starts, pa.concat_arrays([nothing, *ids]))
+            yield pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], names=["ids", "error"])
+
+    @F.arrow_udf("text string, error string")
+    def decode_checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = make_tokenizer()
-        for series in windows:
-            texts, errors = attempts(lambda ids: tokenizer.decode([int(i) for i in ids]), series, None)
-            yield pd.DataFrame({"text": pd.Series(texts, dtype=object), "error": pd.Series(errors, dtype=object)})
+        for windows in batches:
+            ids, ends, known = windows.values.to_numpy(zero_copy_only=False), windows.offsets.to_numpy(), windows.is_valid().to_numpy(zero_copy_only=False)
+            for start in range(0, len(windows), DECODED_WINDOWS):
+                rows = range(start, min(start + DECODED_WINDOWS, len(windows)))
+                part = (ids[ends[i] : ends[i + 1]].tolist() if known[i] else None for i in rows)
+                texts, errors = attempts(tokenizer.decode, part, None)
+                yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=["text", "error"])
 
     encode = lambda text: encode_checked(text)["ids"]
     decode = lambda window: decode_checked(window)["text"]
