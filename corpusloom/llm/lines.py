@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from corpusloom.llm.store import literal_array, packed, same, stored
 
 PERCENT = 90
-BUCKETS = 1 << 16  # word counts by hash, for the order of rarity
-NEAR = 16  # earlier sets with the same word that a set meets in the first round
-SHARE = 1000  # a word is dealt out in parts of about one in so many of all words
+MOST_WORDS = (1 << 31) - 1
+BITMAP_WORDS = 32
+MOST_RANK = (1 << 15) - 1
+WORD_BITS = 59
+LAST = (1 << 63) - 3  # stands after all words and marks
+NEAR = 16  # earlier sets with the same token that a set meets in the first round
+SHARE = 1000  # a token is dealt out in parts of about one in so many of all tokens
 BROADCAST_ROWS = 500_000  # keys of 24 bytes each
 
 
@@ -38,60 +42,93 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
-def rarity(docs: DataFrame) -> tuple[Column, Column]:
-    """Place of each of the word buckets when ordered by the words they hold, and for each place the
-    number of parts that its words are dealt out in, one more for each ``SHARE``-th of all words; both
-    as literal arrays.
-
-    Every word of every document is counted. Any fixed order gives the same matches; an order by
-    rarity only keeps the words that lines are joined on rare.
+def size_classes(percent: int) -> list[tuple[int, int]]:
+    """Ranges of set sizes, by their first size, each with the most words by which a set of the range can
+    differ from one as large or larger that is similar enough, both sides together. A set's partners lie
+    in its own range and the next ones, as a range reaches at least to the size of its first set's largest partner."""
+    most = lambda n: (n + 100 * n // percent) * (100 - percent) // (100 + percent)
+    out, start = [], 1
+    while start < MOST_WORDS:
+        allowed, low, high = most(start) + most(start) // 4, start, MOST_WORDS
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if most(middle) <= allowed else (low, middle - 1)
+        end = max(low, 100 * start // percent)
+        out.append((start, most(end)))
+        start = end + 1
+    return out
+
+
+def with_prefix(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows with ``prefix``: numbers of the parts by which a ``set`` of word numbers meets others, two lists.
+
+    A size range in which sets differ by up to ``d`` words cuts the range of word numbers into ``d + 2``
+    parts. Two similar sets differ in ``d`` parts at most, so they share one of the first ``d + 1``
+    in any fixed order of the parts; here those with most words come first, as they are the rarest.
+    A set that can have a partner in the range below is also cut as that range is, the second list. Ranges without
+    differences need no prefix: similar sets are equal there, and equal sets are one.
+
+    Word numbers end in 5 and the marks between parts in 0, so the sorted list of both, as text, splits at
+    the marks, in time linear in the words for any number of parts; ``LAST`` keeps an empty last part.
     """
-    # Lines do not matter here, so the whole text is one run of words.
-    words = docs.select(F.explode(F.split(F.replace(spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-    counts = dict(words.groupBy(bucket.alias("b")).count().collect())
-    total = max(1, sum(counts.values()))
-    order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
-    places = [0] * BUCKETS
-    for place, b in enumerate(order):
-        places[b] = place
-    return literal_array(places, "int"), literal_array([1 + counts.get(b, 0) * SHARE // total for b in order], "int")
-
-
-def line_sets(docs: DataFrame, places: Column, percent: int) -> DataFrame:
+    classes = size_classes(percent)
+    differing = literal_array([d for _, d in classes], "int")
+    starts = literal_array([start for start, _ in classes], "int")
+    rows = rows.withColumn("own", sum(((F.size("set") >= start).cast("int") for start, _ in classes[1:]), F.lit(0)))
+    below = (F.col("own") > 0) & (100 * (F.get(starts, "own").cast("bigint") - 1) >= percent * F.size("set"))
+    rows = rows.withColumn("below", F.when(below, F.col("own") - 1))
+
+    def parts(d: Column) -> Column:
+        mark = lambda k: F.coalesce(10 * k.cast("bigint") * F.floor(F.lit(1 << WORD_BITS) / (d + 2)), F.lit(0).cast("bigint"))
+        mixed = F.sort_array(F.concat("set", F.transform(F.sequence(F.lit(1), d + 1), mark), F.array(F.lit(LAST))))
+        return F.when(d > 0, F.split(mixed.cast("string"), "0, "))
+
+    schemes = [(name, f"{name}_parts") for name in ("own", "below")]
+    rows = rows.select("*", *[parts(F.get(differing, scheme)).alias(name) for scheme, name in schemes])
+
+    def numbers(scheme: str, name: str) -> Column:
+        # The fewer words, the larger; then 48 bits of what is in the part.
+        rank = lambda part: F.shiftleft(F.lit(MOST_RANK).cast("bigint") - F.least(F.octet_length(part), F.lit(MOST_RANK)), 48)
+        number = lambda part, k: rank(part).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.col(scheme), k, part), 16))
+        first = F.slice(F.sort_array(F.transform(name, number)), F.lit(1), F.size(name) - 1)
+        return F.when(F.col(name).isNotNull(), first).otherwise(F.array().cast("array<bigint>"))
+
+    return rows.withColumn("prefix", F.array(*[numbers(*x) for x in schemes]))
+
+
+def line_sets(docs: DataFrame, percent: int) -> DataFrame:
     """One row per distinct word set of a line: its digest, size, first line and prefix.
 
-    A word is a 63-bit number: the place of its bucket, then the rest of its hash. So the sorted
-    numbers are the words by rarity. ``prefix`` holds as many of the rarest as a set must share
-    one of with any set similar enough; ``bits`` sets one of 64 bits for each word.
+    A word is the number made of ``WORD_BITS`` bits of its hash and a 5 as last digit. ``bits`` sets one of 64 bits for each word of a set
+    of up to ``BITMAP_WORDS``, and none for larger ones, which would fill them. For ``prefix`` see ``with_prefix``.
     """
-    rows = _keyed(docs).select("doc_id", "_key", F.posexplode(lines_of(spaced(F.col("text")))).alias("line_no", "line"))
-    hashes = F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
-    number = lambda h: F.shiftleft(F.get(places, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("bigint"), 47).bitwiseOR(F.shiftrightunsigned(h, 17))
-    rows = rows.select("doc_id", "_key", "line_no", F.sort_array(F.transform(hashes, number)).alias("set"))
-    n = F.size("set")
-    one = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))
-    rows = rows.where(n > 0).select(
+    rows = _keyed(docs).select("doc_id", "_key", F.posexplode(lines_of(spaced(F.col("text")))).alias("line_no", "line")).where(~is_blank(F.col("line")))
+    number = lambda w: 10 * F.shiftrightunsigned(F.xxhash64(w), 64 - WORD_BITS) + 5
+    rows = rows.select("doc_id", "_key", "line_no", F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), number))).alias("set"))
+    rows = with_prefix(rows, percent)
+    one = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(k, 8).bitwiseAND(F.lit(63)).cast("int"))
+    bits = F.aggregate("set", F.lit(0).cast("bigint"), lambda a, k: a.bitwiseOR(one(k)))
+    rows = rows.select(
         F.struct("doc_id", "_key", "line_no").alias("first"),
         F.xxhash64("set").alias("h"),
         F.xxhash64(F.lit(1), "set").alias("h2"),
-        n.alias("n"),
-        F.aggregate("set", F.lit(0).cast("bigint"), lambda a, k: a.bitwiseOR(one(k))).alias("bits"),
-        F.slice("set", F.lit(1), n - F.expr(f"({percent} * size(set) + 99) div 100").cast("int") + 1).alias("prefix"),
+        F.size("set").alias("n"),
+        F.when(F.size("set") <= BITMAP_WORDS, bits).otherwise(F.lit(0).cast("bigint")).alias("bits"),
+        "prefix",
     )
     # The other columns follow from the digest.
     return rows.groupBy("h", "h2").agg(F.min("first").alias("first"), *[F.first(c).alias(c) for c in ("n", "bits", "prefix")])
 
 
 def _fits(percent: int) -> Column:
-    """What two sets ``x`` and ``y`` that share a prefix word can still reach: by their sizes, by the
-    places of the shared word, and by the bits that only one of them has."""
+    """What two sets ``x`` and ``y`` that share a part can still be: by their sizes, by the parts that come
+    before the first shared one, and by the bits that only one of them has."""
     nx, ny = F.col("x.n"), F.col("y.n")
-    least = F.expr(f"({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}")
-    by_place = 1 + F.least(nx - F.col("x.place"), ny - F.col("y.place")) - 1
+    least = F.expr(f"cast(({percent}L * (x.n + y.n) + {99 + percent}) div {100 + percent} as int)")
+    by_place = nx + ny - F.greatest("x.place", "y.place") >= 2 * least
     only = lambda a, b: F.bit_count(F.col(f"{a}.bits").bitwiseAND(F.bitwise_not(F.col(f"{b}.bits"))))
-    by_bits = F.least(nx - only("x", "y"), ny - only("y", "x"))
-    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & (by_place >= least) & (by_bits >= least)
+    by_bits = F.when((nx > BITMAP_WORDS) | (ny > BITMAP_WORDS), True).otherwise(F.least(nx - only("x", "y"), ny - only("y", "x")) >= least)
+    return (100 * F.least(nx, ny).cast("bigint") >= percent * F.greatest(nx, ny)) & by_place & by_bits
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -113,29 +150,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int)
     return alike.select(F.when(F.col("x.first") < F.col("y.first"), F.col("y.h")).otherwise(F.col("x.h")).alias("h")).distinct()
 
 
-def _first_round(sets: DataFrame, parts: Column, percent: int) -> DataFrame:
-    """Sets that share a prefix word and fit, ``a`` the earlier and ``h`` the later one: every set with
-    the earliest set of its word and with up to ``NEAR`` just before it. Rows with ``a`` null are those
-    of words whose sets did not all meet that way.
+def _members(sets: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``token, members, place, h, n, bits, o`` of every set with one of the tokens in its prefix."""
+    sets = sets.withColumn("o", F.coalesce("first.doc_id", F.lit(-(1 << 63))))
+    keys = lambda *names: sets.select(*names, F.explode("prefix").alias("parts")).select(*names, F.posexplode("parts").alias("place", "token"))
+    if tokens.count() <= BROADCAST_ROWS:
+        return keys("h", "n", "bits", "o").join(F.broadcast(tokens), "token")
+    # All prefixes are shuffled, so only digests move along.
+    return keys("h").join(tokens, "token").join(sets.select("h", "n", "bits", "o"), "h")
+
+
+def _first_round(members: DataFrame, total: int, percent: int) -> DataFrame:
+    """Sets that share a token and fit, ``a`` the earlier and ``h`` the later one: every set with the
+    earliest set of its token and with up to ``NEAR`` just before it. Rows with ``a`` null are those
+    of tokens whose sets did not all meet that way.
 
-    A word of several parts is several words here, so no task holds all sets of a frequent one.
+    A token of many of the ``total`` is several tokens here, so no task holds all sets of a frequent one.
     """
-    rows = sets.select(F.posexplode("prefix").alias("place", "word"), "h", "n", "bits", F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias("o"))
-    rows = rows.withColumn("parts", F.get(parts, F.shiftrightunsigned("word", 47).cast("int")))
+    rows = members.withColumn("parts", F.expr(f"1 + members * {SHARE}L div {max(1, total)}L"))
     x = F.struct("h", "n", "place", "bits")
-    word = Window.partitionBy("word", F.when(F.col("parts") > 1, F.pmod("h", "parts"))).orderBy("o", "h")
+    token = Window.partitionBy("token", F.when(F.col("parts") > 1, F.pmod("h", "parts"))).orderBy("o", "h")
     rows = rows.select(
-        "word",
+        "token",
         F.struct("o", "h", "n", "place", "bits").alias("y"),
-        F.collect_list(x).over(word.rowsBetween(-NEAR, -1)).alias("near"),
-        F.first(x).over(word).alias("centre"),
-        ((F.count("*").over(word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) > NEAR + 1) | (F.col("parts") > 1)).alias("many"),
+        F.collect_list(x).over(token.rowsBetween(-NEAR, -1)).alias("near"),
+        F.first(x).over(token).alias("centre"),
+        ((F.col("members") > NEAR + 1) | (F.col("parts") > 1)).alias("many"),
     )
     nothing = F.array().cast("array<struct<h:bigint,n:int,place:int,bits:bigint>>")
     far = F.when((F.size("near") == NEAR) & (F.get("near", F.lit(0))["h"] != F.col("centre.h")), F.array("centre")).otherwise(nothing)
     itself = F.when(F.col("many"), F.array(F.lit(None).cast("struct<h:bigint,n:int,place:int,bits:bigint>"))).otherwise(nothing)
-    met = rows.select("word", "y", F.explode(F.concat("near", far, itself)).alias("x"))
-    return met.where(F.col("x").isNull() | _fits(percent)).select(F.col("x.h").alias("a"), "word", "y.*")
+    met = rows.select("token", "y", F.explode(F.concat("near", far, itself)).alias("x"))
+    return met.where(F.col("x").isNull() | _fits(percent)).select(F.col("x.h").alias("a"), "token", "y.*")
 
 
 def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -143,22 +189,26 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     or resembles (Jaccard of the word sets of ``percent`` or more), in order; blank lines apart.
 
     Lines are ordered by doc_id (null first) and place. Lines of equal sets count as one set with
-    the first of them, so copies never meet. Sets are joined on the words of their prefixes in two
-    rounds: first every set with the earliest set that shares the word and with some just before
-    it, which settles the members of large groups of near copies and all sets of rarer words; then
-    only what is still open with all that share one of the other words.
+    the first of them, so copies never meet. Sets that share a token of their prefixes are held against
+    each other: two sets alone with a token at once, more of them in two rounds. First every set meets
+    the earliest set that shares the token and some just before it, which settles the members of
+    large groups of near copies; then only what is still open meets all that share one of the
+    larger tokens. Most tokens belong to one set, and only counts of those are shuffled.
     """
-    places, parts = rarity(docs)
-    sets = stored(line_sets(docs, places, percent), "sets")
-    met = stored(_first_round(sets, parts, percent), "met")
+    sets = stored(line_sets(docs, percent), "sets")
+    tokens = sets.select("h", F.explode(F.flatten("prefix")).alias("token")).groupBy("token")
+    shared = stored(tokens.agg(F.count("*").alias("members"), F.min("h").alias("a"), F.max("h").alias("b")).where("members > 1"), "shared")
+    total = sets.agg(F.sum(F.size(F.flatten("prefix")))).first()[0] or 0
+    met = stored(_first_round(_members(sets, shared.where("members > 2").select("token", "members")), total, percent), "met")
     tried = met.where("a is not null").select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b"))
+    tried = tried.unionByName(shared.where("members = 2 and a < b").select("a", "b"))
     settled = stored(_verified(tried, sets, docs, percent), "settled")
     more = met.where("a is null").drop("a").join(settled.withColumn("settled", F.lit(True)), "h", "left")
-    more = more.select("word", F.struct("o", "h", "n", "place", "bits", F.col("settled").isNull().alias("open")).alias("y"))
+    more = more.select("token", F.struct("o", "h", "n", "place", "bits", F.col("settled").isNull().alias("open")).alias("y"))
     # Two open sets meet in one direction; a settled set is only ever the earlier one. As the tests
     # stand in one expression on both, the two sides are the same rows and are shuffled once.
     meet = F.when(F.col("x.open") & F.col("y.open"), F.col("x.h") < F.col("y.h")).when(F.col("y.open"), F.col("x.o") <= F.col("y.o"))
-    both = more.join(more.select("word", F.col("y").alias("x")), "word")
+    both = more.join(more.select("token", F.col("y").alias("x")), "token")
     pairs = both.where(meet & _fits(percent)).select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"))
     settled = settled.unionByName(_verified(pairs, sets, docs, percent)).distinct()
     left = sets.join(settled, "h", "left_anti").select("first.*")

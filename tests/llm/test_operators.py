@@ -13,11 +13,13 @@ from corpusloom.llm.counts import scan_separators, write_token_files
 from corpusloom.llm.language import LEAST_MATCH, in_known_language, labelled_sample, phrase_counts, predict_languages, suffix_automaton, _model
 from corpusloom.llm.leaks import benchmark_matches, tiles, without_leaks
 from corpusloom.llm.licenses import KNOWN, find_licenses
+from corpusloom.llm import lines
 from corpusloom.llm.lines import line_report, without_repeated_lines
 from corpusloom.llm.near import near_duplicates, one_per_group, superminhash
 from corpusloom.llm.queries import QUERIES, public_ranks
 from corpusloom.llm.secrets import find_secrets, joined
 from corpusloom.llm.shuffle import communication_matrix, shuffled
+from corpusloom.llm.store import stored
 from corpusloom.llm.topk import top_k
 
 SCHEMA = "doc_id long, text string, row string, _key string, kept string"
@@ -332,6 +334,49 @@ def test_lines(spark):
     assert {r.doc_id for r in left} == {i for i, k in expected.items() if k or blank(texts[i])}
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
+def test_lines_of_few_words(spark, monkeypatch, broadcast_rows):
+    """A small vocabulary, so that every word is in many lines; sizes on both sides of each range's ends."""
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", broadcast_rows)
+    rng = random.Random(9)
+    base = [rng.sample([f"v{k}" for k in range(60)], n) for n in (8, 9, 10, 17, 18, 19, 27, 30, 36, 40, 54)]
+
+    def varied(words):
+        words = list(words)
+        for _ in range(rng.randrange(0, 4)):
+            words.pop(rng.randrange(len(words)))
+            words += [f"v{rng.randrange(60)}"] * rng.randrange(0, 3)
+        return " ".join(words)
+
+    texts = ["\n".join(varied(rng.choice(base)) for _ in range(4)) for _ in range(100)]
+    got = {r.doc_id: r.kept for r in line_report(frame(spark, texts)).collect() if r.doc_id is not None}
+    assert got == {i: ",".join(map(str, k)) for i, k in line_oracle(texts).items()} | {i: got[i] for i in got.keys() - set(range(len(texts)))}
+
+
+def test_unlike_lines_do_not_meet(spark, monkeypatch):
+    """Lines that share their rarest words but are not alike; rows that meet must not grow with a word's lines."""
+    rows = {}
+
+    def counted(df, name):
+        out = stored(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(lines, "stored", counted)
+    rng = random.Random(10)
+    texts = [" ".join(f"v{rng.randrange(300)}" for _ in range(45)) for _ in range(600)]
+    report = line_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r.kept == "0" for r in report) and rows["sets"] == 600
+    assert rows["met"] + rows["pairs"] < 60
+
+
+def test_empty_and_null_line_ids(spark):
+    assert line_report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    line = " ".join(f"v{k}" for k in range(20))
+    docs = spark.createDataFrame([(3, line), (None, line + " w"), (2, line + " w x")], "doc_id long, text string")
+    assert {r.doc_id: r.kept for r in line_report(docs).collect()} == {None: "0", 2: "", 3: ""}
+
+
 def shingles(text):
     words = (text or "").encode().lower().split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
