@@ -29,6 +29,7 @@ PLANES = 4  # bits kept of every place of a signature
 UNION_STEP, UNION_STEPS = 32, 64
 SLACK = 6.0  # standard deviations by which an estimate may be too low
 TALLIES, MOST_TALLY = 256, 127
+BROADCAST_ROWS = 1_000_000  # shared bands of 16 bytes, or named texts of 40
 SKETCH = pa.struct(
     [("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("planes", pa.list_(pa.int64())), ("tallies", pa.list_(pa.int8()))]
 )
@@ -216,10 +217,13 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough. Only texts named by a pair move."""
+    """The pairs whose full shingle sets are similar enough. Only texts named by a pair move, up to
+    ``BROADCAST_ROWS`` of them; beyond that all texts are shuffled to meet their names."""
     wanted = stored(pairs, "pairs")
     named = wanted.select(F.explode(F.array("a", "b")).alias("set_key")).distinct().join(nodes, "set_key")
-    named = named.select("set_key", F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
+    named = stored(named.select("set_key", F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")), "named")
+    if named.count() <= BROADCAST_ROWS:
+        named = F.broadcast(named)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_key"))
     found = texts.join(named, "_key").where(same(F.col("doc_id"), F.col("_id")))
     found = found.groupBy("set_key").agg(F.min("text").alias("text"))
@@ -307,7 +311,10 @@ def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands:
     )
     nodes = stored(firsts, "nodes")
     banded = nodes.select("set_key", "n_shingles", F.posexplode("bands").alias("slot", "band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    shared = stored(banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"), "shared")
+    # Most bands belong to one node; up to some size their rows are dropped where they are made.
+    if shared.count() <= BROADCAST_ROWS:
+        shared = F.broadcast(shared)
     buckets = stored(banded.join(shared, "band"), "buckets")
     large = buckets.where(F.col("members") > SMALL).join(nodes.select("set_key", "planes", "tallies"), "set_key")
     large = stored(large.select("slot", "band", "members", F.struct("set_key", "n_shingles", "planes", "tallies").alias("x")), "large")

@@ -13,7 +13,7 @@ from corpusloom.llm.counts import scan_separators, write_token_files
 from corpusloom.llm.language import LEAST_MATCH, in_known_language, labelled_sample, phrase_counts, predict_languages, suffix_automaton, _model
 from corpusloom.llm.leaks import benchmark_matches, tiles, without_leaks
 from corpusloom.llm.licenses import KNOWN, find_licenses
-from corpusloom.llm import lines
+from corpusloom.llm import lines, near
 from corpusloom.llm.lines import line_report, without_repeated_lines
 from corpusloom.llm.near import near_duplicates, one_per_group, superminhash
 from corpusloom.llm.queries import QUERIES, public_ranks
@@ -419,6 +419,18 @@ def test_near_duplicates(spark):
     assert near_duplicates(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_shared_bands_are_kept_apart(spark, monkeypatch, broadcast_rows):
+    """The bands of several nodes are a table of their own, joined either way; links are the same."""
+    names = []
+    monkeypatch.setattr(near, "stored", lambda df, name: names.append(name) or stored(df, name))
+    monkeypatch.setattr(near, "BROADCAST_ROWS", broadcast_rows)
+    texts = [prose(k // 2, 60) + " more" * (k % 2) for k in range(12)]
+    got = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == dict(enumerate(near_oracle(texts)))
+    assert names.index("shared") < names.index("buckets")
+
+
 def test_one_per_group_of_null_and_repeated_ids(spark):
     a, b, c, d = (prose(k, 30) for k in range(50, 54))
     rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d + " more"), (8, b + " more"), (None, None), (None, " "), (None, prose(54, 30))]
