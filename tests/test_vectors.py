@@ -350,3 +350,56 @@ def test_short_list_equals_the_sum_of_table_entries(monkeypatch, step, cells, si
         sums = [(-round(float(sum(tables[p, q, codes[i, p]] for p in range(4))), 9), i) for i in range(90) if i != 8 and cell[i] in probed]
         got = sorted((-r["approximate"], r["id"]) for r in found if r["qid"] == q)
         assert [i for _, i in got] == [i for _, i in sorted(sums)[:size]]
+
+
+@pytest.mark.parametrize("groups", [5, 160])
+@pytest.mark.parametrize("k, overall", [(1, None), (3, None), (1, 1), (2, 3)])
+def test_packed_products_miss_nothing(monkeypatch, k, overall, groups):
+    """Six products of bytes in a double, of folded and of scaled vectors, against brute force by group and over all."""
+    for name, value in (("LANE_QUESTIONS", 1), ("LANE_TILE", 16), ("LANE_GROUPS", groups), ("STEP_ROWS", 40), ("FIRST_ROWS", 8), ("CROWDED", 0)):
+        monkeypatch.setattr(N, name, value)
+    kept, pairs = [], N.Lanes.pairs
+    monkeypatch.setattr(N.Lanes, "pairs", lambda *args: [kept.append(len(found[0])) or (part, found) for part, found in pairs(*args)])
+    rng = np.random.default_rng(5)
+    vectors = rng.poisson(0.3, (500, 24))
+    vectors[::9] *= rng.integers(1, 80, (56, 1))  # longer than a byte's product allows
+    vectors[20:60] = vectors[3]  # copies
+    vectors[:, 0] += 1
+    vectors = np.minimum(vectors, 255)
+    items = [(int(i), [float(x) for x in v], int(i % 4)) for i, v in enumerate(vectors)]
+    asked = [(i, v) for i, (_, v, _) in enumerate(items[::7])]
+    batch = N.pa.RecordBatch.from_pydict({"id": [i for i, *_ in items], "shard": [s for *_, s in items], "_vector": N.pa.array([v for _, v, _ in items], N.pa.list_(N.pa.float32()))})
+    questions = N.pa.table({"qid": [q for q, _ in asked], "_vector": N.pa.array([v for _, v in asked], N.pa.list_(N.pa.float32()))})
+    spec = N.Search(k, ("qid",), ("id",), (), "shard" if overall else None, bool(overall), overall)
+    found = {}
+    for r in N._search([batch.slice(0, 300), batch.slice(300)], questions, spec).to_pylist():
+        found.setdefault((r["qid"], None), []).append((-r["score"], r["id"]))
+    found = {key: [(i, round(-s, 9)) for s, i in sorted(rows)[: overall or k]] for key, rows in found.items()}
+    by_shard = brute_force(asked, items, k, bool(overall))
+    expected = {}
+    for (q, _), rows in by_shard.items():
+        expected.setdefault((q, None), []).extend(rows)
+    expected = {key: sorted(rows, key=lambda r: (-r[1], r[0]))[: overall or k] for key, rows in expected.items()}
+    assert found == expected
+    assert kept and sum(kept) < len(asked) * len(items) / 4
+
+
+def test_vectors_are_packed_by_their_values(spark):
+    vectors = [[1.0, 255.0, 0.0], [0.5, 1.0, 2.0], [256.0, 0.0, 1.0], [-1.0, 0.0, 0.0], [0.0] * 3, None, [], [float("nan")] * 3, [1.0, None, 2.0], [7.0]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "i int, v array<float>").coalesce(1).orderBy("i")
+    rows = df.select(N.packed("v").alias("p")).toArrow()["p"]
+    assert [None if p is None else len(p) for p in rows.to_pylist()] == [4, 13, 13, 13, None, None, None, None, None, 2]
+    usable = N.Vectors.of(rows, np.arange(len(vectors)))
+    assert usable.rows.tolist() == [0, 1, 2, 3] and usable.stored.tolist() == vectors[:4]
+    small = N.Vectors.of(rows.slice(0, 1), np.arange(1))
+    assert small.stored.dtype == np.uint8 and small.stored.tolist() == [[1, 255, 0]] and small.norms.tolist() == [255.0**2 + 1]
+
+
+def test_many_small_questions_travel_to_the_items(spark):
+    """60,000 questions of word counts are 126 MB as doubles, and 19 MB packed: no item is copied to a grid."""
+    count = F.transform(F.sequence(F.lit(1), F.lit(256)), lambda i: ((F.col("id") * i) % 7 == 0).cast("float"))
+    asked = spark.range(1, 60_001).select(F.col("id").alias("qid"), count.alias("vector"))
+    things = spark.createDataFrame(random_items(10, 256, 1, whole=True), SCHEMA).repartition(20)
+    found = N.nearest_candidates(asked, things, 1, asked_keys=["qid"], item_keys=["id"], dim=256)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroup" not in plan and "Coalesce" in plan
