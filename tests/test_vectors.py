@@ -403,3 +403,14 @@ def test_many_small_questions_travel_to_the_items(spark):
     found = N.nearest_candidates(asked, things, 1, asked_keys=["qid"], item_keys=["id"], dim=256)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "CoGroup" not in plan and "Coalesce" in plan
+
+
+def test_questions_without_direction_take_no_room(spark):
+    """A great many questions that nothing can match do not lead to a grid for the few that something can."""
+    vector = F.when(F.col("id") < 5, F.array(F.lit(1.0), F.col("id") + 1.0)).otherwise(F.array(F.lit(0.0), F.lit(0.0))).cast("array<float>")
+    asked = spark.range(20_000).select(F.col("id").alias("qid"), vector.alias("vector"))
+    things = spark.createDataFrame(random_items(40, 2, 1), SCHEMA)
+    keys = dict(asked_keys=["qid"], item_keys=["id"])
+    found = N.nearest_candidates(asked, things, 1, broadcast_bytes=1_000, **keys)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.qid for r in found.collect()} == set(range(5))
