@@ -414,3 +414,14 @@ def test_questions_without_direction_take_no_room(spark):
     found = N.nearest_candidates(asked, things, 1, broadcast_bytes=1_000, **keys)
     assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
     assert {r.qid for r in found.collect()} == set(range(5))
+
+
+@pytest.mark.parametrize("lanes", [1, 10**9])
+def test_a_task_hands_on_what_no_other_shard_beats(monkeypatch, lanes):
+    """One best of all shards is wanted: a row per question leaves the task, and not one per question and shard."""
+    monkeypatch.setattr(N, "LANE_QUESTIONS", lanes)
+    items = [(i, [float(i % 7 + 1), float(i % 5), float(i % 3 + 2), 1.0], i % 4) for i in range(105)]
+    batch = N.pa.RecordBatch.from_pydict({"id": [i for i, *_ in items], "shard": [s for *_, s in items], "_vector": N.pa.array([v for _, v, _ in items], N.pa.list_(N.pa.float32()))})
+    questions = N.pa.table({"qid": list(range(30)), "_vector": N.pa.array([v for _, v, _ in items[:30]], N.pa.list_(N.pa.float32()))})
+    rows = N._search([batch], questions, N.Search(1, ("qid",), ("id",), (), "shard", True, 1)).to_pylist()
+    assert sorted((r["qid"], r["id"]) for r in rows) == [(i, i) for i in range(30)]
