@@ -425,3 +425,12 @@ def test_a_task_hands_on_what_no_other_shard_beats(monkeypatch, lanes):
     questions = N.pa.table({"qid": list(range(30)), "_vector": N.pa.array([v for _, v, _ in items[:30]], N.pa.list_(N.pa.float32()))})
     rows = N._search([batch], questions, N.Search(1, ("qid",), ("id",), (), "shard", True, 1)).to_pylist()
     assert sorted((r["qid"], r["id"]) for r in rows) == [(i, i) for i in range(30)]
+
+
+def test_many_questions_are_searched_by_a_task_per_core(spark):
+    """Every task hands on a row per question, so more tasks than cores only move more rows."""
+    vector = F.array(*[F.col("id") % p for p in (2, 3, 5)]).cast("array<float>")
+    things = spark.createDataFrame(random_items(200, 3, 1, whole=True), SCHEMA).repartition(40)
+    keys = dict(asked_keys=["qid"], item_keys=["id"])
+    parts = [N.nearest_candidates(spark.range(1, n).select(F.col("id").alias("qid"), vector.alias("vector")), things, 1, **keys).rdd.getNumPartitions() for n in (50, 20_000)]
+    assert parts == [40, spark.sparkContext.defaultParallelism]
