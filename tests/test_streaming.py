@@ -1,10 +1,12 @@
 import sys
 
 from pyspark import cloudpickle
+from pyspark.sql import Row
 
 from corpusloom.catalog.tables import arriving
 from corpusloom.plans.indexing import index_objects
 from corpusloom.streaming.answers import answer_batch, read_answers, stream_answers
+from corpusloom.streaming.numbering import TurnNumbers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 KEYS = ["doc_id", "chunk_ix"]
@@ -95,3 +97,23 @@ def test_tables_of_files_and_of_folders_arrive(spark, tmp_path):
         stream = arriving(spark, str(tmp_path / kind), "conversations").writeStream.format("memory").queryName(f"arrived_{kind}")
         stream.trigger(availableNow=True).start().awaitTermination()
         assert spark.table(f"arrived_{kind}").count() == 6
+
+
+def test_turn_numbers_take_rows_as_they_come():
+    """Each row goes on before the next is taken, and the state is written once."""
+    numbers, taken, states = TurnNumbers(), [], []
+
+    class Value:
+        def get(self):
+            return (7,)
+
+        def update(self, value):
+            states.append(value)
+
+    numbers.next = Value()
+    rows = (taken.append(i) or Row(conv_id=1, seq=i, query=str(i)) for i in range(3))
+    out = numbers.handleInputRows((1,), rows, None)
+    assert next(out) == Row(conv_id=1, seq=0, query="0", first_turn=7) and taken == [0] and not states
+    assert [r.first_turn for r in out] == [7, 7] and states == [(13,)]
+    numbers.handleInitialState((1,), Row(conv_id=1, next_turn=4), None)
+    assert states[-1] == (4,)
