@@ -1,10 +1,12 @@
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import Row
 
 from corpusloom.catalog.tables import arriving
 from corpusloom.plans.indexing import index_objects
+from corpusloom.sinks.index import WRITERS_KEY, write_index
 from corpusloom.streaming.answers import answer_batch, read_answers, stream_answers
 from corpusloom.streaming.numbering import TurnNumbers
 
@@ -117,3 +119,27 @@ def test_turn_numbers_take_rows_as_they_come():
     assert [r.first_turn for r in out] == [7, 7] and states == [(13,)]
     numbers.handleInitialState((1,), Row(conv_id=1, next_turn=4), None)
     assert states[-1] == (4,)
+
+
+def test_index_is_written_without_a_sort(spark, tmp_path):
+    """Shards are written side by side whatever the session says, and its setting is left as it was."""
+    docs = spark.createDataFrame([(i, f"topic{i} word " * 30) for i in range(40)], "doc_id long, text string")
+    before = spark.conf.get(WRITERS_KEY)
+    seen = []
+    spark.conf.set(WRITERS_KEY, "0")
+    try:
+        objects = index_objects(docs, ["doc_id"])
+        plain = type(objects.write).parquet
+
+        def parquet(self, path, *args, **options):
+            seen.append(spark.conf.get(WRITERS_KEY))
+            return plain(self, path, *args, **options)
+
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(type(objects.write), "parquet", parquet)
+            write_index(objects, str(tmp_path / "index"))
+        assert seen == ["16"] and spark.conf.get(WRITERS_KEY) == "0"
+    finally:
+        spark.conf.set(WRITERS_KEY, before)
+    read = spark.read.parquet(str(tmp_path / "index"))
+    assert sorted(map(tuple, read.select("doc_id", "chunk_ix", "shard").collect())) == sorted(map(tuple, objects.select("doc_id", "chunk_ix", "shard").collect()))
