@@ -497,6 +497,7 @@ def _scan(asked: DataFrame, items: DataFrame, spec: Search, schema: T.StructType
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _search(batches, shared.value, spec)
+        pa.default_memory_pool().release_unused()  # the worker stays
         if best is not None:
             yield from best.to_batches(max_chunksize=10_000)
 
